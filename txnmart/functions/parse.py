@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from txnmart.functions.text import blank_to_null
-
 # Accepted text forms.
 INTEGER = r"^-?[0-9]+\z"
 DECIMAL = r"^-?[0-9]+(\.[0-9]+)?\z"
@@ -35,7 +33,7 @@ def parse_amount(c: Column) -> Column:
 
 def parse_order_ts(c: Column) -> Column:
     """``YYYY-MM-DD HH:MM:SS`` in years 1900-2099; impossible dates are NULL."""
-    text = blank_to_null(c)
+    text = F.trim(c)
     return F.when(text.rlike(ORDER_TIMESTAMP), text.try_cast("timestamp_ntz"))
 
 

@@ -15,7 +15,6 @@ from txnmart.functions import parse, text
 from txnmart.functions.calendar import date_attributes
 from txnmart.operators.numbering import assign_keys
 from txnmart.operators.quality import STATUSES, in_range
-from txnmart.schemas import dim_schema
 
 
 def label_spans(raw: DataFrame, as_of: str | None) -> DataFrame:
@@ -68,8 +67,11 @@ def dim_payment_method(df: DataFrame) -> DataFrame:
 
 
 def dim_status(spark: SparkSession) -> DataFrame:
-    rows = [(key, name) for key, name in enumerate(STATUSES, start=1)]
-    return spark.createDataFrame(rows, dim_schema("status"))
+    rows = [
+        F.struct(F.lit(key).cast("long").alias("status_key"), F.lit(name).alias("status_name"))
+        for key, name in enumerate(STATUSES, start=1)
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def merge_dim(existing: DataFrame, names: DataFrame, entity: str) -> DataFrame:

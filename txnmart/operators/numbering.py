@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnmart.session import written
 
 
-def running_total(df: DataFrame, order: str, value: str, total: str) -> DataFrame:
-    """Add ``total``: the sum of ``value`` over all rows before this one by the unique column ``order``.
+def running_total(df: DataFrame, order: Sequence[str], value: str, total: str) -> DataFrame:
+    """Add ``total``: the sum of ``value`` over all rows before this one by the unique columns ``order``.
 
     Rows are range-partitioned and written, which fixes their slice numbers; each
     slice sums its own rows and adds the total of the slices before it.
     """
-    slices = written(df.repartitionByRange(order).withColumn("_slice", F.spark_partition_id()))
+    slices = written(df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()))
     # One row per slice, at most the number of shuffle partitions: small enough for one
     # window and for a broadcast.
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.groupBy("_slice").agg(F.sum(value).alias("_sum")).select(
-        "_slice", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset")
-    )
-    within = Window.partitionBy("_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    sums = slices.groupBy("_slice").agg(F.sum(value).alias("_sum"))
+    offsets = sums.select("_slice", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         slices.join(F.broadcast(offsets), "_slice")
         .withColumn(total, F.col("_offset") + F.coalesce(F.sum(value).over(within), F.lit(0)))
@@ -32,5 +33,5 @@ def running_total(df: DataFrame, order: str, value: str, total: str) -> DataFram
 def assign_keys(names: DataFrame, entity: str) -> DataFrame:
     """Surrogate keys 1..n in name order for a frame of distinct ``<entity>_name``."""
     name, key = f"{entity}_name", f"{entity}_key"
-    counted = running_total(names.withColumn("_one", F.lit(1).cast("long")), name, "_one", "_before")
+    counted = running_total(names.withColumn("_one", F.lit(1).cast("long")), [name], "_one", "_before")
     return counted.select((F.col("_before") + 1).cast("long").alias(key), name)
