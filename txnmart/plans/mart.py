@@ -56,18 +56,21 @@ def build_mart(
     as_of: str | None = None,
     strict_status: bool = False,
     loaded_at: str | None = None,
+    clean: DataFrame | None = None,
 ) -> Mart:
     """Full refresh of all tables under ``path`` from stored raw rows.
 
-    The only shuffles over all rows are the business-key deduplication and the
-    layout of the fact by month. Deduplicated rows are written once because both the
-    channel dimension and the fact start from them.
+    The only shuffles over all rows are the business-key deduplication and the layout
+    of the fact by month. Deduplicated rows are written once because both the channel
+    dimension and the fact start from them; ``clean`` passes in those rows where an
+    incremental load already keeps them.
     """
     spark = raw.sparkSession
     cleaned = typed(raw)
 
     spans = write_table(d.label_spans(raw, as_of), f"{path}/stage/label_spans")
-    clean = write_table(clean_latest(cleaned, as_of), f"{path}/stage/clean")
+    if clean is None:
+        clean = write_table(clean_latest(cleaned, as_of), f"{path}/stage/clean")
     dims = Dims(
         date=write_table(d.dim_date(spans), f"{path}/dim_date"),
         channel=write_table(d.dim_channel(clean), f"{path}/dim_channel"),

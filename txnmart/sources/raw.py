@@ -76,8 +76,19 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV part files with a header each; quotes are doubled, so `read_raw` reads them back."""
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """CSV part files with a header each; texts come back from `read_raw` unchanged.
+
+    Quotes are doubled, and outer spaces, which the writer would strip by default, are kept.
+    """
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def map_source(df: DataFrame, mapping: dict[str, str | Column]) -> DataFrame:
