@@ -8,13 +8,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnmart.functions import parse, text
 from txnmart.functions.calendar import date_attributes
-from txnmart.operators.numbering import assign_keys
+from txnmart.operators.numbering import number_names, one_dim
 from txnmart.operators.quality import STATUSES, in_range
+from txnmart.session import written
+
+# Entities whose names come from the data.
+NAMED = ["channel", "product_category", "payment_method"]
 
 
 def label_spans(raw: DataFrame, as_of: str | None) -> DataFrame:
@@ -48,22 +52,29 @@ def dim_date(spans: DataFrame) -> DataFrame:
     return days.select(*date_attributes(F.col("day")))
 
 
-def _dim(df: DataFrame, entity: str, label: Column) -> DataFrame:
-    names = df.select(label.alias(f"{entity}_name")).filter(F.col(f"{entity}_name").isNotNull()).distinct()
-    return assign_keys(names, entity)
+def channel_names(clean: DataFrame) -> DataFrame:
+    """``clean`` holds valid rows after business-key deduplication."""
+    return _names(clean, "channel")
 
 
-def dim_channel(clean: DataFrame) -> DataFrame:
-    """``clean`` holds valid rows after business-key deduplication."""
-    return _dim(clean, "channel", F.col("channel_clean"))
+def product_category_names(df: DataFrame) -> DataFrame:
+    return _names(df, "product_category")
+
+
+def payment_method_names(df: DataFrame) -> DataFrame:
+    return _names(df, "payment_method")
 
 
-def dim_product_category(df: DataFrame) -> DataFrame:
-    return _dim(df, "product_category", F.col("product_category_clean"))
+def _names(df: DataFrame, entity: str) -> DataFrame:
+    """Distinct cleaned labels as (entity, name)."""
+    label = F.col(f"{entity}_clean")
+    return df.filter(label.isNotNull()).select(F.lit(entity).alias("entity"), label.alias("name")).distinct()
 
 
-def dim_payment_method(df: DataFrame) -> DataFrame:
-    return _dim(df, "payment_method", F.col("payment_method_clean"))
+def name_dims(names: DataFrame) -> dict[str, DataFrame]:
+    """Dimensions of every named entity in a union of the frames above, numbered in one pass."""
+    numbered = written(number_names(names))
+    return {entity: one_dim(numbered, entity) for entity in NAMED}
 
 
 def dim_status(spark: SparkSession) -> DataFrame:
@@ -78,6 +89,7 @@ def merge_dim(existing: DataFrame, names: DataFrame, entity: str) -> DataFrame:
     """Add names not yet in ``existing``, with keys after its highest; known names keep their keys."""
     name, key = f"{entity}_name", f"{entity}_key"
     new = names.select(name).filter(F.col(name).isNotNull()).distinct().join(existing, name, "left_anti")
+    numbered = number_names(new.select(F.lit(entity).alias("entity"), F.col(name).alias("name")))
     highest = existing.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-    added = assign_keys(new, entity).select((F.col(key) + highest).alias(key), name)
+    added = one_dim(numbered, entity).select((F.col(key) + highest).alias(key), name)
     return existing.select(key, name).unionByName(added)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnmart.operators.joins import lookup
+from txnmart.operators.joins import lookup, measure
 from txnmart.plans.mart import Mart
 
 DATE_COLUMNS = ["date_actual", "week_start", "year_num", "quarter_num", "month_num", "week_num",
@@ -18,8 +18,10 @@ def dashboard_extract(mart: Mart) -> DataFrame:
     """One row per fact row, with names instead of keys and all date attributes."""
     days = mart.dim_date.drop("month_start")
     rows = mart.fact.join(F.broadcast(days), "date_key")  # at most one row per calendar day
-    for entity in ("channel", "product_category", "payment_method", "status"):
-        rows = lookup(rows, getattr(mart, f"dim_{entity}"), {f"{entity}_key": f"{entity}_key"})
+    named = {e: getattr(mart, f"dim_{e}") for e in ("channel", "product_category", "payment_method", "status")}
+    sizes = measure(named)
+    for entity, dim in named.items():
+        rows = lookup(rows, dim, {f"{entity}_key": f"{entity}_key"}, sizes[entity])
     return rows.select(
         "transaction_id",
         "order_timestamp",

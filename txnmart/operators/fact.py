@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txnmart.functions.calendar import date_key, month_start
 from txnmart.operators.dedup import dedup_latest
-from txnmart.operators.joins import lookup
+from txnmart.operators.joins import lookup, measure
 from txnmart.operators.quality import VALUE_STATUS, valid
 from txnmart.schemas import FACT
 from txnmart.sources.raw import instant
@@ -49,8 +49,10 @@ def clean_latest(df: DataFrame, as_of: str | None) -> DataFrame:
 def build_fact(clean: DataFrame, dims: Dims, loaded_at: str | None = None) -> DataFrame:
     """Replace names by surrogate keys; a narrow stage while the dims fit a broadcast."""
     rows = clean
-    for entity in ("channel", "product_category", "payment_method", "status"):
-        rows = lookup(rows, getattr(dims, entity), {f"{entity}_clean": f"{entity}_name"})
+    named = {entity: getattr(dims, entity) for entity in ("channel", "product_category", "payment_method", "status")}
+    sizes = measure(named)
+    for entity, dim in named.items():
+        rows = lookup(rows, dim, {f"{entity}_clean": f"{entity}_name"}, sizes[entity])
     fact = rows.select(
         "transaction_id",
         F.col("order_ts").alias("order_timestamp"),

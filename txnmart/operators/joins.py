@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,19 +12,23 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 SALTS = 64
 
 
-def fits_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Measure ``dim`` (a written, narrow table) against the broadcast bound."""
-    texts = [name for name, kind in dim.dtypes if kind == "string"]
-    row_bytes = F.lit(16 * len(dim.columns))
-    for name in texts:
-        row_bytes = row_bytes + F.coalesce(F.octet_length(name), F.lit(0))
-    return (dim.agg(F.sum(row_bytes.cast("long"))).first()[0] or 0) <= max_bytes
+def measure(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Bytes of each (written, narrow) table, from one job over all of them."""
+    sizes = []
+    for name, table in tables.items():
+        row_bytes = F.lit(16 * len(table.columns))
+        for column, kind in table.dtypes:
+            if kind == "string":
+                row_bytes = row_bytes + F.coalesce(F.octet_length(column), F.lit(0))
+        sizes.append(table.agg(F.sum(row_bytes.cast("long")).alias("bytes")).select(F.lit(name).alias("name"), "bytes"))
+    return {row["name"]: row["bytes"] or 0 for row in reduce(DataFrame.unionByName, sizes).collect()}
 
 
 def lookup(
     df: DataFrame,
     dim: DataFrame,
-    on: dict[str, str],
+    on: Mapping[str, str],
+    size: int,
     how: str = "inner",
     max_bytes: int = BROADCAST_MAX_BYTES,
     salts: int = SALTS,
@@ -29,10 +36,11 @@ def lookup(
     """Join ``df`` to ``dim`` on ``{df column: dim column}``; the dim's join columns are dropped.
 
     Lookup columns are skewed by nature: a handful of channels cover all rows. A dim
-    within the bound is broadcast, so ``df`` is not shuffled. A larger one is
-    repeated once per salt, which spreads each hot value of ``df`` over that many tasks.
+    whose measured ``size`` is within the bound is broadcast, so ``df`` is not shuffled.
+    A larger one is repeated once per salt, which spreads each hot value of ``df`` over
+    that many tasks.
     """
-    if fits_broadcast(dim, max_bytes):
+    if size <= max_bytes:
         condition = [df[left] == dim[right] for left, right in on.items()]
         return df.join(F.broadcast(dim), condition, how).drop(*[dim[right] for right in on.values()])
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))

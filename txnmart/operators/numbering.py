@@ -30,8 +30,16 @@ def running_total(df: DataFrame, order: Sequence[str], value: str, total: str) -
     )
 
 
-def assign_keys(names: DataFrame, entity: str) -> DataFrame:
-    """Surrogate keys 1..n in name order for a frame of distinct ``<entity>_name``."""
-    name, key = f"{entity}_name", f"{entity}_key"
-    counted = running_total(names.withColumn("_one", F.lit(1).cast("long")), [name], "_one", "_before")
-    return counted.select((F.col("_before") + 1).cast("long").alias(key), name)
+def number_names(names: DataFrame) -> DataFrame:
+    """Surrogate keys 1..n in name order within each entity, for distinct (entity, name) rows."""
+    counted = running_total(names.withColumn("_one", F.lit(1).cast("long")), ["entity", "name"], "_one", "_before")
+    # One row per entity: a handful, whatever the number of names.
+    first = counted.groupBy("entity").agg(F.min("_before").alias("_first"))
+    numbered = counted.join(F.broadcast(first), "entity")
+    return numbered.select("entity", (F.col("_before") - F.col("_first") + 1).cast("long").alias("key"), "name")
+
+
+def one_dim(numbered: DataFrame, entity: str) -> DataFrame:
+    """The dimension of one entity out of `number_names`."""
+    own = numbered.filter(F.col("entity") == entity)
+    return own.select(F.col("key").alias(f"{entity}_key"), F.col("name").alias(f"{entity}_name"))

@@ -68,25 +68,27 @@ def validated(df: DataFrame, as_of: str | None, strict_status: bool = False) ->
 
 
 def acceptable(as_of: str | None, strict_status: bool = False) -> Column:
-    """True where no rule fires, else false or NULL.
+    """True where no rule fires, else false or NULL; same outcome as an empty reason list.
 
-    Same outcome as an empty reason list, but each cleaned value is tested once:
-    the optimizer pushes this filter below the cleaning projection, which repeats
-    the expressions it refers to. Labels are tested on their raw text because
-    title-casing cannot blank them.
+    The optimizer pushes this filter below the cleaning projection and so repeats every
+    cleaned expression it refers to. It therefore tests the raw text where that decides
+    the matter: a label is missing exactly if its text is blank, and the accepted
+    timestamp form sorts in time order.
     """
     c = F.col
-    status_known = c("status_clean").isin(STATUSES)
+    latest = F.date_format(latest_allowed(as_of), "yyyy-MM-dd HH:mm:ss")
+    status_known = F.lower(F.trim("status")).isin(STATUSES)
     conditions = [
-        c("transaction_id").isNotNull(),
-        in_range(c("order_ts"), as_of),
+        F.trim("order_timestamp").between(F.lit(EARLIEST), latest),
+        F.trim("transaction_id_raw") != "",
         F.trim("channel") != "",
         F.trim("product_category") != "",
+        F.trim("payment_method") != "",
+        c("customer_id").isNotNull(),
+        status_known if strict_status else (status_known | F.coalesce(F.trim("status") == "", F.lit(True))),
         c("quantity_int") > 0,
         c("amount_num") > 0,
-        c("payment_method_clean").isNotNull(),
-        c("customer_id").isNotNull(),
-        status_known if strict_status else F.coalesce(status_known, F.lit(True)),
+        c("order_ts").isNotNull(),
     ]
     return reduce(and_, conditions)
 

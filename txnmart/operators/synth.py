@@ -8,13 +8,14 @@ copy of a row is made by generating its number twice.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnmart.functions.draws import below, standard_normal, uniform
 from txnmart.operators import profile
-from txnmart.operators.joins import lookup
+from txnmart.operators.joins import lookup, measure
 from txnmart.operators.numbering import running_total
 from txnmart.schemas import SOURCE_FIELDS
 from txnmart.session import written
@@ -111,8 +112,17 @@ def duplicate_ids(
 # --- weighted draws -----------------------------------------------------------------
 
 
-def draw_table(source: DataFrame, start: str = START_DATE, end: str = END_DATE) -> DataFrame:
-    """Everything the generator draws from, as one small written table.
+@dataclass(frozen=True)
+class Draws:
+    """What the generator draws from: a small table, and per attribute the length and bucket width of its line."""
+
+    table: DataFrame
+    size: int
+    lines: dict[str, tuple[int, int]]
+
+
+def draw_table(source: DataFrame, start: str = START_DATE, end: str = END_DATE) -> Draws:
+    """Profile ``source`` into a table of intervals.
 
     Each value of an attribute owns an interval [low, high) as long as its weight. To
     draw, pick a whole number below the attribute's total and find its interval. The
@@ -127,21 +137,22 @@ def draw_table(source: DataFrame, start: str = START_DATE, end: str = END_DATE)
     weights = profile.all_value_counts(source).unionByName(days)
     placed = running_total(weights, ["attribute", "value"], "n", "start")
     # One row per attribute, of which there are six.
-    per_attribute = placed.groupBy("attribute").agg(
-        F.min("start").alias("base"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("values")
+    lines = placed.groupBy("attribute").agg(
+        F.min("start").alias("base"),
+        F.sum("n").alias("total"),
+        F.greatest(F.lit(1), F.expr("sum(n) div count(*)")).alias("width"),
     )
     amounts = profile.fit_lognormal(source).select(
         F.lit("product_category").alias("attribute"), F.col("product_category").alias("value"), "log_mean", "log_std"
     )
-    width = F.greatest(F.lit(1), F.expr("total div values"))
     intervals = (
-        placed.join(F.broadcast(per_attribute), "attribute")
+        placed.join(F.broadcast(lines), "attribute")
         .join(amounts, ["attribute", "value"], "left")
         .select(
             "attribute",
             "value",
             "total",
-            width.alias("width"),
+            "width",
             (F.col("start") - F.col("base")).alias("low"),
             (F.col("start") - F.col("base") + F.col("n")).alias("high"),
             F.coalesce("log_mean", F.lit(DEFAULT_LOG_MEAN)).alias("log_mean"),
@@ -149,21 +160,22 @@ def draw_table(source: DataFrame, start: str = START_DATE, end: str = END_DATE)
         )
     )
     buckets = F.sequence(F.expr("low div width"), F.expr("(high - 1) div width"))
-    return written(intervals.withColumn("bucket", F.explode(buckets)))
+    table = written(intervals.withColumn("bucket", F.explode(buckets)))
+    found = table.groupBy("attribute").agg(F.first("total").alias("total"), F.first("width").alias("width")).collect()
+    return Draws(table, measure({"draws": table})["draws"], {r.attribute: (r.total, r.width) for r in found})
 
 
-def draw(rows: DataFrame, table: DataFrame, attribute: str, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+def draw(rows: DataFrame, draws: Draws, attribute: str, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
     """Add a column ``attribute`` drawn by weight, with further table columns ``keep``."""
-    own = table.filter(F.col("attribute") == attribute)
-    line = own.agg(F.first("total"), F.first("width")).first()
-    if line[0] is None:
+    if attribute not in draws.lines:
         raise ValueError(f"the source has no values of {attribute} to draw from")
-    total, width = line
+    total, width = draws.lines[attribute]
+    own = draws.table.filter(F.col("attribute") == attribute)
     choices = own.select(F.col("value").alias(attribute), "low", "high", "bucket", *keep)
     number = below(F.col("row_number"), attribute, seed, F.lit(total))
     numbered = rows.withColumn("_number", number).withColumn("_bucket", F.expr(f"_number div {width}L"))
     # Numbers are spread evenly over the buckets, so there is no hot value to salt.
-    found = lookup(numbered, choices, {"_bucket": "bucket"}, salts=1)
+    found = lookup(numbered, choices, {"_bucket": "bucket"}, draws.size, salts=1)
     return found.filter("low <= _number AND _number < high").drop("low", "high", "_number", "_bucket")
 
 
@@ -207,13 +219,13 @@ def inject_issues(
     ).withColumn("amount", F.when(hit("negative_amount"), negated).otherwise(c("amount")))
 
 
-def synth_rows(ids: DataFrame, table: DataFrame, pool: int, seed: int = SEED) -> DataFrame:
+def synth_rows(ids: DataFrame, draws: Draws, pool: int, seed: int = SEED) -> DataFrame:
     """Clean generated rows for a frame of ``row_number``; a narrow stage."""
     rows = with_transaction_id(ids)
-    rows = draw(rows, table, "day", seed)
-    rows = draw(rows, table, "product_category", seed, keep=("log_mean", "log_std"))
+    rows = draw(rows, draws, "day", seed)
+    rows = draw(rows, draws, "product_category", seed, keep=("log_mean", "log_std"))
     for attribute in ("channel", "quantity", "payment_method", "status"):
-        rows = draw(rows, table, attribute, seed)
+        rows = draw(rows, draws, attribute, seed)
     number = F.col("row_number")
     customer = F.concat(F.lit("C"), (below(number, "customer", seed, F.lit(pool)) + 1).cast("string"))
     return rows.select(
@@ -241,9 +253,9 @@ def generate(
 ) -> DataFrame:
     """``n`` synthetic rows profiled from ``source`` plus exact copies, as source text columns."""
     spark = source.sparkSession
-    table = draw_table(source, start, end)
+    draws = draw_table(source, start, end)
     pool = profile.customer_pool(source).first()["customer_pool"]
     base = spark.range(n).select(F.col("id").alias("row_number"))
     ids = base.unionByName(duplicate_ids(spark, n, rates["duplicate_rows"], chunk, seed))
-    rows = inject_issues(synth_rows(ids, table, pool, seed), rates=rates, seed=seed)
+    rows = inject_issues(synth_rows(ids, draws, pool, seed), rates=rates, seed=seed)
     return rows.select(*SOURCE_FIELDS)

@@ -71,12 +71,15 @@ def build_mart(
     spans = write_table(d.label_spans(raw, as_of), f"{path}/stage/label_spans")
     if clean is None:
         clean = write_table(clean_latest(cleaned, as_of), f"{path}/stage/clean")
+    named = d.name_dims(
+        d.channel_names(clean)
+        .unionByName(d.product_category_names(spans))
+        .unionByName(d.payment_method_names(spans))
+    )
     dims = Dims(
         date=write_table(d.dim_date(spans), f"{path}/dim_date"),
-        channel=write_table(d.dim_channel(clean), f"{path}/dim_channel"),
-        product_category=write_table(d.dim_product_category(spans), f"{path}/dim_product_category"),
-        payment_method=write_table(d.dim_payment_method(spans), f"{path}/dim_payment_method"),
         status=write_table(d.dim_status(spark), f"{path}/dim_status"),
+        **{entity: write_table(dim, f"{path}/dim_{entity}") for entity, dim in named.items()},
     )
     # Rebalancing puts a month's rows together, splits large months and merges small
     # ones, so files are few and of even size.
