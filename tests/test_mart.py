@@ -100,7 +100,7 @@ def test_extract_filters_prune_months(mart):
     assert rows_of(extract.apply_filters(wide)) == rows_of(wide)
 
 
-def test_fact_build_shuffles_only_for_deduplication_and_layout(mart):
+def test_a_metric_reads_only_its_columns(mart):
     plan = metrics.channel_mix(mart)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<channel_key:bigint,quantity:int,amount:decimal(14,2),is_value_eligible:boolean>" in plan
 

@@ -14,7 +14,7 @@ from txnmart.operators import dims as d
 from txnmart.operators import quality
 from txnmart.operators.cleaning import typed
 from txnmart.operators.fact import Dims, build_fact, clean_latest, with_month
-from txnmart.sources.raw import write_table
+from txnmart.sources.raw import save_table, write_table
 
 TABLES = [
     "fact",
@@ -84,8 +84,8 @@ def build_mart(
     # Rebalancing puts a month's rows together, splits large months and merges small
     # ones, so files are few and of even size.
     fact = with_month(build_fact(clean, dims, loaded_at)).hint("rebalance", F.col("month_start"))
-    write_table(fact, f"{path}/fact", partition_by=["month_start"])
-    write_table(quality.quarantine(cleaned, as_of, strict_status, loaded_at), f"{path}/quarantine")
+    save_table(fact, f"{path}/fact", partition_by=["month_start"])
+    save_table(quality.quarantine(cleaned, as_of, strict_status, loaded_at), f"{path}/quarantine")
     return open_mart(raw, path, as_of)
 
 

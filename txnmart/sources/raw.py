@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,12 +68,14 @@ def land(df: DataFrame, path: str, as_of: str | None = None) -> DataFrame:
     return write_table(with_load_ts(with_row_id(df), as_of), path)
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Full refresh: replace the table at ``path`` and return it as read from storage."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Full refresh: replace the table at ``path``."""
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Replace the table at ``path`` and return it as read from storage."""
+    save_table(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
