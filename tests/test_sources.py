@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import GOOD, rows_of
 from txnmart.schemas import RAW, SOURCE_FIELDS
 from txnmart.sources.raw import land, map_source, read_raw, read_source, with_row_id, write_csv
+from txnmart.streaming.incremental import past_mark
 
 HEADER = "a,b,c,d,e,f,g,h,i\n"
 
@@ -57,6 +58,15 @@ def test_landing_fixes_ids_and_load_time(spark, tmp_path):
     assert [int(row.transaction_id) for row in ordered] == list(range(100))
 
 
+def test_a_second_landing_continues_the_ids(spark, tmp_path):
+    source = spark.range(10).select(*[F.col("id").cast("string").alias(name) for name in SOURCE_FIELDS])
+    path = str(tmp_path / "raw")
+    mark = land(source, path).agg(F.max("raw_row_id")).first()[0]
+    both = land(source, path, append=True)
+    assert both.select("raw_row_id").distinct().count() == 20
+    assert past_mark(both, mark).count() == 10
+
+
 def test_mapping_fills_missing_fields_with_null(spark):
     other = spark.createDataFrame([(7, "x")], "id int, kind string")
     mapped = map_source(other, {"transaction_id": F.concat(F.lit("N"), "id"), "channel": "kind"})

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnmart.schemas import SOURCE, SOURCE_FIELDS
+from txnmart.schemas import RAW, SOURCE, SOURCE_FIELDS
 
 # Texts a profiling read treats as missing.
 MISSING_TEXTS = [
@@ -49,9 +49,9 @@ def read_source(spark: SparkSession, path: str, multiline: bool = True) -> DataF
     )
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
-    """Add ``raw_row_id``, increasing in file order. Write the result before using it twice."""
-    return df.select(F.monotonically_increasing_id().alias("raw_row_id"), "*")
+def with_row_id(df: DataFrame, first: int = 0) -> DataFrame:
+    """Add ``raw_row_id`` from ``first`` upwards in file order. Write the result before using it twice."""
+    return df.select((F.monotonically_increasing_id() + first).alias("raw_row_id"), "*")
 
 
 def instant(as_of: str | None) -> Column:
@@ -63,9 +63,18 @@ def with_load_ts(df: DataFrame, as_of: str | None = None, name: str = "loaded_at
     return df.withColumn(name, instant(as_of))
 
 
-def land(df: DataFrame, path: str, as_of: str | None = None) -> DataFrame:
-    """Write source rows as the raw table, ids and load time fixed at this point, and read it back."""
-    return write_table(with_load_ts(with_row_id(df), as_of), path)
+def land(df: DataFrame, path: str, as_of: str | None = None, append: bool = False) -> DataFrame:
+    """Write source rows as the raw table, ids and load time fixed at this point, and read it back.
+
+    ``append`` adds to the rows already there, with ids above theirs.
+    """
+    spark = df.sparkSession
+    first = 0
+    if append:
+        first = spark.read.schema(RAW).parquet(path).agg(F.coalesce(F.max("raw_row_id") + 1, F.lit(0))).first()[0]
+    rows = with_load_ts(with_row_id(df, first), as_of)
+    rows.write.mode("append" if append else "overwrite").parquet(path)
+    return spark.read.schema(RAW).parquet(path)
 
 
 def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
