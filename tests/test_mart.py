@@ -129,19 +129,18 @@ def test_reconciliation_classes(mart, spark):
         "matched": 1277, "missing in source": 1, "status differs": 1, "amount differs": 1, "missing in mart": 1}
 
 
-def test_publishing_moves_only_to_a_checked_version(mart, spark, raw, monkeypatch):
+def test_publishing_moves_only_to_a_checked_version(spark, raw, monkeypatch):
     root = scratch(spark, "published")
-    publish(write_table(raw({}), scratch(spark, "raw")), root, "v1", AS_OF)
+    one = write_table(raw({}), scratch(spark, "raw"))
+    publish(one, root, "v1", AS_OF)
     monkeypatch.setattr(
         "txnmart.plans.publish.violations",
         lambda mart: spark.sql("SELECT 'orphan fact.date_key' AS check_name, 3L AS violations"),
     )
     with pytest.raises(ConstraintsViolated, match="orphan fact.date_key: 3"):
-        publish(mart.raw, root, "v2", AS_OF)
+        publish(one, root, "v2", AS_OF)
     assert current_version(spark, root) == "v1"
-    monkeypatch.undo()
-    publish(mart.raw, root, "v3", AS_OF)
-    assert open_published(mart.raw, root, AS_OF).fact.count() == 1280
+    assert open_published(one, root, AS_OF).fact.count() == 1
 
 
 def test_report_files(mart, spark, tmp_path):
