@@ -1,11 +1,15 @@
 """Profile of a source and the generated data."""
 
+import bisect
+import dataclasses
+import itertools
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
+from txnmart.functions.draws import below
 from txnmart.operators import profile, synth
 from txnmart.schemas import SOURCE_FIELDS
 
@@ -117,6 +121,23 @@ def test_generated_rows_do_not_depend_on_partitioning(spark, raw):
     assert rows(1) == rows(5)
 
 
+def test_draws_find_the_interval_that_holds_the_number(spark, raw):
+    """Against a search over cumulative weights, with the table broadcast and with it shuffled."""
+    labels = ["web"] * 9 + ["app"] * 2 + ["a", "b", "c", "partner", "partner"]
+    draws = synth.draw_table(raw(*[{"channel": label} for label in labels]))
+    values = sorted(set(labels))
+    ends = list(itertools.accumulate(labels.count(value) for value in values))
+    assert draws.lines["channel"] == (len(labels), len(labels) // len(values))
+
+    ids = spark.range(2_000).withColumnRenamed("id", "row_number")
+    numbers = ids.withColumn("n", below(F.col("row_number"), "channel", 42, F.lit(len(labels))))
+    expected = {row.row_number: values[bisect.bisect_right(ends, row.n)] for row in numbers.collect()}
+    for size in (draws.size, 1 << 40):
+        drawn = synth.draw(ids, dataclasses.replace(draws, size=size), "channel").collect()
+        assert len(drawn) == 2_000
+        assert {row.row_number: row.channel for row in drawn} == expected
+
+
 def test_a_source_without_values_cannot_be_drawn_from(spark, raw):
     with pytest.raises(ValueError, match="channel"):
         synth.generate(raw({"channel": None}), n=10)
