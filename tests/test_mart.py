@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import AS_OF, SMALL, rows_of
 from txnmart import schemas
-from txnmart.operators import extract, metrics, monitoring, quality
+from txnmart.operators import dims, extract, metrics, monitoring, quality
+from txnmart.operators.cleaning import typed
 from txnmart.plans.mart import TABLES, build_mart, violations
 from txnmart.plans.publish import ConstraintsViolated, current_version, open_published, publish
 from txnmart.plans.reports import export_extract, export_reports, materialize_aggregates
@@ -75,6 +76,7 @@ def test_dimension_scopes_differ(raw, spark):
     assert rows_of(mart.dim_status) == [(1, "completed"), (2, "refunded"), (3, "failed")]
     days = mart.dim_date.agg(F.min("date_key"), F.max("date_key"), F.count("*")).first()
     assert tuple(days) == (20260101, 20260106, 6)
+    assert rows_of(dims.dim_date(dims.date_span(typed(rows), AS_OF))) == rows_of(mart.dim_date)
 
 
 def test_empty_input_gives_empty_tables(raw, spark):

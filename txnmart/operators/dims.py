@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from txnmart.functions import parse, text
 from txnmart.functions.calendar import date_attributes
 from txnmart.operators.numbering import number_names, one_dim
-from txnmart.operators.quality import STATUSES, in_range
+from txnmart.operators.quality import STATUSES, in_range, in_range_text
 from txnmart.session import written
 
 # Entities whose names come from the data.
@@ -26,10 +26,12 @@ def label_spans(raw: DataFrame, as_of: str | None) -> DataFrame:
 
     Grouping on the raw labels combines within each task and leaves few labels to clean.
     """
-    order_ts = parse.parse_order_ts(F.col("order_timestamp"))
-    day = F.when(in_range(order_ts, as_of), order_ts.cast("date"))
-    spans = raw.groupBy("product_category", "payment_method").agg(
-        F.min(day).alias("min_date"), F.max(day).alias("max_date")
+    order_timestamp = F.col("order_timestamp")
+    day = F.when(in_range_text(order_timestamp, as_of), parse.parse_order_ts(order_timestamp).cast("date"))
+    spans = (
+        raw.select("product_category", "payment_method", day.alias("day"))
+        .groupBy("product_category", "payment_method")
+        .agg(F.min("day").alias("min_date"), F.max("day").alias("max_date"))
     )
     return spans.select(
         text.title_clean(F.col("product_category")).alias("product_category_clean"),

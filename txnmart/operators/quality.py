@@ -31,6 +31,15 @@ def in_range(ts: Column, as_of: str | None) -> Column:
     return ts.between(F.lit(EARLIEST).cast("timestamp_ntz"), latest_allowed(as_of))
 
 
+def in_range_text(c: Column, as_of: str | None) -> Column:
+    """`in_range` on a timestamp's text: the accepted form sorts in time order.
+
+    Only meaningful for text that also parses.
+    """
+    latest = F.date_format(latest_allowed(as_of), "yyyy-MM-dd HH:mm:ss")
+    return F.trim(c).between(F.lit(EARLIEST), latest)
+
+
 def rules(as_of: str | None, strict_status: bool = False) -> list[tuple[str, Column]]:
     """Ordered (reason, failing condition) pairs over a typed frame.
 
@@ -76,10 +85,9 @@ def acceptable(as_of: str | None, strict_status: bool = False) -> Column:
     timestamp form sorts in time order.
     """
     c = F.col
-    latest = F.date_format(latest_allowed(as_of), "yyyy-MM-dd HH:mm:ss")
     status_known = F.lower(F.trim("status")).isin(STATUSES)
     conditions = [
-        F.trim("order_timestamp").between(F.lit(EARLIEST), latest),
+        in_range_text(c("order_timestamp"), as_of),
         F.trim("transaction_id_raw") != "",
         F.trim("channel") != "",
         F.trim("product_category") != "",
