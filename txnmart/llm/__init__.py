@@ -1 +1,8 @@
 """Operators that prepare training data: deduplication, filtering, scoring, search, mixing and packing."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with them, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
