@@ -89,8 +89,10 @@ def groups(docs: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> DataFrame
     texts = placed(docs, "doc_id", F.sha2(text, 256).alias("digest"), text.alias("_text"))
     suspects = texts.join(hits.hint("shuffle_hash"), "digest")
     at_place = F.struct(*PLACE) == F.col("_at")
-    folded = suspects.groupBy("digest", "_text").agg(
-        F.max(F.struct("doc_id", *PLACE)).alias("kept"), F.count("*").alias("n"), F.max(at_place).alias("_retained")
+    folded = written(
+        suspects.groupBy("digest", "_text").agg(
+            F.max(F.struct("doc_id", *PLACE)).alias("kept"), F.count("*").alias("n"), F.max(at_place).alias("_retained")
+        )
     )
     retained = folded.filter("_retained").select("digest", F.col("_text").alias("_same"))
     differing = written(
