@@ -27,16 +27,20 @@ from pyspark.sql import functions as F
 from txnmart.llm.common import PLACE, placed, text_of
 from txnmart.session import shared_dir, written
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = "spark.sql.streaming.stateStore"
+#: Stores are many and small, so their files aren't allocated ahead.
+STATE_SETTINGS = {
+    f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{STATE}.rocksdb.allowFAllocate": "false",
+}
 #: Feed files per micro-batch; a batch of this size is what one restart repeats at most.
 FILES_PER_BATCH = 256
 
 
 @contextmanager
-def _settings(spark: SparkSession, **wanted: str):
-    names = {name.replace("__", "."): value for name, value in wanted.items()}
-    before = {name: spark.conf.get(name, None) for name in names}
-    for name, value in names.items():
+def _settings(spark: SparkSession, wanted: dict[str, str]):
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
         spark.conf.set(name, value)
     try:
         yield
@@ -53,7 +57,7 @@ def retain(feed: str, schema, spark: SparkSession, folder: str, files_per_batch:
     files added to ``feed`` meet everything that was retained before.
     """
     places = F.max(F.struct("doc_id", *PLACE)).alias("kept")
-    with _settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+    with _settings(spark, STATE_SETTINGS):
         stream = (
             spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", files_per_batch)
