@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnmart.llm import exact, mixing, simhash, url_rules
+from txnmart.llm import exact, mixing, packing, simhash, toxicity, url_rules
 from txnmart.llm.common import read
 
 
@@ -22,11 +22,23 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(read(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "source", "piece", "start", "length", "bin", "offset")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_rules.judge(read(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -35,6 +47,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_simhash": op5_simhash,
+    "op6_best_fit": op6_best_fit,
     "op7_url_filter": op7_url_filter,
+    "op8_toxicity": op8_toxicity,
     "op10_mix_sources": op10_mix_sources,
 }
