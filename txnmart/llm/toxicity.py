@@ -37,6 +37,8 @@ GRAMS = (3, 4, 5)
 WORDS = 8000
 EPOCHS = 7
 BATCH = 256
+#: A small sample is gone through more often, in smaller batches.
+LEAST_STEPS = 240
 CHUNK = 1024
 CACHE_WORDS = 150_000
 
@@ -231,11 +233,13 @@ def fit_network(texts: Sequence[Sequence[bytes]], toxic: np.ndarray, rate: np.nd
             bounds = [bounds[i] for i in sorted(draw.choice(len(bounds), SAMPLE_WINDOWS, replace=False))]
         rows += [(at, [place[word] for word in words[a:b]]) for a, b in bounds]
     adam = Adam(net.p, 0.01)
+    batch = min(BATCH, max(32, len(rows) // 12))
+    epochs = max(epochs, -(-LEAST_STEPS * batch // max(1, len(rows)))) if batch < BATCH else epochs
     for epoch in range(epochs):
         adam.rate = 0.01 * (1 - epoch / epochs) + 0.001
         order = draw.permutation(len(rows))
-        for start in range(0, len(order), BATCH):
-            some = [rows[i] for i in order[start : start + BATCH]]
+        for start in range(0, len(order), batch):
+            some = [rows[i] for i in order[start : start + batch]]
             lengths = np.array([len(row) for _, row in some])
             at = np.zeros((len(some), lengths.max()), np.int64)
             for i, (_, row) in enumerate(some):
