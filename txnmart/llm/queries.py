@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnmart.llm import exact, mixing, packing, simhash, toxicity, url_rules
+from txnmart.llm import exact, html_text, mixing, packing, simhash, toxicity, url_rules
 from txnmart.llm.common import read
 
 
@@ -39,6 +39,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -50,5 +55,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_best_fit": op6_best_fit,
     "op7_url_filter": op7_url_filter,
     "op8_toxicity": op8_toxicity,
+    "op9_html_text": op9_html_text,
     "op10_mix_sources": op10_mix_sources,
 }
