@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnmart.llm import exact, html_text, mixing, packing, simhash, toxicity, url_rules
+from txnmart.llm import exact, html_text, mixing, packing, privacy, simhash, toxicity, url_rules
 from txnmart.llm.common import read
 
 
@@ -16,6 +16,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = privacy.find(read(spark, sf_dir, "documents"))
+    counts = [f"n_{kind}" for kind in privacy.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(read(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -51,6 +57,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_personal_data": op2_personal_data,
     "op5_simhash": op5_simhash,
     "op6_best_fit": op6_best_fit,
     "op7_url_filter": op7_url_filter,
