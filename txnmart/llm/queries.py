@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnmart.llm import exact, html_text, mixing, packing, privacy, simhash, toxicity, url_rules
+from txnmart.llm import exact, html_text, language_model, mixing, packing, privacy, simhash, toxicity, url_rules
 from txnmart.llm.common import read
 
 
@@ -22,6 +22,22 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    learned = language_model.training(F.col("doc_id"))
+    model = language_model.train(docs.filter(learned))
+    scored = language_model.score(docs, model)
+    return scored.select(
+        "doc_id",
+        (~learned).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(read(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -58,6 +74,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_personal_data": op2_personal_data,
+    "op3_language_model": op3_language_model,
     "op5_simhash": op5_simhash,
     "op6_best_fit": op6_best_fit,
     "op7_url_filter": op7_url_filter,
