@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnmart.llm import exact, html_text, language_model, mixing, packing, privacy, simhash, toxicity, url_rules
+from txnmart.llm import exact, html_text, language_model, mixing, neighbours, packing, privacy, simhash, toxicity, url_rules
 from txnmart.llm.common import read
 
 
@@ -38,6 +38,10 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(read(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_personal_data": op2_personal_data,
     "op3_language_model": op3_language_model,
+    "op4_nearest": op4_nearest,
     "op5_simhash": op5_simhash,
     "op6_best_fit": op6_best_fit,
     "op7_url_filter": op7_url_filter,
