@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,26 +31,38 @@ from txnmart.session import written
 NEAREST = 5
 DEGREE = 20
 #: Best neighbours of a node that take part in a round.
-JOINED = 12
-CHUNK = 48
-TABLES = 8
-BUCKET = 160
+JOINED = 20
+CHUNK = 64
+TABLES = 16
+BUCKET = 200
 LARGEST = 512
-ROUNDS = 5
+ROUNDS = 6
 #: A round that changes less than this share of all list entries is the last.
-CHANGE = 0.01
-BEAM = 40
-EXPANDED = 5
-PIVOTS = 64
+CHANGE = 0.03
+BEAM = 48
+EXPANDED = 12
+PIVOTS = 16
 SPREAD = 48
 SEED = 11
 
 EDGES = "id long, other long, sim float"
 
 
-def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+def _vectors(column: pa.ChunkedArray | pa.Array, kind: type = np.float32) -> np.ndarray:
     blobs = column.to_pylist()
-    return np.frombuffer(b"".join(blobs), np.float32).reshape(len(blobs), -1)
+    return np.frombuffer(b"".join(blobs), kind).reshape(len(blobs), -1).astype(np.float32, copy=False)
+
+
+def halved(nodes: DataFrame) -> DataFrame:
+    """The nodes' vectors in 2-byte floats, which is enough to find neighbours; search scores anew."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = _vectors(batch.column("vec")).astype(np.float16) if batch.num_rows else ()
+            blobs = pa.array([row.tobytes() for row in vectors], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), blobs], names=["node", "vec"])
+
+    return nodes.select("node", "vec").mapInArrow(mapped, "node long, vec binary")
 
 
 def _best(ids: np.ndarray, others: np.ndarray, sims: np.ndarray, keep: int) -> np.ndarray:
@@ -162,14 +175,14 @@ def descended(nodes: DataFrame, edges: DataFrame, n: int, keep: int = DEGREE, jo
     parts = F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1).cast("long")) - 1)
     ahead = ahead.select("center", F.explode(parts).alias("_part"), "member")
     floors = edges.groupBy("id").agg(F.when(F.count("*") >= keep, F.min("sim")).otherwise(F.lit(-2.0).cast("float")).alias("floor"))
-    known = nodes.select("node", "vec").join(floors, nodes["node"] == floors["id"], "left")
+    known = halved(nodes).join(floors, F.col("node") == F.col("id"), "left")
     known = written(known.select(F.col("node").alias("member"), "vec", F.coalesce("floor", F.lit(-2.0).cast("float")).alias("floor")))
     members = ahead.unionByName(back).join(known, "member")
     members = members.withColumn("_g", F.pmod(F.xxhash64("center", "_part"), F.lit(groups)))
 
     def compare(table: pa.Table) -> pa.Table:
         centers, part, ids = (table[name].to_numpy() for name in ("center", "_part", "member"))
-        vectors, floor = _vectors(table["vec"]), table["floor"].to_numpy()
+        vectors, floor = _vectors(table["vec"], np.float16), table["floor"].to_numpy()
         order = np.lexsort((part, centers))
         cut = np.flatnonzero(np.diff(centers[order]) | np.diff(part[order])) + 1
         found = []
@@ -210,37 +223,46 @@ def search(nodes: DataFrame, edges: DataFrame, queries: DataFrame, seeds: DataFr
     vectors = nodes.select(F.col("node").alias("id"), "vec")
     schema = "query long, id long, sim float, visited boolean, next boolean"
 
-    def scored(pairs: DataFrame) -> DataFrame:
-        def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                sims = np.einsum("ij,ij->i", _vectors(batch.column("qvec")), _vectors(batch.column("vec")))
-                off = pa.array(np.zeros(len(sims), bool))
-                columns = [batch.column("query"), batch.column("id"), pa.array(sims.astype(np.float32)), off, off]
-                yield pa.RecordBatch.from_arrays(columns, names=["query", "id", "sim", "visited", "next"])
-
-        return pairs.join(vectors, "id").join(queries, "query").select("query", "id", "qvec", "vec").mapInArrow(mapped, schema)
-
     def advance(table: pa.Table) -> pa.Table:
-        query, ids, sims = (table[name].to_numpy() for name in ("query", "id", "sim"))
-        visited = table["visited"].to_numpy() | table["next"].to_numpy()
-        at = _best(query, ids, np.where(visited, np.nextafter(sims, np.float32(2)), sims), beam)
-        ahead = at[~visited[at]]
+        kept = table.filter(pc.is_valid(table["sim"]))
+        fresh = table.filter(pc.is_valid(table["vec"]))
+        asking = table.filter(pc.is_valid(table["qvec"]))
+        query, ids, sims = (kept[name].to_numpy() for name in ("query", "id", "sim"))
+        visited = kept["visited"].to_numpy() | kept["next"].to_numpy()
+        if len(fresh):
+            own = asking["query"].to_numpy()
+            order = np.argsort(own)
+            which = order[np.searchsorted(own[order], fresh["query"].to_numpy())]
+            found = np.einsum("ij,ij->i", _vectors(asking["qvec"])[which], _vectors(fresh["vec"]))
+            query, ids = np.concatenate([query, fresh["query"].to_numpy()]), np.concatenate([ids, fresh["id"].to_numpy()])
+            sims = np.concatenate([sims, found.astype(np.float32)])
+            visited = np.concatenate([visited, np.zeros(len(found), bool)])
+        # A pair that is known already counts as it is known.
+        first = np.lexsort((~visited, ids, query))
+        query, ids, sims, visited = query[first], ids[first], sims[first], visited[first]
+        new = np.concatenate([[True], (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])]) if len(ids) else np.zeros(0, bool)
+        query, ids, sims, visited = query[new], ids[new], sims[new], visited[new]
+        at = _best(query, ids, sims, beam)
+        query, ids, sims, visited = query[at], ids[at], sims[at], visited[at]
+        ahead = np.flatnonzero(~visited)
         chosen = np.zeros(len(ids), bool)
-        pick = _best(query[ahead], ids[ahead], sims[ahead], EXPANDED)
-        chosen[ahead[pick]] = True
-        return pa.table({"query": query[at], "id": ids[at], "sim": sims[at], "visited": visited[at], "next": chosen[at]})
+        chosen[ahead[_best(query[ahead], ids[ahead], sims[ahead], EXPANDED)]] = True
+        return pa.table({"query": query, "id": ids, "sim": sims, "visited": visited, "next": chosen})
+
+    asking = queries.select("query", "qvec")
 
-    def advanced(rows: DataFrame) -> DataFrame:
+    def advanced(state: DataFrame | None, reached: DataFrame) -> DataFrame:
+        rows = reached.join(vectors, "id").select("query", "id", "vec").unionByName(asking, allowMissingColumns=True)
+        if state is None:
+            state = reached.limit(0).select("query", "id", *(F.lit(None).cast(k).alias(c) for c, k in (("sim", "float"), ("visited", "boolean"), ("next", "boolean"))))
+        rows = rows.unionByName(state, allowMissingColumns=True)
         keyed = rows.withColumn("_g", F.pmod(F.xxhash64("query"), F.lit(groups)))
         return written(keyed.groupBy("_g").applyInArrow(advance, schema))
 
-    state = advanced(scored(seeds.distinct()))
+    state = advanced(None, seeds.distinct())
     while not state.filter("next").isEmpty():
         reached = state.filter("next").join(steps, "id").select("query", F.col("other").alias("id")).distinct()
-        fresh = reached.join(state.select("query", "id"), ["query", "id"], "left_anti")
-        state = advanced(state.unionByName(scored(fresh)))
+        state = advanced(state, reached.join(state.select("query", "id"), ["query", "id"], "left_anti"))
     return state.select("query", "id", "sim")
 
 
