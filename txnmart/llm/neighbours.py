@@ -33,14 +33,16 @@ DEGREE = 20
 #: Best neighbours of a node that take part in a round.
 JOINED = 20
 CHUNK = 64
-TABLES = 16
-BUCKET = 200
-LARGEST = 512
+TABLES = 24
+BUCKET = 800
+LARGEST = 2048
+#: Nearest of a bucket that a node's list starts from.
+STARTS = 8
 ROUNDS = 6
 #: A round that changes less than this share of all list entries is the last.
 CHANGE = 0.03
-BEAM = 48
-EXPANDED = 12
+BEAM = 64
+EXPANDED = 16
 PIVOTS = 16
 SPREAD = 48
 SEED = 11
@@ -137,7 +139,7 @@ def nearest_lists(edges: DataFrame, groups: int, keep: int = DEGREE) -> DataFram
     return keyed.groupBy("_g").applyInArrow(merge, EDGES)
 
 
-def hashed(nodes: DataFrame, n: int, tables: int = TABLES, keep: int = DEGREE) -> DataFrame:
+def hashed(nodes: DataFrame, n: int, tables: int = TABLES, keep: int = STARTS) -> DataFrame:
     """Edges from brute force in the buckets of random hyperplane hashes."""
     bits = max(0, int(np.ceil(np.log2(max(1, n / BUCKET)))))
 
@@ -145,7 +147,7 @@ def hashed(nodes: DataFrame, n: int, tables: int = TABLES, keep: int = DEGREE) -
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vectors = _vectors(batch.column("vec"))
+            vectors = _vectors(batch.column("vec"), np.float16)
             planes = np.random.default_rng(SEED).standard_normal((vectors.shape[1], tables * bits)).astype(np.float32)
             signs = (vectors @ planes > 0).reshape(len(vectors), tables, bits)
             code = signs @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros((len(vectors), tables), np.int64)
@@ -153,13 +155,13 @@ def hashed(nodes: DataFrame, n: int, tables: int = TABLES, keep: int = DEGREE) -
                 names = ["node", "vec", "code"]
                 yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("vec"), pa.array(code[:, table] * tables + table)], names=names)
 
-    coded = nodes.select("node", "vec").mapInArrow(codes, "node long, vec binary, code long")
+    coded = halved(nodes).mapInArrow(codes, "node long, vec binary, code long")
     sizes = written(coded.groupBy("code").agg(F.ceil(F.count("*") / LARGEST).alias("_parts")))
     coded = coded.join(sizes, "code").withColumn("_part", F.pmod(F.xxhash64("node"), F.col("_parts")))
 
     def brute(table: pa.Table) -> pa.Table:
         ids = table["node"].to_numpy()
-        return _edges(*_pairs(ids, _vectors(table["vec"]), np.full(len(ids), -2.0, np.float32), keep))
+        return _edges(*_pairs(ids, _vectors(table["vec"], np.float16), np.full(len(ids), -2.0, np.float32), keep))
 
     return coded.groupBy("code", "_part").applyInArrow(brute, EDGES)
 
@@ -201,7 +203,7 @@ def graph(nodes: DataFrame, rounds: int = ROUNDS, keep: int = DEGREE) -> DataFra
     """(id, other, sim): the neighbour lists of all nodes."""
     n = nodes.count()
     groups = _groups(n)
-    edges = written(nearest_lists(hashed(nodes, n, keep=keep), groups, keep))
+    edges = written(nearest_lists(hashed(nodes, n), groups, keep))
     for _ in range(rounds):
         found = descended(nodes, edges, n, keep)
         after = written(nearest_lists(edges.unionByName(found), groups, keep))
