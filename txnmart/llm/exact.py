@@ -93,11 +93,16 @@ def groups(docs: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> DataFrame
     texts = placed(docs, "doc_id", F.sha2(text, 256).alias("digest"), text.alias("_text"))
     suspects = texts.join(hits.hint("shuffle_hash"), "digest")
     at_place = F.struct(*PLACE) == F.col("_at")
+    # Grouped by a hash of the digest, so that the fold has a shuffle of its own: then the join
+    # before it can split a hot digest, whose rows fold where they are.
     folded = written(
-        suspects.groupBy("digest", "_text").agg(
-            F.max(F.struct("doc_id", *PLACE)).alias("kept"), F.count("*").alias("n"), F.max(at_place).alias("_retained")
+        suspects.groupBy(F.xxhash64("digest").alias("_h"), "_text").agg(
+            F.first("digest").alias("digest"),
+            F.max(F.struct("doc_id", *PLACE)).alias("kept"),
+            F.count("*").alias("n"),
+            F.max(at_place).alias("_retained"),
         )
-    )
+    ).drop("_h")
     retained = folded.filter("_retained").select("digest", F.col("_text").alias("_same"))
     differing = written(
         folded.filter("NOT _retained")
