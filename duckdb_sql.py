@@ -188,7 +188,11 @@ def _monitor(period: str) -> str:
         """SELECT CAST(period AS VARCHAR) AS period, transactions, completed_value, avg_order_value,
   refund_rate_pct, failed_rate_pct,
   round(100.0 * (completed_value - lag(completed_value) OVER w) / nullif(lag(completed_value) OVER w, 0), 2)
-    AS value_change_pct
+    AS value_change_pct,
+  round(100.0 * (avg_order_value - lag(avg_order_value) OVER w) / nullif(lag(avg_order_value) OVER w, 0), 2)
+    AS order_value_change_pct,
+  round(refund_rate_pct - lag(refund_rate_pct) OVER w, 2) AS refund_rate_change,
+  round(failed_rate_pct - lag(failed_rate_pct) OVER w, 2) AS failed_rate_change
 FROM per WINDOW w AS (ORDER BY period)""",
         f"""per AS (
   SELECT {period} AS period, count(*) AS transactions,
@@ -202,9 +206,11 @@ FROM per WINDOW w AS (ORDER BY period)""",
 def _weekly_share(name: str, column: str) -> str:
     return _after(
         MODEL,
-        f"""SELECT CAST(week AS VARCHAR) AS week_start, {column} AS {name}, v AS completed_value,
+        f"""SELECT *, round(value_share_pct - lag(value_share_pct) OVER (PARTITION BY {name} ORDER BY week_start), 2)
+  AS share_change
+FROM (SELECT CAST(week AS VARCHAR) AS week_start, {column} AS {name}, v AS completed_value,
   round(100.0 * v / nullif(sum(v) OVER (PARTITION BY week), 0), 2) AS value_share_pct
-FROM groups""",
+FROM groups)""",
         f"groups AS (SELECT week, {column}, CAST(sum(amt) FILTER (WHERE done) AS DOUBLE) AS v "
         f"FROM sales GROUP BY week, {column})",
     )
@@ -214,11 +220,21 @@ def _named(table: str, entity: str) -> str:
     return _after(MODEL, f"SELECT id AS {entity}_key, name AS {entity}_name FROM {table}")
 
 
+_MISSING = """('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', 'N/A', 'NA',
+  'NULL', 'NaN', 'None', 'n/a', 'nan', 'null')"""
+
+
+def _present(table: str) -> str:
+    """A table's source columns with missing-value texts as NULL."""
+    columns = ", ".join(f"CASE WHEN {c} NOT IN {_MISSING} THEN {c} END AS {c}" for c in NINE.split(", "))
+    return f"(SELECT {columns} FROM {table})"
+
+
 def _shares(attribute: str, value: str) -> str:
     return (
         f"SELECT '{attribute}' AS attribute, CAST({value} AS VARCHAR) AS value, "
         f"count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share "
-        f"FROM raw WHERE {value} IS NOT NULL GROUP BY {value}"
+        f"FROM {_present('raw')} WHERE {value} IS NOT NULL GROUP BY {value}"
     )
 
 
@@ -231,7 +247,7 @@ fitted AS (
   SELECT category AS product_category, round(avg(l), 6) AS log_mean,
          round(coalesce(nullif(stddev_pop(l), 0), 0.25), 6) AS log_std
   FROM (SELECT {_TITLE} AS category, ln(greatest(try_cast(amount AS DOUBLE), 1)) AS l
-        FROM raw WHERE product_category IS NOT NULL AND try_cast(amount AS DOUBLE) > 0)
+        FROM {_present("raw")} WHERE product_category IS NOT NULL AND try_cast(amount AS DOUBLE) > 0)
   GROUP BY category)"""
 
 _CHECKS = [
@@ -250,6 +266,41 @@ _CHECKS = [
 ORACLE: dict[str, str] = {
     "raw_transactions": _after(RAW, "SELECT * FROM raw"),
     "csv_round_trip": _after(RAW, f"SELECT {NINE} FROM raw"),
+    "csv_round_trip_multiline": _after(
+        RAW, f"SELECT {NINE.replace('customer_id', 'customer_id || chr(10) || status AS customer_id')} FROM raw"
+    ),
+    "profiling_read": _after(RAW, f"SELECT * FROM {_present('raw')}"),
+    "landed_ids": _after(
+        RAW, f"SELECT row_number() OVER (ORDER BY raw_row_id % 50 <> 0, raw_row_id) - 1 AS raw_row_id, {NINE} FROM raw"
+    ),
+    "load_stamps": _after(
+        MODEL,
+        f"""SELECT table_name, strftime({AS_OF}, '%Y-%m-%d %H:%M:%S') AS stamp, row_count FROM (
+  SELECT 'raw' AS table_name, count(*) AS row_count FROM raw UNION ALL SELECT 'fact', count(*) FROM sales
+  UNION ALL SELECT 'quarantine', count(*) FROM bad)""",
+    ),
+    "violations_found": _after(
+        MODEL,
+        """SELECT * FROM (
+  SELECT 'duplicate fact.transaction_id' AS check_name, count(*) FILTER (WHERE k % 11 = 0) AS violations FROM numbered
+  UNION ALL SELECT 'orphan fact.channel_key', count(DISTINCT chan) FILTER (WHERE chan = 'Web') FROM numbered
+  UNION ALL SELECT 'orphan fact.payment_method_key', count(DISTINCT pay) FILTER (WHERE pay = 'card') FROM numbered
+  UNION ALL SELECT 'null fact.amount', sum(CASE WHEN k % 9 = 0 THEN 1 + (k % 11 = 0)::INT ELSE 0 END)::BIGINT FROM numbered)
+WHERE violations > 0""",
+        "numbered AS (SELECT *, CAST(substr(tid, 2) AS BIGINT) AS k FROM sales)",
+    ),
+    "published_fact": _after(
+        MODEL,
+        "SELECT tid AS transaction_id, CAST(ts AS VARCHAR) AS order_timestamp, CAST(amt AS DOUBLE) AS amount, "
+        "done AS is_value_eligible FROM sales",
+    ),
+    "exported_reports": _mix("channel_name", "chan"),
+    "incremental_fact": _after(
+        MODEL,
+        """SELECT tid AS transaction_id, CAST(day AS VARCHAR) AS date_actual, chan AS channel_name,
+  cat AS product_category_name, pay AS payment_method_name, stat AS status_name, cust AS customer_id,
+  CAST(qty AS BIGINT) AS quantity, CAST(amt AS DOUBLE) AS amount FROM sales""",
+    ),
     "second_source": _after(
         RAW,
         f"""SELECT concat_ws('-', 'L', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS transaction_id,
@@ -328,8 +379,8 @@ JOIN payments ON pay = payments.name JOIN statuses ON stat = statuses.name""",
     "violations": "SELECT check_name, CAST(0 AS BIGINT) AS violations FROM (VALUES "
     + ", ".join(f"('{check}')" for check in _CHECKS)
     + ") AS t(check_name)",
-    "orphan_keys": "SELECT user_id AS c_custkey, count(*) AS fact_rows FROM events "
-    "WHERE user_id NOT IN (SELECT c_custkey FROM customer) GROUP BY user_id",
+    "orphan_keys": """SELECT o_custkey AS c_custkey, count(*) AS fact_rows FROM orders
+WHERE o_custkey % 7 = 0 GROUP BY o_custkey""",
     "duplicate_keys": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS occurrences "
     "FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     "null_violations": _after(
@@ -495,7 +546,7 @@ FROM (SELECT try_cast(replace(customer_id, 'C', '') AS BIGINT) AS n FROM raw)"""
         """SELECT coalesce(a.value, b.value) AS value, coalesce(a.share, 0) AS source_share,
   coalesce(b.share, 0) AS synthetic_share FROM a FULL JOIN b ON a.value = b.value""",
         f"a AS ({_shares('', _TITLE)})",
-        f"b AS ({_shares('', _TITLE).replace('FROM raw', 'FROM bad')})",
+        f"b AS ({_shares('', _TITLE).replace('FROM raw)', 'FROM bad)')})",
     ),
     "day_weights": _after(
         MODEL,

@@ -1,5 +1,6 @@
 """The whole build: accounting, constraints, scopes, repeatability, publishing, reports."""
 
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -131,18 +132,42 @@ def test_reconciliation_classes(mart, spark):
         "matched": 1277, "missing in source": 1, "status differs": 1, "amount differs": 1, "missing in mart": 1}
 
 
-def test_publishing_moves_only_to_a_checked_version(spark, raw, monkeypatch):
+def test_publishing_moves_only_to_a_checked_version(spark, raw):
     root = scratch(spark, "published")
     one = write_table(raw({}), scratch(spark, "raw"))
+    assert current_version(spark, root) is None
+    with pytest.raises(LookupError):
+        open_published(one, root, AS_OF)
     publish(one, root, "v1", AS_OF)
-    monkeypatch.setattr(
-        "txnmart.plans.publish.violations",
-        lambda mart: spark.sql("SELECT 'orphan fact.date_key' AS check_name, 3L AS violations"),
-    )
-    with pytest.raises(ConstraintsViolated, match="orphan fact.date_key: 3"):
-        publish(one, root, "v2", AS_OF)
-    assert current_version(spark, root) == "v1"
-    assert open_published(one, root, AS_OF).fact.count() == 1
+    two = write_table(raw({"transaction_id": "T1"}, {"transaction_id": "T2"}), scratch(spark, "raw"))
+
+    def same_day(mart):
+        return violations(replace(mart, dim_date=mart.dim_date.unionByName(mart.dim_date)))
+
+    for version in ("v2", "v1"):
+        with pytest.raises(ConstraintsViolated, match="duplicate dim_date.date_key: 1"):
+            publish(two, root, version, AS_OF, check=same_day)
+        assert current_version(spark, root) == "v1"
+        assert open_published(one, root, AS_OF).fact.count() == 1
+    publish(two, root, "v1", AS_OF)
+    assert open_published(one, root, AS_OF).fact.count() == 2
+
+
+def test_reconciliation_of_rows_without_id(mart, spark):
+    """A third of the source has no id; those rows are missing in the mart, one per status and amount."""
+    names = mart.fact.join(mart.dim_status, "status_key").select("transaction_id", F.col("status_name").alias("status"), "amount")
+    lost = spark.range(640).select(F.lit(None).cast("string").alias("transaction_id"), F.lit("failed").alias("status"), (F.col("id") % 5).cast("decimal(14,2)").alias("amount"))
+    got = monitoring.reconcile(mart.fact, mart.dim_status, names.unionByName(lost))
+    assert dict(rows_of(got.groupBy("outcome").count())) == {"matched": 1280, "missing in mart": 5}
+    assert rows_of(got.filter("transaction_id IS NULL").agg(F.sum("source_rows"))) == [(640,)]
+
+
+def test_a_mix_scans_the_fact_once(mart, spark):
+    formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    for found in (metrics.channel_mix(mart), metrics.product_category_mix(mart)):
+        found.collect()
+        plan = found._jdf.queryExecution().explainString(formatted).split("== Initial Plan ==")
+        assert any("ReusedExchange" in line for line in "".join(plan).splitlines())
 
 
 def test_report_files(mart, spark, tmp_path):

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import GOOD, rows_of
+from tests.conftest import AS_OF, GOOD, rows_of
+from txnmart.operators.profile import value_shares
 from txnmart.schemas import RAW, SOURCE_FIELDS
 from txnmart.sources.raw import land, map_source, read_raw, read_source, with_row_id, write_csv
 from txnmart.streaming.incremental import past_mark
@@ -19,20 +20,56 @@ def csv(tmp_path, *lines):
 
 def test_fields_map_by_position_and_empty_differs_from_quoted_empty(spark, tmp_path):
     path = csv(tmp_path, 'T1,2026-01-05 10:00:00, web ,"Home ""x"", y","",,card,C1,"line\nbreak"')
-    row = read_raw(spark, path).first()
+    row = read_raw(spark, path, multiline=True).first()
     assert row.asDict() == dict(zip(SOURCE_FIELDS, (
         "T1", "2026-01-05 10:00:00", " web ", 'Home "x", y', "", None, "card", "C1", "line\nbreak")))
 
 
-@pytest.mark.parametrize("line", ["1,2,3,4,5,6,7,8", "1,2,3,4,5,6,7,8,9,10"])
-def test_a_row_of_another_width_fails_the_read(spark, tmp_path, line):
+READS = {
+    "all": lambda df: df.collect(),
+    "count": lambda df: df.count(),
+    "one column": lambda df: df.select("channel").collect(),
+    "shares": lambda df: value_shares(df, "channel").collect(),
+}
+
+
+@pytest.mark.parametrize("read", sorted(READS))
+@pytest.mark.parametrize("multiline", [False, True])
+@pytest.mark.parametrize("line", ["1,2", "1,2,3,4,5,6,7,8,9,10"])
+def test_a_row_of_another_width_fails_every_read(spark, tmp_path, line, multiline, read):
+    with pytest.raises(Exception, match="(?i)malformed"):
+        READS[read](read_raw(spark, csv(tmp_path, "T1,t,c,p,1,2,m,C,s", line), multiline))
+
+
+@pytest.mark.parametrize("read", sorted(READS))
+def test_a_line_break_in_a_field_needs_whole_files(spark, tmp_path, read):
+    path = csv(tmp_path, 'T1,t,c,p,1,2,m,C,"a\nb"')
     with pytest.raises(Exception, match="(?i)malformed"):
-        read_raw(spark, csv(tmp_path, line)).collect()
+        READS[read](read_raw(spark, path))
+    assert read_raw(spark, path, multiline=True).count() == 1
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_one_file_is_read_by_several_tasks(spark, tmp_path, small_splits):
+    path = csv(tmp_path, *[f"T{i},t,c,p,1,2,m,C,s" for i in range(2000)])
+    rows = read_raw(spark, path)
+    assert rows.rdd.getNumPartitions() > 4 and rows.count() == 2000
 
 
-def test_line_oriented_files_can_be_split(spark, tmp_path):
-    path = csv(tmp_path, *[f"T{i},t,c,p,1,2,m,C,s" for i in range(5)])
-    assert read_raw(spark, path, multiline=False).count() == 5
+def test_ids_follow_the_files(spark, tmp_path, small_splits):
+    """A small first file and a large second one, which the planner would read the other way round."""
+    for name, count in (("a", 3), ("b", 1500), ("c", 40)):
+        (tmp_path / f"{name}.csv").write_text(HEADER + "".join(f"{name}{i},t,c,p,1,2,m,C,s\n" for i in range(count)))
+    landed = land(read_raw(spark, str(tmp_path)), str(tmp_path / "raw"), AS_OF)
+    found = [row.transaction_id for row in landed.orderBy("raw_row_id").collect()]
+    assert found == [f"{name}{i}" for name, count in (("a", 3), ("b", 1500), ("c", 40)) for i in range(count)]
+    assert landed.agg(F.max("raw_row_id")).first()[0] == 1542
 
 
 def test_profiling_read_treats_missing_value_texts_as_null(spark, tmp_path):
@@ -45,7 +82,7 @@ def test_csv_round_trip_keeps_texts(spark, tmp_path):
     rows = [(" a ", 'q"q', "", None, "x,y", "l\nb", "\\", "", None), tuple(GOOD.values())]
     df = spark.createDataFrame(rows, fields)
     write_csv(df, str(tmp_path / "out"))
-    assert rows_of(read_raw(spark, str(tmp_path / "out"))) == rows_of(df)
+    assert rows_of(read_raw(spark, str(tmp_path / "out"), multiline=True)) == rows_of(df)
 
 
 def test_landing_fixes_ids_and_load_time(spark, tmp_path):

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnmart.session import written
+
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 SALTS = 64
 
@@ -37,14 +39,26 @@ def lookup(
 
     Lookup columns are skewed by nature: a handful of channels cover all rows. A dim
     whose measured ``size`` is within the bound is broadcast, so ``df`` is not shuffled.
-    A larger one is repeated once per salt, which spreads each hot value of ``df`` over
-    that many tasks.
+    Beyond, one aggregate finds the hot values, those with over one in ``4 * salts`` rows. Only
+    their rows are salted and only their dim rows repeated once per salt; all other values
+    are joined as they are. There can't be more than ``4 * salts`` hot values.
     """
     if size <= max_bytes:
         condition = [df[left] == dim[right] for left, right in on.items()]
         return df.join(F.broadcast(dim), condition, how).drop(*[dim[right] for right in on.values()])
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    repeated = dim.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    keys = list(on)
+    counts = written(df.groupBy(*keys).agg(F.count("*").alias("_n")))
+    least = (counts.agg(F.sum("_n")).first()[0] or 0) / (4 * salts)
+    hot = counts.filter(F.col("_n") > least).select(*keys, F.lit(salts).alias("_salts"))
+    # At most 4 * salts rows are broadcast.
+    marked = df.join(F.broadcast(hot), keys, "left")
+    salt = F.pmod(F.xxhash64(*df.columns), F.coalesce("_salts", F.lit(1))).cast("int")
+    salted = marked.select(*df.columns, salt.alias("_salt"))
+    named = hot.select(*[F.col(left).alias(f"_{right}") for left, right in on.items()], "_salts")
+    crowded = [dim[right] == named[f"_{right}"] for right in on.values()]
+    repeated = dim.join(F.broadcast(named), crowded, "left").drop(*[f"_{right}" for right in on.values()])
+    repeats = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    repeated = repeated.withColumn("_dim_salt", F.explode(repeats)).drop("_salts")
     condition = [salted[left] == repeated[right] for left, right in on.items()]
     condition.append(salted["_salt"] == repeated["_dim_salt"])
     joined = salted.join(repeated, condition, how)

@@ -86,11 +86,15 @@ def status_distribution(mart: Mart) -> DataFrame:
 def mix(mart: Mart, entity: str) -> DataFrame:
     """Completed figures and share of value by one name dimension.
 
-    The total is a scalar subquery over the same aggregate. It reuses its exchange,
-    and unlike a window over all groups it has no single-task step that grows with them.
+    The total is a scalar subquery over the same aggregate. It sums all of the measures and drops
+    rows without a key, of which the fact has none, as the join does: so both sides need the
+    same columns and rows, and the planner scans the fact once and reuses the exchange. Unlike a window over all groups it has no single-task step that grows with them.
     """
-    by_key = mart.fact.groupBy(f"{entity}_key").agg(*completed_measures())
-    total = by_key.agg(F.sum("completed_value")).scalar()
+    keyed = mart.fact.filter(F.col(f"{entity}_key").isNotNull())
+    by_key = keyed.groupBy(f"{entity}_key").agg(*completed_measures())
+    names = [name for name in by_key.columns if name != f"{entity}_key"]
+    sums = F.struct(*(F.sum(name).alias(name) for name in names), F.max(f"{entity}_key").alias("last"))
+    total = by_key.agg(sums).scalar().getField("completed_value")
     return (
         by_key.join(getattr(mart, f"dim_{entity}"), f"{entity}_key")
         .select(

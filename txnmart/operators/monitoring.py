@@ -29,7 +29,10 @@ def freshness(
 
 
 def monitored_metrics(mart: Mart, period: str = "week_start") -> DataFrame:
-    """Value, order value, refund rate and failure rate per day or week, with the change in value.
+    """Value, order value, refund rate and failure rate per day or week, each with its change.
+
+    Changes are against the previous period present: in percent for value and order value, in
+    percentage points for the rates.
 
     ``period`` is ``"date_actual"`` or ``"week_start"``. One row per calendar period, so
     the window over all periods is bounded.
@@ -57,13 +60,29 @@ def monitored_metrics(mart: Mart, period: str = "week_start") -> DataFrame:
             ratio_pct(of_status(failed).cast("decimal(20,0)"), everything).alias("failed_rate_pct"),
         )
     )
-    previous = F.lag("completed_value").over(Window.orderBy("period"))
-    change = ratio_pct(F.col("completed_value") - previous, previous)
-    return per_period.select("*", change.alias("value_change_pct")).orderBy("period")
+    def before(name: str) -> Column:
+        return F.lag(name).over(Window.orderBy("period"))
+
+    def change_pct(name: str) -> Column:
+        return ratio_pct(F.col(name) - before(name), before(name))
+
+    def points(name: str) -> Column:
+        return F.round(F.col(name) - before(name), 2)
+
+    return per_period.select(
+        "*",
+        change_pct("completed_value").alias("value_change_pct"),
+        change_pct("avg_order_value").alias("order_value_change_pct"),
+        points("refund_rate_pct").alias("refund_rate_change"),
+        points("failed_rate_pct").alias("failed_rate_change"),
+    ).orderBy("period")
 
 
 def share_by_week(mart: Mart, entity: str) -> DataFrame:
-    """Share of completed value of each channel or category within each week.
+    """Share of completed value of each channel or category within each week, and its change.
+
+    The change is in percentage points against the label's previous week present; the window
+    of a label is bounded by the calendar.
 
     Week totals come from a second, tiny aggregate rather than a window, so no task
     holds all labels of a week.
@@ -76,7 +95,7 @@ def share_by_week(mart: Mart, entity: str) -> DataFrame:
         .agg(F.sum("completed_value").cast("decimal(24,2)").alias("completed_value"))
     )
     weeks = by_week.groupBy("week_start").agg(F.sum("completed_value").alias("week_value"))
-    return (
+    shares = (
         by_week.join(F.broadcast(weeks), "week_start")  # one row per calendar week
         .join(getattr(mart, f"dim_{entity}"), f"{entity}_key")
         .select(
@@ -86,6 +105,8 @@ def share_by_week(mart: Mart, entity: str) -> DataFrame:
             ratio_pct(F.col("completed_value"), F.col("week_value")).alias("value_share_pct"),
         )
     )
+    previous = F.lag("value_share_pct").over(Window.partitionBy(f"{entity}_name").orderBy("week_start"))
+    return shares.withColumn("share_change", F.round(F.col("value_share_pct") - previous, 2))
 
 
 def reconcile(fact: DataFrame, dim_status: DataFrame, source: DataFrame) -> DataFrame:
@@ -93,7 +114,8 @@ def reconcile(fact: DataFrame, dim_status: DataFrame, source: DataFrame) -> Data
 
     One row per id and outcome class: ``matched``, ``missing in mart``, ``missing in
     source``, ``status differs`` or ``amount differs``. Repeated source rows are
-    combined first, so a heavily repeated id is one row before the join.
+    combined first, so a heavily repeated id is one row before the join. Rows without an id
+    match nothing; they skip the join, where they would all meet one task.
     """
     ours = fact.join(F.broadcast(dim_status), "status_key").select(
         "transaction_id", F.col("status_name").alias("mart_status"), F.col("amount").alias("mart_amount")
@@ -112,4 +134,7 @@ def reconcile(fact: DataFrame, dim_status: DataFrame, source: DataFrame) -> Data
         .when(~F.col("mart_amount").eqNullSafe(F.col("source_amount")), "amount differs")
         .otherwise("matched")
     )
-    return ours.join(theirs, "transaction_id", "full_outer").withColumn("outcome", outcome)
+    known = F.col("transaction_id").isNotNull()
+    joined = ours.filter(known).join(theirs.filter(known), "transaction_id", "full_outer")
+    unnamed = theirs.filter(~known).unionByName(ours.filter(~known), allowMissingColumns=True)
+    return joined.unionByName(unnamed.select(joined.columns)).withColumn("outcome", outcome)

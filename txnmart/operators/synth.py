@@ -19,6 +19,7 @@ from txnmart.operators.joins import lookup, measure
 from txnmart.operators.numbering import running_total
 from txnmart.schemas import SOURCE_FIELDS
 from txnmart.session import written
+from txnmart.sources.raw import missing_as_null
 
 # Defaults of the generator.
 SEED = 42
@@ -253,6 +254,7 @@ def generate(
 ) -> DataFrame:
     """``n`` synthetic rows profiled from ``source`` plus exact copies, as source text columns."""
     spark = source.sparkSession
+    source = missing_as_null(source)
     draws = draw_table(source, start, end)
     pool = profile.customer_pool(source).first()["customer_pool"]
     base = spark.range(n).select(F.col("id").alias("row_number"))

@@ -30,8 +30,12 @@ def export_extract(mart: Mart, path: str) -> None:
 
 
 def materialize_aggregates(mart: Mart, path: str) -> dict[str, DataFrame]:
-    """Store the weekly and monthly rollups for dashboards."""
-    return {
-        "weekly": write_table(metrics.weekly(mart), f"{path}/weekly"),
-        "monthly": write_table(metrics.monthly(mart), f"{path}/monthly"),
+    """Store the rollups, mixes and key figures for dashboards."""
+    aggregates = {
+        "weekly": metrics.weekly(mart),
+        "monthly": metrics.monthly(mart),
+        "channel_mix": metrics.channel_mix(mart),
+        "product_category_mix": metrics.product_category_mix(mart),
+        "key_figures": metrics.executive_dashboard(mart.fact),
     }
+    return {name: write_table(df, f"{path}/{name}") for name, df in aggregates.items()}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +20,13 @@ from txnmart.operators import dims, extract, fact, metrics, monitoring, profile,
 from txnmart.operators.cleaning import typed
 from txnmart.operators.dedup import dedup_exact, row_texts
 from txnmart.plans.mart import Mart, build_mart, violations
+from txnmart.plans.publish import ConstraintsViolated, open_published, publish
+from txnmart.plans.reports import export_reports
 from txnmart.schemas import SOURCE_FIELDS
 from txnmart.session import shared_dir, written
-from txnmart.sources.raw import map_source, read_raw, write_csv, write_table
+from txnmart.sources.raw import land, map_source, missing_as_null, read_raw, read_source, write_csv, write_table
 from txnmart.sources.sample import AS_OF, raw_transactions
-from txnmart.streaming.incremental import apply_batch, clean_table, load_new, past_mark
+from txnmart.streaming.incremental import apply_batch, apply_to_mart, clean_table, load_new
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +77,10 @@ def _on_raw(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: portable(build(landed(spark, sf_dir)))
 
 
+def _profiled(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return _on_raw(lambda raw: build(missing_as_null(raw)))
+
+
 def _on_mart(build: Callable[[Mart], DataFrame]) -> Query:
     return lambda spark, sf_dir: portable(build(mart_for(spark, sf_dir)))
 
@@ -88,6 +95,41 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, path)
 
 
+def csv_round_trip_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a line break in a field of every row, which only whole files can hold."""
+    path = scratch(spark, "csv")
+    rows = landed(spark, sf_dir).select(*SOURCE_FIELDS)
+    write_csv(rows.withColumn("customer_id", F.concat("customer_id", F.lit("\n"), "status")), path)
+    return read_raw(spark, path, multiline=True)
+
+
+def profiling_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source sample as a profile reads it: missing-value texts are NULL."""
+    path = scratch(spark, "csv")
+    write_csv(landed(spark, sf_dir).select(*SOURCE_FIELDS), path)
+    return read_source(spark, path)
+
+
+def landed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of a small first and a large second file, landed together."""
+    raw, path = landed(spark, sf_dir), scratch(spark, "csv")
+    few = F.col("raw_row_id") % 50 == 0
+    for name, rows in (("a", raw.filter(few)), ("b", raw.filter(~few))):
+        one_file = rows.coalesce(1).sortWithinPartitions("raw_row_id")
+        write_csv(one_file.select(*SOURCE_FIELDS), f"{path}/{name}")
+    return land(read_raw(spark, f"{path}/*"), scratch(spark, "landed"), AS_OF).drop("loaded_at")
+
+
+def load_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per load stamp of the landed table, the fact and the quarantine."""
+    mart = mart_for(spark, sf_dir)
+    again = land(landed(spark, sf_dir).select(*SOURCE_FIELDS), scratch(spark, "landed"), AS_OF)
+    stamped = [("raw", again, "loaded_at"), ("fact", mart.fact, "loaded_at"), ("quarantine", mart.quarantine, "quarantined_at")]
+    parts = [df.select(F.lit(table).alias("table_name"), F.col(name).cast("string").alias("stamp")) for table, df, name in stamped]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.groupBy("table_name", "stamp").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def second_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as another source, mapped to the canonical fields and appended to the first."""
     c = F.col
@@ -190,9 +232,53 @@ def merged_channels(mart: Mart) -> DataFrame:
 
 
 def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users of the event stream that are no customers."""
-    events = _table(spark, sf_dir, "events").withColumnRenamed("user_id", "c_custkey")
-    return quality.orphan_keys(events, _table(spark, sf_dir, "customer"), "c_custkey")
+    """Customers of orders that a dimension without every seventh customer lacks."""
+    orders = _table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    return quality.orphan_keys(orders, _table(spark, sf_dir, "customer").filter("c_custkey % 7 <> 0"), "c_custkey")
+
+
+def broken_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations of a mart that lacks a channel, repeats facts and misses amounts."""
+    mart = mart_for(spark, sf_dir)
+    number = F.substring("transaction_id", 2, 20).cast("long")
+    fact = mart.fact.withColumn("amount", F.when(number % 9 != 0, F.col("amount")))
+    broken = replace(
+        mart,
+        fact=fact.unionByName(fact.filter(number % 11 == 0)),
+        dim_channel=mart.dim_channel.filter("channel_name <> 'Web'"),
+        dim_payment_method=mart.dim_payment_method.filter("payment_method_name <> 'card'"),
+    )
+    return violations(broken).filter("violations > 0")
+
+
+def published_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published fact after a second version failed its checks and was refused."""
+    raw, root = landed(spark, sf_dir), scratch(spark, "published")
+    publish(raw, root, "v1", AS_OF)
+    blank = raw.withColumn("amount", F.lit("1.00"))
+    try:
+        publish(blank, root, "v1", AS_OF, check=lambda mart: violations(replace(mart, dim_status=mart.dim_status.limit(0))))
+    except ConstraintsViolated:
+        pass
+    return open_published(raw, root, AS_OF).fact.select("transaction_id", "order_timestamp", "amount", "is_value_eligible")
+
+
+def named_fact(mart: Mart) -> DataFrame:
+    """The fact with names for keys, comparable between marts that number names differently."""
+    rows = mart.fact
+    for entity in ("channel", "product_category", "payment_method", "status"):
+        rows = rows.join(getattr(mart, f"dim_{entity}"), f"{entity}_key")
+    days = mart.dim_date.select("date_key", "date_actual")
+    names = ["transaction_id", "date_actual", "channel_name", "product_category_name", "payment_method_name", "status_name"]
+    return rows.join(days, "date_key").select(*names, "customer_id", "quantity", "amount")
+
+
+def exported_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The channel mix as exported and read back."""
+    path = scratch(spark, "reports")
+    export_reports(mart_for(spark, sf_dir), path)
+    columns = "channel_name string, completed_transactions long, completed_units long, completed_value double, value_share_pct double"
+    return spark.read.schema(columns).option("header", True).csv(f"{path}/channel_mix")
 
 
 def duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +341,7 @@ def all_shares(raw: DataFrame) -> DataFrame:
 
 def raw_and_quarantined(mart: Mart) -> DataFrame:
     """Category shares of all source rows beside those of the quarantined rows."""
-    return profile.compare_distribution(mart.raw, mart.quarantine, "product_category")
+    return profile.compare_distribution(missing_as_null(mart.raw), missing_as_null(mart.quarantine), "product_category")
 
 
 def day_weights(mart: Mart) -> DataFrame:
@@ -284,7 +370,7 @@ def synth_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def synth_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Does each generated category and status keep its source share within two points?"""
-    raw, rows = landed(spark, sf_dir), written(synthetic(spark, sf_dir))
+    raw, rows = missing_as_null(landed(spark, sf_dir)), written(synthetic(spark, sf_dir))
     parts = [
         profile.compare_distribution(raw, rows, column).select(
             F.lit(column).alias("attribute"),
@@ -302,7 +388,7 @@ def synth_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def synth_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Does each category keep its log-normal amount parameters?"""
-    fitted = profile.fit_lognormal(landed(spark, sf_dir))
+    fitted = profile.fit_lognormal(missing_as_null(landed(spark, sf_dir)))
     again = profile.fit_lognormal(synthetic(spark, sf_dir)).select(
         "product_category", F.col("log_mean").alias("new_mean"), F.col("log_std").alias("new_std")
     )
@@ -342,21 +428,37 @@ def injected_issues(raw: DataFrame) -> DataFrame:
 
 
 def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean table after two batches, the second past the first one's high-water mark."""
-    raw = landed(spark, sf_dir)
-    mark = raw.agg(F.floor(F.avg("raw_row_id"))).first()[0]
+    """The clean table after two batches."""
     root = scratch(spark, "incremental")
-    apply_batch(raw.filter(F.col("raw_row_id") <= mark), "first", f"{root}/clean", f"{root}/quarantine", AS_OF)
-    apply_batch(past_mark(raw, mark), "second", f"{root}/clean", f"{root}/quarantine", AS_OF)
+    for batch, rows in two_batches(landed(spark, sf_dir)).items():
+        apply_batch(rows, batch, f"{root}/clean", f"{root}/quarantine", AS_OF)
     return clean_table(spark, f"{root}/clean").drop("month_start")
 
 
+def two_batches(raw: DataFrame) -> dict[str, DataFrame]:
+    """Raw rows in two parts. The second has new ids, versions that supersede those of the first,
+    in other months too, and a category that the first lacks."""
+    number = F.col("raw_row_id") % 1_000_000_000_000
+    known = F.coalesce(F.col("product_category") != "MACHINERY", F.lit(True))
+    first = (number % 13 != 5) & (number % 10 < 8) & known
+    return {"first": raw.filter(first), "second": raw.filter(~first)}
+
+
+def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after two batches were carried through to the mart."""
+    path = scratch(spark, "mart")
+    for batch, rows in two_batches(landed(spark, sf_dir)).items():
+        mart = apply_to_mart(rows, batch, path, AS_OF, AS_OF)
+    return named_fact(mart)
+
+
 def streamed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean table after a stream has consumed the landed files."""
-    raw = landed(spark, sf_dir)
+    """The clean table after a stream has consumed the landed files, in two runs."""
     root = scratch(spark, "stream")
-    write_table(raw.withColumn("loaded_at", F.lit(AS_OF).cast("timestamp")), f"{root}/landed")
-    load_new(spark, f"{root}/landed", f"{root}/clean", f"{root}/quarantine", f"{root}/progress", AS_OF)
+    for rows in two_batches(landed(spark, sf_dir)).values():
+        stamped = rows.withColumn("loaded_at", F.lit(AS_OF).cast("timestamp"))
+        stamped.write.mode("append").parquet(f"{root}/landed")
+        load_new(spark, f"{root}/landed", f"{root}/clean", f"{root}/quarantine", f"{root}/progress", AS_OF)
     return clean_table(spark, f"{root}/clean").drop("month_start")
 
 
@@ -364,6 +466,10 @@ QUERIES: dict[str, Query] = {
     # sources
     "raw_transactions": raw_transactions,
     "csv_round_trip": csv_round_trip,
+    "csv_round_trip_multiline": csv_round_trip_multiline,
+    "profiling_read": profiling_read,
+    "landed_ids": landed_ids,
+    "load_stamps": load_stamps,
     "second_source": second_source,
     # cleaning
     "blank_to_null": _on_raw(blank_to_null),
@@ -389,6 +495,8 @@ QUERIES: dict[str, Query] = {
     "merge_dim": _on_mart(merged_channels),
     "fact": _on_mart(lambda m: m.fact.drop("loaded_at")),
     "violations": _on_mart(violations),
+    "violations_found": broken_mart,
+    "published_fact": lambda spark, sf_dir: portable(published_fact(spark, sf_dir)),
     "orphan_keys": orphans,
     "duplicate_keys": lambda spark, sf_dir: portable(duplicates(spark, sf_dir)),
     "null_violations": _on_raw(raw_nulls),
@@ -414,6 +522,7 @@ QUERIES: dict[str, Query] = {
     "product_category_mix": _on_mart(metrics.product_category_mix),
     "day_of_week": _on_mart(metrics.day_of_week),
     # extract
+    "exported_reports": exported_reports,
     "dashboard_extract": _on_mart(extract.dashboard_extract),
     "filtered_extract": _on_mart(filtered_extract),
     # monitoring
@@ -424,11 +533,11 @@ QUERIES: dict[str, Query] = {
     "category_share_by_week": _on_mart(lambda m: monitoring.share_by_week(m, "product_category")),
     "reconciliation": reconciliation,
     # profile, generator
-    "value_shares": _on_raw(all_shares),
-    "top_categories": _on_raw(lambda raw: profile.top_shares(raw, "product_category")),
-    "top_quantities": _on_raw(lambda raw: profile.top_shares(raw, "quantity")),
-    "fit_lognormal": _on_raw(lambda raw: _rounded(profile.fit_lognormal(raw), "log_mean", "log_std")),
-    "customer_pool": _on_raw(profile.customer_pool),
+    "value_shares": _profiled(all_shares),
+    "top_categories": _profiled(lambda raw: profile.top_shares(raw, "product_category")),
+    "top_quantities": _profiled(lambda raw: profile.top_shares(raw, "quantity")),
+    "fit_lognormal": _profiled(lambda raw: _rounded(profile.fit_lognormal(raw), "log_mean", "log_std")),
+    "customer_pool": _profiled(profile.customer_pool),
     "compare_distribution": _on_mart(raw_and_quarantined),
     "day_weights": _on_mart(day_weights),
     "synth_ids": synth_ids,
@@ -438,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "synth_amounts": synth_amounts,
     "inject_issues": _on_raw(injected_issues),
     # incremental
+    "incremental_fact": lambda spark, sf_dir: portable(incremental_fact(spark, sf_dir)),
     "incremental_clean": lambda spark, sf_dir: portable(incremental_clean(spark, sf_dir)),
     "streamed_clean": lambda spark, sf_dir: portable(streamed_clean(spark, sf_dir)),
 }

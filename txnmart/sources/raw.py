@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnmart.operators.numbering import running_total
 from txnmart.schemas import RAW, SOURCE, SOURCE_FIELDS
+from txnmart.session import written
 
 # Texts a profiling read treats as missing.
 MISSING_TEXTS = [
@@ -20,12 +23,13 @@ MISSING_TEXTS = [
 _NULL_MARK = "\u0001"
 
 
-def read_raw(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Nine text columns by position, header skipped; a row of any other width fails the read.
 
-    Quoted line breaks are legal, so by default each file is parsed by one task and
-    large extracts should come as many files. ``multiline=False`` splits files
-    further, for sources known to hold no line breaks inside fields.
+    Files are split, so that one large extract is parsed by many tasks. A line break inside a
+    quoted field makes two short rows of one, which fails the read as well; files with such
+    fields need ``multiline=True``, which parses each file in one task. Rows are parsed whole
+    even if few columns are asked for: pruned columns would not be counted for the width.
     """
     return (
         spark.read.schema(SOURCE)
@@ -33,6 +37,7 @@ def read_raw(spark: SparkSession, path: str, multiline: bool = True) -> DataFram
         .option("enforceSchema", True)
         .option("mode", "FAILFAST")
         .option("multiLine", multiline)
+        .option("columnPruning", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", _NULL_MARK)
@@ -41,17 +46,40 @@ def read_raw(spark: SparkSession, path: str, multiline: bool = True) -> DataFram
     )
 
 
-def read_source(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def missing_as_null(df: DataFrame) -> DataFrame:
+    """What a profile sees of source rows: the usual missing-value texts as NULL. Other columns stay."""
+    seen = {name: F.when(~F.col(name).isin(MISSING_TEXTS), F.col(name)) for name in SOURCE_FIELDS if name in df.columns}
+    return df.withColumns(seen)
+
+
+def read_source(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Source sample for profiling: like `read_raw`, with the usual missing-value texts as NULL."""
-    raw = read_raw(spark, path, multiline)
-    return raw.select(
-        *[F.when(~F.col(name).isin(MISSING_TEXTS), F.col(name)).alias(name) for name in SOURCE_FIELDS]
-    )
+    return missing_as_null(read_raw(spark, path, multiline))
 
 
 def with_row_id(df: DataFrame, first: int = 0) -> DataFrame:
-    """Add ``raw_row_id`` from ``first`` upwards in file order. Write the result before using it twice."""
-    return df.select((F.monotonically_increasing_id() + first).alias("raw_row_id"), "*")
+    """Add ``raw_row_id`` from ``first`` upwards: by file path, and in each file by row.
+
+    Tasks read splits in an order of their own, so rows are numbered within their split and
+    splits by path and offset. A frame that doesn't come from files is numbered by its
+    partitions; write that result before using it twice.
+    """
+    try:
+        meta = df.metadataColumn("_metadata")
+        placed = df.select(
+            "*",
+            meta["file_path"].alias("_path"),
+            meta["file_block_start"].alias("_start"),
+            F.monotonically_increasing_id().alias("_at"),
+        )
+    except AnalysisException:
+        return df.select((F.monotonically_increasing_id() + first).alias("raw_row_id"), "*")
+    rows = written(placed)
+    splits = rows.groupBy("_path", "_start").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    offsets = written(running_total(splits, ["_path", "_start"], "_rows", "_before").drop("_rows"))
+    number = F.col("_before") + F.col("_at") - F.col("_first") + first
+    numbered = rows.join(offsets, ["_path", "_start"])
+    return numbered.select(number.alias("raw_row_id"), *df.columns)
 
 
 def instant(as_of: str | None) -> Column:

@@ -16,10 +16,22 @@ from pyspark.sql import types as T
 from txnmart.functions.calendar import month_start
 from txnmart.operators.cleaning import typed
 from txnmart.operators.dedup import dedup_latest
-from txnmart.operators.fact import CLEAN_COLUMNS, clean_latest
+from txnmart.operators.dims import (
+    NAMED,
+    channel_names,
+    dim_date,
+    dim_status,
+    label_spans,
+    merge_dim,
+    payment_method_names,
+    product_category_names,
+)
+from txnmart.operators.fact import CLEAN_COLUMNS, Dims, build_fact, clean_latest, with_month
 from txnmart.operators.quality import quarantine
-from txnmart.schemas import QUARANTINE, RAW, SOURCE_FIELDS
+from txnmart.plans.mart import Mart, open_mart
+from txnmart.schemas import DIM_DATE, FACT, QUARANTINE, RAW, SOURCE_FIELDS, dim_schema
 from txnmart.session import written
+from txnmart.sources.raw import write_table
 
 CLEAN_SCHEMA = T.StructType(
     [
@@ -82,7 +94,11 @@ def upsert(incoming: DataFrame, path: str) -> None:
         return
     affected = existing.filter(F.col("month_start").isin(touched))
     merged = merge_latest(affected, incoming).withColumn("month_start", month_start(F.col("order_ts")))
-    staged = written(merged)
+    _replace_months(written(merged), path, touched)
+
+
+def _replace_months(staged: DataFrame, path: str, touched: list[date]) -> None:
+    """Replace the months ``touched`` of the table at ``path`` by the staged rows."""
     (
         staged.hint("rebalance", F.col("month_start"))
         .write.mode("overwrite")
@@ -109,6 +125,59 @@ def apply_batch(raw: DataFrame, batch: str, clean_path: str, quarantine_path: st
     quarantine(cleaned, as_of).write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch}")
 
 
+def apply_to_mart(
+    raw: DataFrame, batch: str, path: str, as_of: str | None = None, loaded_at: str | None = None
+) -> Mart:
+    """Carry one batch of raw rows through to the mart under ``path``, which it creates if it's the first.
+
+    New labels get keys after the known ones, which keep theirs; the calendar grows to
+    the batch's days; of the fact only months are replaced that the batch has rows for or had its
+    ids in. Every step can be run again after a failure with the same result.
+    """
+    spark = raw.sparkSession
+    cleaned = typed(raw)
+    incoming = written(clean_latest(cleaned, as_of))
+    create_clean_table(spark, f"{path}/clean")
+    upsert(incoming, f"{path}/clean")
+
+    spans = written(label_spans(raw, as_of))
+    names = channel_names(incoming).unionByName(product_category_names(spans)).unionByName(payment_method_names(spans))
+    names = written(names)
+    known = {entity: _stored(spark, f"{path}/dim_{entity}", dim_schema(entity)) for entity in NAMED}
+    merged = {}
+    for entity, dim in known.items():
+        own = names.filter(F.col("entity") == entity).select(F.col("name").alias(f"{entity}_name"))
+        merged[entity] = write_table(written(merge_dim(dim, own, entity)), f"{path}/dim_{entity}")
+    days = _stored(spark, f"{path}/dim_date", DIM_DATE).agg(
+        F.min("date_actual").alias("min_date"), F.max("date_actual").alias("max_date")
+    )
+    calendar = dim_date(days.unionByName(spans.select("min_date", "max_date")))
+    dims = Dims(
+        date=write_table(written(calendar), f"{path}/dim_date"),
+        status=write_table(dim_status(spark), f"{path}/dim_status"),
+        **merged,
+    )
+
+    # Months are asked from the fact, not from the clean table, which a failed attempt may have changed.
+    months = T.StructType([*FACT.fields, T.StructField("month_start", T.DateType())])
+    fact = _stored(spark, f"{path}/fact", months)
+    held = fact.join(incoming.select("transaction_id"), "transaction_id", "left_semi").select("month_start")
+    touched = _months(held.unionByName(incoming.select(month_start(F.col("order_ts")).alias("month_start"))))
+    rows = clean_table(spark, f"{path}/clean").filter(F.col("month_start").isin(touched))
+    _replace_months(written(with_month(build_fact(rows, dims, loaded_at))), f"{path}/fact", touched)
+
+    quarantine(cleaned, as_of, quarantined_at=loaded_at).write.mode("overwrite").parquet(f"{path}/quarantined/batch={batch}")
+    kept = quarantine_table(spark, f"{path}/quarantined").select(QUARANTINE.fieldNames())
+    write_table(written(kept), f"{path}/quarantine")
+    return open_mart(raw, path, as_of)
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``, empty if there is none yet."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def load_new(
     spark: SparkSession,
     landed_path: str,
