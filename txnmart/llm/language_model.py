@@ -107,15 +107,29 @@ def dealt(kind: str, level: int, buckets: int, keys: np.ndarray, words: np.ndarr
     edges = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
     for bucket in np.flatnonzero(np.diff(edges)):
         part = slice(edges[bucket], edges[bucket + 1])
+        some, own = words[:, part], counts[part]
+        # n-grams with the same first word side by side, as runs take little room.
+        order = np.argsort(some[0]) if len(some) > 1 else slice(None)
         yield {
             "kind": kind,
             "level": level,
             "bucket": int(bucket),
-            "keys": np.ascontiguousarray(words[:, part]).tobytes(),
-            "counts": np.ascontiguousarray(counts[part].T).tobytes(),
+            "keys": packed(some[:, order]),
+            "counts": packed(own[order].T),
         }
 
 
+def packed(array: np.ndarray) -> bytes:
+    """Whole numbers of 8 bytes, compressed, after their number of bytes."""
+    raw = np.ascontiguousarray(array).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    raw = pa.Codec("zstd", 1).decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+    return np.frombuffer(raw, np.uint64)
+
+
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
@@ -170,11 +184,10 @@ def merged(rows: DataFrame, folder: str, buckets: int) -> DataFrame:
 
     def merge(table: pa.Table) -> pa.Table:
         kind, level, bucket = (table[name][0].as_py() for name in ("kind", "level", "bucket"))
-        blobs = [np.frombuffer(blob.as_py(), np.uint64).reshape(-1 if kind == "context" else level, len(blob.as_py()) // 8 // (1 if kind == "context" else level)) for blob in table["keys"]]
-        words = np.concatenate(blobs, axis=1)
-        counts = np.concatenate(
-            [np.frombuffer(blob.as_py(), np.uint64).reshape(-1, own.shape[1]).T for blob, own in zip(table["counts"], blobs, strict=True)]
-        )
+        width = 1 if kind == "context" else level
+        columns = 4 if kind == "context" else 1
+        words = np.concatenate([unpacked(blob.as_py()).reshape(width, -1) for blob in table["keys"]], axis=1)
+        counts = np.concatenate([unpacked(blob.as_py()).reshape(columns, -1).T for blob in table["counts"]])
         keys, words, counts = summed(mixed(words) if kind == "gram" else words[0], words, counts)
         name = f"{kind}-{level}-{bucket}"
         store(folder, f"{name}-keys", keys)
