@@ -14,11 +14,13 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from txnmart import queries
 from txnmart.operators import synth
+from txnmart.operators.joins import lookup
 from txnmart.plans.mart import build_mart
-from txnmart.session import local_session
+from txnmart.session import local_session, release
 from txnmart.sources.raw import land as land_table
 from txnmart.sources.sample import AS_OF
 
@@ -51,6 +53,13 @@ HEADLINES = [
     "value_shares",
     "fit_lognormal",
     "compare_distribution",
+    "violations",
+    "published_fact",
+    "daily_monitor",
+    "channel_share_by_week",
+    "reconciliation",
+    "incremental_clean",
+    "incremental_fact",
 ]
 
 
@@ -75,9 +84,17 @@ def jobs(spark, sf_dir: str, synthetic_rows: int) -> dict[str, Callable[[], obje
     def load_generated() -> None:
         build_mart(spark.read.parquet(generated), queries.scratch(spark, "mart"), AS_OF)
 
+    def skewed_lookup() -> None:
+        # A third of the rows share a label; the dimension counts as too large for a broadcast.
+        rows = spark.range(synthetic_rows).withColumn("label", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")))
+        names = spark.range(synthetic_rows).select(F.col("id").cast("string").alias("name"), F.col("id").alias("key"))
+        dim = names.unionByName(spark.sql("SELECT 'hot' AS name, -1L AS key"))
+        run(lookup(rows, dim, {"label": "name"}, size=1, max_bytes=0))
+
     todo: dict[str, Callable[[], object]] = {"land_raw": land, "build_mart": build}
     for name in HEADLINES:
         todo[name] = lambda name=name: run(queries.QUERIES[name](spark, sf_dir))
+    todo["skewed_lookup"] = skewed_lookup
     todo["generate"] = generate
     todo["load_generated"] = load_generated
     return todo
@@ -107,6 +124,7 @@ def main() -> None:
             }
         )
     )
+    release(spark)
     spark.stop()
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import AS_OF, GOOD, rows_of
 from txnmart.operators.profile import value_shares
 from txnmart.schemas import RAW, SOURCE_FIELDS
+from txnmart.session import release, written
 from txnmart.sources.raw import land, map_source, read_raw, read_source, with_row_id, write_csv
 from txnmart.streaming.incremental import past_mark
 
@@ -111,3 +112,11 @@ def test_mapping_fills_missing_fields_with_null(spark):
     assert mapped.first()[:3] == ("N7", None, "x")
     with pytest.raises(ValueError, match="colour"):
         map_source(other, {"colour": "kind"})
+
+
+def test_release_removes_intermediate_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("txnmart.session.shared_dir", lambda _: str(tmp_path / "shared"))
+    stored = written(spark.range(5))
+    assert stored.count() == 5 and list((tmp_path / "shared/tables").iterdir())
+    release(spark)
+    assert not list((tmp_path / "shared/tables").iterdir())

@@ -40,13 +40,24 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate tables of this application, under the shared folder."""
+    return f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
     """Cut the lineage of ``df`` by writing it as a table and reading that back.
 
     Unlike ``checkpoint()`` this computes ``df`` once, and the planner sees the
-    true size of the result.
+    true size of the result. Tables stay until `release`, as frames read them lazily.
     """
     spark = df.sparkSession
-    target = path or f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    target = path or work_folder(spark, "table")
     df.write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application. Results that read them must be stored before."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
