@@ -18,14 +18,13 @@ table gives an empty result.
 
 from __future__ import annotations
 
-import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnmart.llm.common import PLACE, placed, text_of
-from txnmart.session import shared_dir, written
+from txnmart.session import work_folder, written
 
 STATE = "spark.sql.streaming.stateStore"
 #: Stores are many and small, so their files aren't allocated ahead.
@@ -83,7 +82,7 @@ def groups(docs: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> DataFrame
     """
     spark = docs.sparkSession
     text = text_of()
-    folder = f"{shared_dir(spark)}/dedup-{uuid.uuid4().hex}"
+    folder = work_folder(spark, "dedup")
     feed = written(placed(docs, "doc_id", F.sha2(text, 256).alias("digest")), f"{folder}/feed")
     if feed.isEmpty():
         return feed.select("doc_id", "digest", F.col("doc_id").alias("keep_id"), F.lit(0).cast("long").alias("group_size"), F.lit(False).alias("kept"), *PLACE)

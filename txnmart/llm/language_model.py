@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnmart.llm.common import PLACE, placed, text_of
-from txnmart.session import shared_dir, written
+from txnmart.session import work_folder, written
 
 ORDER = 2
 #: Tokens that a task counts at once.
@@ -248,7 +248,7 @@ def train(docs: DataFrame, order: int = ORDER, buckets: int | None = None) -> St
     """Count the n-grams of ``docs`` (all of its rows) and store the model."""
     spark = docs.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    folder = f"{local_path(shared_dir(spark))}/ngrams-{uuid.uuid4().hex}"
+    folder = local_path(work_folder(spark, "ngrams"))
     os.makedirs(folder)
     counts = counted(docs, order, buckets)
     tallies: dict[tuple[str, int], list[int]] = {}
