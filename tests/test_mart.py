@@ -25,7 +25,7 @@ def mart(spark):
 
 
 def test_every_raw_row_is_accounted_for(mart):
-    row = quality.row_accounting(mart.raw, mart.fact, AS_OF).first()
+    row = quality.row_accounting(mart.accounting, mart.fact).first()
     assert row.asDict() == {
         "raw_rows": 1512, "exact_duplicate_rows": 12, "quarantined_rows": 120, "rows_without_status": 3,
         "superseded_rows": 97, "fact_rows": 1280}

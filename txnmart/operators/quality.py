@@ -198,12 +198,9 @@ def load_counts(raw: DataFrame, fact: DataFrame, quarantined: DataFrame) -> Data
     return reduce(DataFrame.unionByName, parts).withColumnRenamed("value", "row_count")
 
 
-def dq_summary(raw: DataFrame, fact: DataFrame, quarantined: DataFrame) -> DataFrame:
-    """The data-quality report as (metric, value) rows."""
-    copies = dedup_exact(row_texts(raw)).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("exact_duplicate_rows_removed"),
-    )
+def dq_summary(accounting: DataFrame, fact: DataFrame, quarantined: DataFrame) -> DataFrame:
+    """The data-quality report as (metric, value) rows, given `classified` of the raw rows."""
+    copies = accounting.select("raw_rows", F.col("exact_duplicate_rows").alias("exact_duplicate_rows_removed"))
     quarantined_rows = quarantined.agg(F.count(F.lit(1)).alias("invalid_or_quarantined_rows_after_exact_dedup"))
     eligible = F.col("is_value_eligible")
     modeled = fact.agg(
@@ -220,25 +217,31 @@ def dq_summary(raw: DataFrame, fact: DataFrame, quarantined: DataFrame) -> DataF
     return reduce(DataFrame.unionByName, [as_rows(part) for part in (copies, quarantined_rows, modeled)])
 
 
-def row_accounting(raw: DataFrame, fact: DataFrame, as_of: str | None) -> DataFrame:
-    """Where every raw row went, one row:
-    raw = exact duplicates + quarantined + without status + superseded versions + fact.
+def classified(raw: DataFrame, as_of: str | None) -> DataFrame:
+    """Counts of raw rows by what becomes of them, one row.
 
-    Rows are classified once per distinct source text, after copies are combined.
+    Rows are classified once per distinct source text, after copies are combined. This shuffles
+    all distinct texts, so a build does it once and stores the row.
     """
     texts = dedup_exact(row_texts(raw)).withColumnRenamed("transaction_id_raw", "transaction_id")
     ok = F.coalesce(acceptable(as_of), F.lit(False))
     no_status = F.col("status_clean").isNull()
     cleaned = typed(texts, keep=["copies"])
-    counts = cleaned.agg(
+    return cleaned.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("exact_duplicate_rows"),
         F.count_if(~ok).alias("quarantined_rows"),
         F.count_if(ok & no_status).alias("rows_without_status"),
         F.count_if(ok & ~no_status).alias("valid_rows"),
     )
+
+
+def row_accounting(accounting: DataFrame, fact: DataFrame) -> DataFrame:
+    """Where every raw row went, one row, given `classified` of the raw rows:
+    raw = exact duplicates + quarantined + without status + superseded versions + fact.
+    """
     modeled = fact.agg(F.count(F.lit(1))).scalar()
-    return counts.select(
+    return accounting.select(
         "raw_rows",
         "exact_duplicate_rows",
         "quarantined_rows",

@@ -40,6 +40,7 @@ class Mart:
     dim_product_category: DataFrame
     dim_payment_method: DataFrame
     dim_status: DataFrame
+    accounting: DataFrame
     as_of: str | None = None
 
     @property
@@ -61,10 +62,10 @@ def build_mart(
 ) -> Mart:
     """Full refresh of all tables under ``path`` from stored raw rows.
 
-    The only shuffles over all rows are the business-key deduplication and the layout
-    of the fact by month. Deduplicated rows are written once because both the channel
-    dimension and the fact start from them; ``clean`` passes in those rows where an
-    incremental load already keeps them.
+    The only shuffles over all rows are the business-key deduplication, the layout of the
+    fact by month, and one of distinct texts for the counts that reports show. Deduplicated
+    rows are written once because both the channel dimension and the fact start from them;
+    ``clean`` passes in those rows where an incremental load already keeps them.
     """
     spark = raw.sparkSession
     cleaned = typed(raw)
@@ -87,6 +88,7 @@ def build_mart(
     fact = with_month(build_fact(clean, dims, loaded_at)).hint("rebalance", F.col("month_start"))
     save_table(fact, f"{path}/fact", partition_by=["month_start"])
     save_table(quality.quarantine(cleaned, as_of, strict_status, loaded_at), f"{path}/quarantine")
+    save_table(quality.classified(raw, as_of), f"{path}/accounting")
     return open_mart(raw, path, as_of)
 
 
@@ -106,6 +108,7 @@ def open_mart(raw: DataFrame, path: str, as_of: str | None = None) -> Mart:
         dim_product_category=table("dim_product_category", schemas.dim_schema("product_category")),
         dim_payment_method=table("dim_payment_method", schemas.dim_schema("payment_method")),
         dim_status=table("dim_status", schemas.dim_schema("status")),
+        accounting=table("accounting", schemas.ACCOUNTING),
         as_of=as_of,
     )
 

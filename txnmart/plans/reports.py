@@ -15,7 +15,7 @@ def reports(mart: Mart) -> dict[str, DataFrame]:
         "weekly_growth": metrics.weekly_growth_report(mart),
         "channel_mix": metrics.channel_mix(mart),
         "product_category_mix": metrics.product_category_mix(mart),
-        "dq_summary": quality.dq_summary(mart.raw, mart.fact, mart.quarantine),
+        "dq_summary": quality.dq_summary(mart.accounting, mart.fact, mart.quarantine),
     }
 
 

@@ -502,8 +502,8 @@ QUERIES: dict[str, Query] = {
     "null_violations": _on_raw(raw_nulls),
     # accounting
     "load_counts": _on_mart(lambda m: quality.load_counts(m.raw, m.fact, m.quarantine)),
-    "dq_summary": _on_mart(lambda m: quality.dq_summary(m.raw, m.fact, m.quarantine)),
-    "row_accounting": _on_mart(lambda m: quality.row_accounting(m.raw, m.fact, AS_OF)),
+    "dq_summary": _on_mart(lambda m: quality.dq_summary(m.accounting, m.fact, m.quarantine)),
+    "row_accounting": _on_mart(lambda m: quality.row_accounting(m.accounting, m.fact)),
     "validate_raw": _on_raw(quality.validate_raw),
     # metrics
     "totals": _on_mart(lambda m: metrics.totals(m.fact)),

@@ -79,3 +79,11 @@ FACT = T.StructType(
         T.StructField("loaded_at", T.TimestampType(), False),
     ]
 )
+
+# Counts of raw rows by what becomes of them; one row.
+ACCOUNTING = T.StructType(
+    [
+        T.StructField(name, T.LongType())
+        for name in ("raw_rows", "exact_duplicate_rows", "quarantined_rows", "rows_without_status", "valid_rows")
+    ]
+)

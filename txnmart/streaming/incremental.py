@@ -27,9 +27,9 @@ from txnmart.operators.dims import (
     product_category_names,
 )
 from txnmart.operators.fact import CLEAN_COLUMNS, Dims, build_fact, clean_latest, with_month
-from txnmart.operators.quality import quarantine
+from txnmart.operators.quality import classified, quarantine
 from txnmart.plans.mart import Mart, open_mart
-from txnmart.schemas import DIM_DATE, FACT, QUARANTINE, RAW, SOURCE_FIELDS, dim_schema
+from txnmart.schemas import ACCOUNTING, DIM_DATE, FACT, QUARANTINE, RAW, SOURCE_FIELDS, dim_schema
 from txnmart.session import written
 from txnmart.sources.raw import write_table
 
@@ -167,8 +167,14 @@ def apply_to_mart(
     _replace_months(written(with_month(build_fact(rows, dims, loaded_at))), f"{path}/fact", touched)
 
     quarantine(cleaned, as_of, quarantined_at=loaded_at).write.mode("overwrite").parquet(f"{path}/quarantined/batch={batch}")
-    kept = quarantine_table(spark, f"{path}/quarantined").select(QUARANTINE.fieldNames())
+    kept = quarantine_table(spark, f"{path}/quarantined").withColumn("quarantine_id", F.col("raw_row_id"))
+    kept = kept.select(QUARANTINE.fieldNames())
     write_table(written(kept), f"{path}/quarantine")
+    # Copies of a row in different batches count as distinct here; a full build combines them.
+    classified(raw, as_of).write.mode("overwrite").parquet(f"{path}/accounted/batch={batch}")
+    batches = spark.read.schema(ACCOUNTING).parquet(f"{path}/accounted")
+    sums = batches.agg(*[F.sum(name).alias(name) for name in ACCOUNTING.fieldNames()])
+    write_table(written(sums), f"{path}/accounting")
     return open_mart(raw, path, as_of)
 
 
