@@ -54,11 +54,9 @@ HEADLINES = [
     "fit_lognormal",
     "compare_distribution",
     "violations",
-    "published_fact",
     "daily_monitor",
     "channel_share_by_week",
     "reconciliation",
-    "incremental_clean",
     "incremental_fact",
 ]
 
