@@ -33,7 +33,7 @@ DEGREE = 20
 #: Best neighbours of a node that take part in a round.
 JOINED = 20
 CHUNK = 64
-TABLES = 24
+TABLES = 32
 BUCKET = 800
 LARGEST = 2048
 #: Nearest of a bucket that a node's list starts from.
@@ -41,7 +41,7 @@ STARTS = 8
 ROUNDS = 6
 #: A round that changes less than this share of all list entries is the last.
 CHANGE = 0.03
-BEAM = 64
+BEAM = 96
 EXPANDED = 16
 PIVOTS = 16
 SPREAD = 48
