@@ -5,6 +5,8 @@ Money is DOUBLE, counts are BIGINT, dates and timestamps are text on both sides.
 
 from __future__ import annotations
 
+import hashlib
+
 AS_OF = "TIMESTAMP '2026-06-01 00:00:00'"
 
 RAW = r"""
@@ -250,6 +252,97 @@ fitted AS (
         FROM {_present("raw")} WHERE product_category IS NOT NULL AND try_cast(amount AS DOUBLE) > 0)
   GROUP BY category)"""
 
+
+
+def _number(salt: str) -> str:
+    """A draw below 2^62 from the scattered columns b0 to b3."""
+    halves = []
+    for half, prime in enumerate((2147483647, 2147483629)):
+        digest = hashlib.sha256(f"{salt}/42/{half}".encode()).digest()
+        weights = [int.from_bytes(digest[8 * at : 8 * at + 8], "big") % (prime - 1) + 1 for at in range(4)]
+        halves.append("(" + " + ".join(f"b{at} * {weight}" for at, weight in enumerate(weights)) + f") % {prime}")
+    return f"(({halves[0]}) * 2147483648 + ({halves[1]}))"
+
+
+def _uniform(salt: str) -> str:
+    return f"(CAST({_number(salt)} // 512 AS DOUBLE) / CAST(9007199254740992 AS DOUBLE))"
+
+
+def _scattered(table: str, row: str) -> str:
+    parts = ", ".join(f"CAST('0x' || substr(h, {1 + 7 * at}, 7) AS BIGINT) AS b{at}" for at in range(4))
+    return f"(SELECT * EXCLUDE h, {parts} FROM (SELECT *, md5(CAST({row} AS VARCHAR)) AS h FROM {table}))"
+
+
+def _hit(issue: str, rate: float) -> str:
+    return f"{_uniform(f'issue/{issue}')} < CAST({rate} AS DOUBLE)"
+
+
+def _broken(table: str, row: str) -> str:
+    """A table's rows with issues injected."""
+    return f"""(SELECT * REPLACE (CASE WHEN {_hit("negative_amount", 0.002)}
+    THEN CAST(-abs(try_cast(amount AS DECIMAL(14, 2))) AS VARCHAR) ELSE amount END AS amount) FROM (
+  SELECT * REPLACE (
+    CASE WHEN {_hit("malformed_timestamp", 0.0015)} THEN '2026-13-01 99:99'
+         WHEN NOT {_hit("null_timestamp", 0.0015)} THEN order_timestamp END AS order_timestamp,
+    CASE WHEN NOT {_hit("null_channel", 0.005)} THEN channel END AS channel,
+    CASE WHEN NOT {_hit("null_product", 0.0035)} THEN product_category END AS product_category,
+    CASE WHEN {_hit("zero_amount", 0.002)} THEN '0' WHEN NOT {_hit("null_amount", 0.01)} THEN amount END AS amount)
+  FROM {_scattered(table, row)}))"""
+
+
+_DRAWN = ("day", "product_category", "channel", "quantity", "payment_method", "status")
+_LINES = {"channel": "channel", "product_category": _TITLE, "status": "lower(status)", "payment_method": "payment_method",
+          "quantity": f"CAST({_WHOLE} AS VARCHAR)"}
+_GENERATED = f"""
+source AS (SELECT * FROM {_present("raw")}),
+weighed AS (
+  {" UNION ALL ".join(f"SELECT '{a}' AS attribute, {v} AS value, count(*) AS n FROM source WHERE {v} IS NOT NULL GROUP BY {v}" for a, v in _LINES.items())}
+  UNION ALL SELECT 'day', CAST(CAST(d AS DATE) AS VARCHAR), (CASE WHEN isodow(d) >= 6 THEN 125 ELSE 100 END)
+    * (CASE WHEN month(d) IN (11, 12) THEN 125 ELSE 100 END)
+    * (CASE WHEN month(d) = 4 AND day(d) BETWEEN 15 AND 25 THEN 170 ELSE 100 END)
+  FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2026-12-31', INTERVAL 1 DAY)) AS d)),
+placed AS (
+  SELECT attribute, value, CAST(sum(n) OVER (PARTITION BY attribute ORDER BY value) AS BIGINT) AS high, n FROM weighed),
+totals AS (SELECT attribute, CAST(sum(n) AS BIGINT) AS total FROM weighed GROUP BY attribute),
+fit AS (
+  SELECT category, avg(l) AS log_mean, coalesce(nullif(stddev_pop(l), 0), 0.25) AS log_std
+  FROM (SELECT {_TITLE} AS category, ln(greatest(try_cast(amount AS DOUBLE), 1)) AS l
+        FROM source WHERE product_category IS NOT NULL AND try_cast(amount AS DOUBLE) > 0)
+  GROUP BY category),
+pool AS (SELECT greatest(max(try_cast(replace(customer_id, 'C', '') AS BIGINT)) * 20, 50000) AS pool FROM source),
+chunks AS (
+  SELECT first, least(250000, n - first) AS size, CAST(floor(least(250000, n - first) * 0.008) AS BIGINT) AS copies
+  FROM (SELECT n, unnest(range(0, n, 250000)) AS first FROM size)),
+picks AS (
+  SELECT *, first + pick AS spot, pick * size // copies AS low, (pick + 1) * size // copies AS high
+  FROM (SELECT *, unnest(range(copies)) AS pick FROM chunks)),
+ids AS (
+  SELECT unnest(range(n)) AS r FROM size
+  UNION ALL SELECT first + low + {_number("duplicate")} % (high - low) FROM {_scattered("picks", "spot")}),
+numbers AS (
+  SELECT r, {", ".join(f"{_number(a)} % (SELECT total FROM totals WHERE attribute = '{a}') AS n_{a}" for a in _DRAWN)},
+    {_number("second")} % 86400 AS second, {_number("customer")} % (SELECT pool FROM pool) + 1 AS customer,
+    sqrt(-2 * ln(1 - {_uniform("amount/radius")})) * cos(2 * pi() * {_uniform("amount/angle")}) AS z
+  FROM {_scattered("ids", "r")}),
+made AS (
+  SELECT r, 'SYN' || (1000000 + r) AS transaction_id,
+    strftime(CAST(day.value AS TIMESTAMP) + to_seconds(second), '%Y-%m-%d %H:%M:%S') AS order_timestamp,
+    channel.value AS channel, product_category.value AS product_category, quantity.value AS quantity,
+    CAST(CAST(exp(coalesce(log_mean, 4.0) + coalesce(log_std, 0.5) * z) AS DECIMAL(14, 2)) AS VARCHAR) AS amount,
+    payment_method.value AS payment_method, 'C' || customer AS customer_id, status.value AS status
+  FROM numbers
+  {" ".join(f"JOIN placed AS {a} ON {a}.attribute = '{a}' AND n_{a} >= {a}.high - {a}.n AND n_{a} < {a}.high" for a in _DRAWN)}
+  LEFT JOIN fit ON fit.category = product_category.value),
+synthetic AS (SELECT {NINE} FROM {_broken("made", "r")})"""
+
+
+def _both_shares(attribute: str, value: str) -> str:
+    ours = _shares(attribute, value)
+    theirs = ours.replace("FROM raw)", "FROM synthetic)")
+    return f"""SELECT '{attribute}' AS attribute, coalesce(a.value, b.value) AS value, coalesce(a.share, 0) AS source_share,
+  coalesce(b.share, 0) AS synthetic_share FROM ({ours}) a FULL JOIN ({theirs}) b ON a.value = b.value"""
+
+
 _CHECKS = [
     "duplicate fact.transaction_id", "duplicate dim_date.date_key", "duplicate dim_date.date_actual",
     *[f"duplicate dim_{e}.{e}_{part}" for e in ("channel", "product_category", "payment_method", "status")
@@ -563,26 +656,24 @@ FROM (SELECT day, CAST((CASE WHEN dow >= 6 THEN 125 ELSE 100 END)
         f"SELECT n + {_COPIES} AS rows_including_duplicates, n AS distinct_rows, CAST(2 AS BIGINT) AS most_copies FROM size",
         _SIZE,
     ),
+    "synth_transactions": _after(RAW, f"SELECT {NINE} FROM synthetic", _SIZE, _GENERATED),
     "synth_shares": _after(
         RAW,
-        "SELECT attribute, value, share AS source_share, true AS share_kept FROM ("
-        + " UNION ALL ".join(
-            [
-                _shares("channel", "channel"),
-                _shares("product_category", _TITLE),
-                _shares("status", "lower(status)"),
-                _shares("payment_method", "payment_method"),
-            ]
-        )
-        + ")",
+        " UNION ALL ".join(_both_shares(a, _LINES[a]) for a in ("channel", "product_category", "status", "payment_method")),
+        _SIZE,
+        _GENERATED,
     ),
     "synth_amounts": _after(
-        RAW, "SELECT product_category, log_mean, log_std, true AS parameters_kept FROM fitted", _FITTED
+        RAW,
+        "SELECT a.product_category, a.log_mean, a.log_std, b.log_mean AS new_mean, b.log_std AS new_std "
+        "FROM fitted a JOIN again b ON a.product_category = b.product_category",
+        _SIZE,
+        _GENERATED,
+        _FITTED,
+        _FITTED.replace("fitted AS", "again AS").replace("FROM raw)", "FROM synthetic)"),
     ),
     "inject_issues": _after(
-        RAW,
-        """SELECT count(*) AS row_count, true AS null_timestamp, true AS malformed_timestamp, true AS null_channel,
-  true AS null_product, true AS null_amount, true AS zero_amount, true AS negative_amount FROM raw""",
+        RAW, f"SELECT raw_row_id, order_timestamp, channel, product_category, amount FROM {_broken('raw', 'raw_row_id')}"
     ),
     "incremental_clean": _after(LATEST, CLEAN_ROWS + " FROM latest"),
     "streamed_clean": _after(LATEST, CLEAN_ROWS + " FROM latest"),

@@ -84,9 +84,9 @@ def test_date_key_and_week_of_a_timestamp(spark):
 
 def test_draws_are_uniform_and_independent_of_partitioning(spark):
     def figures(partitions):
-        ids = spark.range(0, 50_000, 1, partitions)
-        u, z = draws.uniform(F.col("id"), "u", 1), draws.standard_normal(F.col("id"), "z", 1)
-        below = draws.below(F.col("id"), "b", 1, F.lit(10))
+        ids = draws.scattered(spark.range(0, 50_000, 1, partitions), "id")
+        u, z = draws.uniform("u", 1), draws.standard_normal("z", 1)
+        below = draws.below("b", 1, F.lit(10))
         return ids.agg(
             F.round(F.avg(u), 9), F.min(u) >= 0, F.max(u) < 1, F.round(F.avg(z), 9), F.round(F.stddev_pop(z), 9),
             F.min(below), F.max(below), F.round(F.corr(u, z), 3),

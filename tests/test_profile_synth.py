@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
-from txnmart.functions.draws import below
+from txnmart.functions.draws import below, scattered
 from txnmart.operators import profile, synth
 from txnmart.schemas import SOURCE_FIELDS
 
@@ -130,7 +130,8 @@ def test_draws_find_the_interval_that_holds_the_number(spark, raw):
     assert draws.lines["channel"] == (len(labels), len(labels) // len(values))
 
     ids = spark.range(2_000).withColumnRenamed("id", "row_number")
-    numbers = ids.withColumn("n", below(F.col("row_number"), "channel", 42, F.lit(len(labels))))
+    ids = scattered(ids, "row_number")
+    numbers = ids.withColumn("n", below("channel", 42, F.lit(len(labels))))
     expected = {row.row_number: values[bisect.bisect_right(ends, row.n)] for row in numbers.collect()}
     for size in (draws.size, 1 << 40):
         drawn = synth.draw(ids, dataclasses.replace(draws, size=size), "channel").collect()

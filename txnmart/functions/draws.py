@@ -1,31 +1,65 @@
-"""Hash-based random draws.
+"""Random draws that any SQL engine can repeat.
 
-A draw depends on (row id, salt, seed) only, so the output is the same whatever
-the partitioning and however often a lost task is run again.
+A row's number is scattered once, by MD5, into four whole numbers below 2^28. A draw is a weighted
+sum of them modulo a prime, with weights by salt and seed, so it costs a few multiplications
+below 2^63 and any four draws of a row are independent. Draws depend on (row number, salt, seed)
+only: output is the same whatever the partitioning and however often a lost task is run again.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+from functools import reduce
+from operator import add
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: The two largest primes below 2^31, for the high and the low half of a draw.
+PRIMES = (2147483647, 2147483629)
+HALF_BITS = 31
+BITS = ["_bits0", "_bits1", "_bits2", "_bits3"]
+DIGITS = 7
 RESOLUTION = 1 << 53
 
 
-def uniform(row_id: Column, salt: str, seed: int) -> Column:
+def scattered(df: DataFrame, row_id: str) -> DataFrame:
+    """Add the columns `BITS` that draws are made of."""
+    hashed = df.withColumn("_md5", F.md5(F.col(row_id).cast("string").cast("binary")))
+    parts = {name: F.conv(F.substring("_md5", 1 + DIGITS * at, DIGITS), 16, 10).cast("long") for at, name in enumerate(BITS)}
+    return hashed.withColumns(parts).drop("_md5")
+
+
+def weights(salt: str, seed: int, half: int) -> list[int]:
+    digest = hashlib.sha256(f"{salt}/{seed}/{half}".encode()).digest()
+    return [int.from_bytes(digest[8 * at : 8 * at + 8], "big") % (PRIMES[half] - 1) + 1 for at in range(len(BITS))]
+
+
+def number(salt: str, seed: int) -> Column:
+    """Uniform long in [0, 2^62)."""
+    high, low = (
+        reduce(add, (F.col(name) * F.lit(weight) for name, weight in zip(BITS, weights(salt, seed, half), strict=True))) % F.lit(prime)
+        for half, prime in enumerate(PRIMES)
+    )
+    return high * F.lit(1 << HALF_BITS) + low
+
+
+def uniform(salt: str, seed: int) -> Column:
     """Uniform double in [0, 1)."""
-    bits = F.xxhash64(row_id, F.lit(salt), F.lit(seed)).bitwiseAND(F.lit(RESOLUTION - 1))
-    return bits / F.lit(float(RESOLUTION))
+    return F.shiftright(number(salt, seed), 2 * HALF_BITS - 53) / F.lit(float(RESOLUTION))
+
 
+def below(salt: str, seed: int, bound: Column) -> Column:
+    """Uniform long in [0, bound).
 
-def below(row_id: Column, salt: str, seed: int, bound: Column) -> Column:
-    """Uniform long in [0, bound)."""
-    return F.least(F.floor(uniform(row_id, salt, seed) * bound).cast("long"), (bound - 1).cast("long"))
+    Never NULL, which the planner can't tell of a remainder: it would push null checks, and with
+    them the whole computation, below the columns of `scattered`.
+    """
+    return F.coalesce(number(salt, seed) % bound.cast("long"), F.lit(0).cast("long"))
 
 
-def standard_normal(row_id: Column, salt: str, seed: int) -> Column:
+def standard_normal(salt: str, seed: int) -> Column:
     """Standard normal double by the Box-Muller transform; 1 - u keeps the logarithm finite."""
-    radius = F.sqrt(-2.0 * F.log(1.0 - uniform(row_id, salt + "/radius", seed)))
-    return radius * F.cos(2.0 * math.pi * uniform(row_id, salt + "/angle", seed))
+    radius = F.sqrt(-2.0 * F.log(1.0 - uniform(salt + "/radius", seed)))
+    return radius * F.cos(2.0 * math.pi * uniform(salt + "/angle", seed))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnmart.functions.draws import below, standard_normal, uniform
+from txnmart.functions.draws import BITS, below, scattered, standard_normal, uniform
 from txnmart.operators import profile
 from txnmart.operators.joins import lookup, measure
 from txnmart.operators.numbering import running_total
@@ -106,8 +106,8 @@ def duplicate_ids(
     chunks = chunks.withColumn("copies", F.floor(F.col("size") * F.lit(float(rate))).cast("long"))
     picks = chunks.filter("copies > 0").withColumn("pick", F.explode(F.expr("sequence(0L, copies - 1)")))
     low, high = F.expr("pick * size div copies"), F.expr("(pick + 1) * size div copies")
-    drawn = below(F.col("first") + F.col("pick"), "duplicate", seed, high - low)
-    return picks.select((F.col("first") + low + drawn).alias("row_number"))
+    numbered = scattered(picks.withColumn("_number", F.col("first") + F.col("pick")), "_number")
+    return numbered.select((F.col("first") + low + below("duplicate", seed, high - low)).alias("row_number"))
 
 
 # --- weighted draws -----------------------------------------------------------------
@@ -167,28 +167,28 @@ def draw_table(source: DataFrame, start: str = START_DATE, end: str = END_DATE)
 
 
 def draw(rows: DataFrame, draws: Draws, attribute: str, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Add a column ``attribute`` drawn by weight, with further table columns ``keep``."""
+    """Add a column ``attribute`` drawn by weight to `scattered` rows, with further table columns ``keep``."""
     if attribute not in draws.lines:
         raise ValueError(f"the source has no values of {attribute} to draw from")
     total, width = draws.lines[attribute]
     own = draws.table.filter(F.col("attribute") == attribute)
     choices = own.select(F.col("value").alias(attribute), "low", "high", "bucket", *keep)
-    number = below(F.col("row_number"), attribute, seed, F.lit(total))
-    numbered = rows.withColumn("_number", number).withColumn("_bucket", F.expr(f"_number div {width}L"))
+    numbered = rows.withColumn("_number", below(attribute, seed, F.lit(total)))
+    numbered = numbered.withColumn("_bucket", F.expr(f"coalesce(_number div {width}L, 0L)"))
     # Numbers are spread evenly over the buckets, so there is no hot value to salt.
     found = lookup(numbered, choices, {"_bucket": "bucket"}, draws.size, salts=1)
     return found.filter("low <= _number AND _number < high").drop("low", "high", "_number", "_bucket")
 
 
-def order_time(day: Column, row_id: Column, seed: int) -> Column:
+def order_time(day: Column, seed: int) -> Column:
     """Text timestamp at a uniform second of the day."""
-    second = below(row_id, "second", seed, F.lit(SECONDS_PER_DAY))
+    second = below("second", seed, F.lit(SECONDS_PER_DAY))
     return (day.cast("timestamp_ntz") + F.make_dt_interval(secs=second)).cast("string")
 
 
-def lognormal_amount(log_mean: Column, log_std: Column, row_id: Column, seed: int) -> Column:
+def lognormal_amount(log_mean: Column, log_std: Column, seed: int) -> Column:
     """Text amount in cents precision."""
-    amount = F.exp(log_mean + log_std * standard_normal(row_id, "amount", seed))
+    amount = F.exp(log_mean + log_std * standard_normal("amount", seed))
     return amount.try_cast("decimal(14,2)").cast("string")
 
 
@@ -202,7 +202,7 @@ def inject_issues(
     """
 
     def hit(issue: str) -> Column:
-        return uniform(F.col(row_id), f"issue/{issue}", seed) < rates[issue]
+        return uniform(f"issue/{issue}", seed) < rates[issue]
 
     c = F.col
     timestamp = F.when(hit("malformed_timestamp"), F.lit(MALFORMED_TIMESTAMP)).when(
@@ -210,33 +210,33 @@ def inject_issues(
     )
     amount = F.when(hit("zero_amount"), F.lit("0")).when(~hit("null_amount"), c("amount"))
     negated = (-F.abs(c("amount").try_cast("decimal(14,2)"))).cast("string")
-    return df.withColumns(
+    broken = scattered(df, row_id).withColumns(
         {
             "order_timestamp": timestamp,
             "channel": F.when(~hit("null_channel"), c("channel")),
             "product_category": F.when(~hit("null_product"), c("product_category")),
             "amount": amount,
         }
-    ).withColumn("amount", F.when(hit("negative_amount"), negated).otherwise(c("amount")))
+    )
+    return broken.withColumn("amount", F.when(hit("negative_amount"), negated).otherwise(c("amount"))).drop(*BITS)
 
 
 def synth_rows(ids: DataFrame, draws: Draws, pool: int, seed: int = SEED) -> DataFrame:
     """Clean generated rows for a frame of ``row_number``; a narrow stage."""
-    rows = with_transaction_id(ids)
+    rows = scattered(with_transaction_id(ids), "row_number")
     rows = draw(rows, draws, "day", seed)
     rows = draw(rows, draws, "product_category", seed, keep=("log_mean", "log_std"))
     for attribute in ("channel", "quantity", "payment_method", "status"):
         rows = draw(rows, draws, attribute, seed)
-    number = F.col("row_number")
-    customer = F.concat(F.lit("C"), (below(number, "customer", seed, F.lit(pool)) + 1).cast("string"))
+    customer = F.concat(F.lit("C"), (below("customer", seed, F.lit(pool)) + 1).cast("string"))
     return rows.select(
         "row_number",
         "transaction_id",
-        order_time(F.col("day"), number, seed).alias("order_timestamp"),
+        order_time(F.col("day"), seed).alias("order_timestamp"),
         "channel",
         "product_category",
         "quantity",
-        lognormal_amount(F.col("log_mean"), F.col("log_std"), number, seed).alias("amount"),
+        lognormal_amount(F.col("log_mean"), F.col("log_std"), seed).alias("amount"),
         "payment_method",
         customer.alias("customer_id"),
         "status",

@@ -369,14 +369,14 @@ def synth_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synth_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Does each generated category and status keep its source share within two points?"""
+    """Share of each label in the source and among the generated rows."""
     raw, rows = missing_as_null(landed(spark, sf_dir)), written(synthetic(spark, sf_dir))
     parts = [
         profile.compare_distribution(raw, rows, column).select(
             F.lit(column).alias("attribute"),
             "value",
             "source_share",
-            (F.abs(F.col("source_share") - F.col("synthetic_share")) < 0.02).alias("share_kept"),
+            "synthetic_share",
         )
         for column in ("channel", "product_category", "status", "payment_method")
     ]
@@ -387,41 +387,18 @@ def synth_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synth_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Does each category keep its log-normal amount parameters?"""
+    """Log-normal amount parameters of each category in the source and among the generated rows."""
     fitted = profile.fit_lognormal(missing_as_null(landed(spark, sf_dir)))
     again = profile.fit_lognormal(synthetic(spark, sf_dir)).select(
         "product_category", F.col("log_mean").alias("new_mean"), F.col("log_std").alias("new_std")
     )
-    kept = (F.abs(F.col("new_mean") - F.col("log_mean")) < 0.1) & (F.abs(F.col("new_std") - F.col("log_std")) < 0.1)
-    joined = _rounded(fitted.join(again, "product_category").withColumn("parameters_kept", kept), "log_mean", "log_std")
-    return joined.select("product_category", "log_mean", "log_std", "parameters_kept")
+    return _rounded(fitted.join(again, "product_category"), "log_mean", "log_std", "new_mean", "new_std")
 
 
 def injected_issues(raw: DataFrame) -> DataFrame:
-    """Rate of each issue injected into the raw rows, tested against its target."""
-    ready = raw.select(
-        "raw_row_id",
-        F.lit("2024-01-01 00:00:00").alias("order_timestamp"),
-        F.lit("Web").alias("channel"),
-        F.coalesce("product_category", F.lit("Home")).alias("product_category"),
-        F.lit("10.00").alias("amount"),
-    )
-    broken = synth.inject_issues(ready, "raw_row_id")
-    c = F.col
-    hits = {
-        "null_timestamp": c("order_timestamp").isNull(),
-        "malformed_timestamp": c("order_timestamp") == synth.MALFORMED_TIMESTAMP,
-        "null_channel": c("channel").isNull(),
-        "null_product": c("product_category").isNull(),
-        "null_amount": c("amount").isNull(),
-        "zero_amount": c("amount").isin("0", "0.00"),
-        "negative_amount": c("amount").startswith("-"),
-    }
-    rates = [
-        (F.abs(F.count_if(hit) / F.count(F.lit(1)) - synth.ISSUE_RATES[issue]) < 0.003).alias(issue)
-        for issue, hit in hits.items()
-    ]
-    return broken.agg(F.count(F.lit(1)).alias("row_count"), *rates)
+    """The raw rows with issues injected."""
+    broken = synth.inject_issues(raw, "raw_row_id")
+    return broken.select("raw_row_id", "order_timestamp", "channel", "product_category", "amount")
 
 
 # --- incremental ----------------------------------------------------------------------
