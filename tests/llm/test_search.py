@@ -57,6 +57,24 @@ def test_recall(table, points, monkeypatch):
         assert scores is None or all(scores[v] == pytest.approx(s, abs=1e-12) for v, s in own)
 
 
+def test_large_bucket_loses_no_pair(table, monkeypatch):
+    """A dense group far larger than a part: every vector meets its true nearest, whichever part they are in."""
+    monkeypatch.setattr(neighbours, "BUCKET", 400)
+    monkeypatch.setattr(neighbours, "LARGEST", 100)
+    draw = np.random.default_rng(7)
+    dense = draw.standard_normal(16) * 4 + draw.standard_normal((900, 16))
+    rows = [(i, vector.astype(np.float32).tolist(), 0) for i, vector in enumerate(dense)]
+    members, nodes = neighbours.nodes_of(table(rows, VECTORS))
+    lists = neighbours.nearest_lists(neighbours.hashed(nodes, 900), 4, 5).collect()
+    name = {r["node"]: r["vec_id"] for r in members.collect()}
+    found = {}
+    for r in lists:
+        found.setdefault(name[r["id"]], set()).add(name[r["other"]])
+    expected = plain_nearest(rows, 1)
+    hits = sum(len(found[q] & {v for v, _ in own}) for q, own in expected.items())
+    assert hits >= 0.97 * 5 * len(expected)
+
+
 def test_odd_vectors(table):
     draw = np.random.default_rng(1)
     same = [1.0, 2.0, 3.0]

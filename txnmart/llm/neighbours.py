@@ -5,7 +5,8 @@ as a result can hold. The graph starts from brute force inside small buckets of
 hyperplane hashes. Then each round joins every node's best neighbours and the nodes that have it
 among theirs, with their vectors, and compares them with each other: neighbours of neighbours.
 What beats the worst entry of a node's list enters it, until few lists change. A node with very
-many reverse neighbours is split into chunks, each with the whole forward list.
+many reverse neighbours is split into chunks, other ones in each round, each with the whole forward list.
+A large bucket is compared in blocks, so its cost grows with the square of its size; no pair is left out.
 
 Queries start from their own lists, or from pivots, and walk the graph: each round joins
 the best unvisited nodes of each query's beam with their neighbours, until a beam has no unvisited
@@ -93,6 +94,19 @@ def _pairs(ids: np.ndarray, vectors: np.ndarray, floors: np.ndarray, keep: int)
     return ids[a], ids[b], sims[a, b]
 
 
+def _across(ids: np.ndarray, vectors: np.ndarray, others: np.ndarray, far: np.ndarray, keep: int) -> tuple[np.ndarray, ...]:
+    """Of the pairs between two groups, in both directions: the best ``keep`` of each member."""
+    sims = vectors @ far.T
+    out = []
+    for own, across, score in ((ids, others, sims), (others, ids, sims.T)):
+        at = len(across) - keep
+        floors = np.partition(score, at, axis=1)[:, at] if at > 0 else np.full(len(own), -2.0, np.float32)
+        a, b = np.nonzero(score >= floors[:, None])
+        out.append((own[a], across[b], score[a, b]))
+    a, b, found = (np.concatenate(column) for column in zip(*out, strict=True))
+    return a, b, found
+
+
 def _edges(ids: np.ndarray, others: np.ndarray, sims: np.ndarray) -> pa.Table:
     return pa.table({"id": ids, "other": others, "sim": pa.array(sims.astype(np.float32))})
 
@@ -140,7 +154,10 @@ def nearest_lists(edges: DataFrame, groups: int, keep: int = DEGREE) -> DataFram
 
 
 def hashed(nodes: DataFrame, n: int, tables: int = TABLES, keep: int = STARTS) -> DataFrame:
-    """Edges from brute force in the buckets of random hyperplane hashes."""
+    """Edges from brute force in the buckets of random hyperplane hashes.
+
+    A bucket of over ``LARGEST`` is split into parts, and each part is compared with itself and every other.
+    """
     bits = max(0, int(np.ceil(np.log2(max(1, n / BUCKET)))))
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,22 +174,32 @@ def hashed(nodes: DataFrame, n: int, tables: int = TABLES, keep: int = STARTS) -
 
     coded = halved(nodes).mapInArrow(codes, "node long, vec binary, code long")
     sizes = written(coded.groupBy("code").agg(F.ceil(F.count("*") / LARGEST).alias("_parts")))
-    coded = coded.join(sizes, "code").withColumn("_part", F.pmod(F.xxhash64("node"), F.col("_parts")))
+    # The code holds the table number, so a node's part differs from table to table.
+    coded = coded.join(sizes, "code").withColumn("_part", F.pmod(F.xxhash64("node", "code"), F.col("_parts")))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))
+    coded = coded.select("node", "vec", "code", "_part", every.alias("_with"))
+    blocks = coded.withColumn("_low", F.least("_part", "_with")).withColumn("_high", F.greatest("_part", "_with"))
 
     def brute(table: pa.Table) -> pa.Table:
-        ids = table["node"].to_numpy()
-        return _edges(*_pairs(ids, _vectors(table["vec"], np.float16), np.full(len(ids), -2.0, np.float32), keep))
+        ids, vectors = table["node"].to_numpy(), _vectors(table["vec"], np.float16)
+        left = table["_part"].to_numpy() == table["_low"].to_numpy()
+        if left.all():
+            return _edges(*_pairs(ids, vectors, np.full(len(ids), -2.0, np.float32), keep))
+        return _edges(*_across(ids[left], vectors[left], ids[~left], vectors[~left], keep))
+
+    return blocks.drop("_with").groupBy("code", "_low", "_high").applyInArrow(brute, EDGES)
 
-    return coded.groupBy("code", "_part").applyInArrow(brute, EDGES)
 
+def descended(nodes: DataFrame, edges: DataFrame, n: int, keep: int = DEGREE, joined: int = JOINED, turn: int = 0) -> DataFrame:
+    """Edges found by one round: each list's best, and their reverse, compared with each other.
 
-def descended(nodes: DataFrame, edges: DataFrame, n: int, keep: int = DEGREE, joined: int = JOINED) -> DataFrame:
-    """Edges found by one round: each list's best, and their reverse, compared with each other."""
+    ``turn`` deals the reverse neighbours of a hub to other chunks in each round.
+    """
     groups = _groups(n)
     best = written(nearest_lists(edges, groups, joined).select("id", "other"))
     counts = written(best.groupBy("other").agg(F.ceil(F.count("*") / CHUNK).alias("_parts")).withColumnRenamed("other", "center"))
     back = best.select(F.col("other").alias("center"), F.col("id").alias("member")).join(counts, "center")
-    back = back.select("center", F.pmod(F.xxhash64("member"), F.col("_parts")).alias("_part"), "member")
+    back = back.select("center", F.pmod(F.xxhash64("member", "center", F.lit(turn)), F.col("_parts")).alias("_part"), "member")
     ahead = best.select(F.col("id").alias("center"), F.col("other").alias("member")).join(counts, "center", "left")
     parts = F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1).cast("long")) - 1)
     ahead = ahead.select("center", F.explode(parts).alias("_part"), "member")
@@ -204,8 +231,8 @@ def graph(nodes: DataFrame, rounds: int = ROUNDS, keep: int = DEGREE) -> DataFra
     n = nodes.count()
     groups = _groups(n)
     edges = written(nearest_lists(hashed(nodes, n), groups, keep))
-    for _ in range(rounds):
-        found = descended(nodes, edges, n, keep)
+    for turn in range(rounds):
+        found = descended(nodes, edges, n, keep, turn=turn)
         after = written(nearest_lists(edges.unionByName(found), groups, keep))
         changed = after.join(edges, ["id", "other"], "left_anti").count()
         edges = after
