@@ -99,6 +99,16 @@ def test_disclosure_share_by_brute_force(table):
     assert {(r["entity"], r["term"]): pytest.approx(r["share"]) for r in found} == expected
 
 
+def test_disclosure_counts_copies_once(table):
+    """A name that goes with one address only keeps its full share, however many copies one of its texts has."""
+    texts = [f"{sentence(1, 6)} Zanzibar jo@mail.example.com"] * 90 + [f"{sentence(2, 6)} Zanzibar jo@mail.example.com"]
+    texts += [sentence(100 + i, 9) for i in range(40)]
+    docs = table([(i, text, None, None, None) for i, text in enumerate(texts)], DOCUMENTS)
+    found = privacy.disclosures(privacy.scan(docs).persist(), docs, least=-9.0).collect()
+    shares = {(r["entity"], r["term"]): r["share"] for r in found}
+    assert shares[privacy._hash("email:jo@mail.example.com"), privacy._hash("zanzibar")] == pytest.approx(1.0)
+
+
 def test_privacy_empty(table):
     assert privacy.find(table([], DOCUMENTS)).collect() == []
 

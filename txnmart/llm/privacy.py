@@ -2,14 +2,13 @@
 
 Patterns find the protected entities: e-mail addresses, IP addresses, card and phone numbers. Corpus
 co-occurrence then tells how strongly each term reveals an entity ``c``: with probabilities over
-documents, the pointwise mutual information of term and entity as a share of the entity's
+different texts (copies count once everywhere), the pointwise mutual information of term and entity as a share of the entity's
 information content, ``log(p(t, c) / (p(t) p(c))) / log(1 / p(c))``. It is 1 for a term that occurs
 with that entity alone. Terms from ``REMOVE`` on are removed, those from ``GENERALISE`` on are replaced
 by a general word, everywhere in the documents that hold the entity.
 
-A term occurs with an entity if it is one of the ``CONTEXT`` words before or after it. Equal
-contexts, as in copies of a document, count once, and a pair counts as evidence from ``SUPPORT``
-different contexts on: a single one can't tell a revealing term from a rare one.
+A term occurs with an entity if it is one of the ``CONTEXT`` words before or after it. A pair
+counts as evidence from ``SUPPORT`` different texts on: a single one can't tell a revealing term from a rare one.
 
 Nulls: a NULL text counts as empty. Texts without personal data have no spans. Repeated rows get
 equal results. An empty table gives an empty result.
@@ -21,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -36,6 +36,8 @@ REMOVE = 0.9
 KINDS = ("email", "ip", "card", "phone")
 #: Terms that one task counts before it passes the counts on.
 COUNTED = 500_000
+#: Bits of the filter that tells texts of one row from those that may have copies.
+MARKS = 1 << 22
 
 # Fixed forms of the base kinds. The look-behinds only save tries that can't match: a match takes
 # a run of digits whole, so none begins inside one.
@@ -138,7 +140,7 @@ def contexts(text: str, found: dict[str, list[Span]], width: int = CONTEXT) -> l
 
 
 SCANNED = (
-    "doc_id long, _file string, _row long, n_email long, n_ip long, n_card long, n_phone long, base string, "
+    "doc_id long, _file string, _row long, _text long, n_email long, n_ip long, n_card long, n_phone long, base string, "
     "found array<struct<entity:long,context:long,term:long,places:array<long>>>"
 )
 
@@ -160,17 +162,42 @@ def scan(docs: DataFrame, width: int = CONTEXT) -> DataFrame:
                         own.append(len(spans))
                     bases.append(listed([(kind, *span) for kind, spans in found.items() for span in spans]))
                     near.append(contexts(text, found, width))
-                columns = [part.column("doc_id"), *map(part.column, PLACE), *map(pa.array, counts)]
+                columns = [part.column("doc_id"), *map(part.column, PLACE), part.column("_hash"), *map(pa.array, counts)]
                 columns += [pa.array(bases, pa.string()), pa.array(near, kind)]
-                names = ["doc_id", *PLACE, *(f"n_{k}" for k in KINDS), "base", "found"]
+                names = ["doc_id", *PLACE, "_text", *(f"n_{k}" for k in KINDS), "base", "found"]
                 yield pa.RecordBatch.from_arrays([c.cast(pa.int64()) if pa.types.is_integer(c.type) else c for c in columns], names=names)
 
     rows = placed(docs, F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("_text"))
-    return rows.mapInArrow(mapped, SCANNED)
+    return rows.withColumn("_hash", F.xxhash64("_text")).mapInArrow(mapped, SCANNED)
 
 
-def term_counts(docs: DataFrame, counted: int = COUNTED) -> DataFrame:
-    """(term, docs): in how many documents each term of the corpus occurs."""
+def repeated(scanned: DataFrame) -> np.ndarray:
+    """A bit for each of ``MARKS`` remainders of text hashes: set if a text of several rows has it."""
+    texts = scanned.groupBy("_text").agg(F.count("*").alias("_rows")).filter("_rows > 1")
+    marks = texts.select(F.pmod("_text", F.lit(MARKS)).alias("_mark")).distinct().toArrow()["_mark"].to_numpy()
+    bits = np.zeros(MARKS, bool)
+    bits[marks] = True
+    return np.packbits(bits)
+
+
+def term_counts(docs: DataFrame, marks: np.ndarray, counted: int = COUNTED) -> DataFrame:
+    """(term, docs): in how many different texts each term of the corpus occurs.
+
+    Texts without a mark of `repeated` come once and are counted where they are read; the others are
+    folded by their hash first, so few texts are shuffled.
+    """
+
+    def marked(hashes: pa.Array) -> np.ndarray:
+        at = hashes.to_numpy() % MARKS
+        return (marks[at >> 3] >> (7 - (at & 7))) & 1 == 1
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~marked(batch.column("_hash")))).select(["_text"])
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(marked(batch.column("_hash"))))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -181,29 +208,31 @@ def term_counts(docs: DataFrame, counted: int = COUNTED) -> DataFrame:
 
         for batch in batches:
             for value in batch.column("_text"):
-                total.update(set(TERM.findall(value.as_py().lower())))
+                # Words are cut before they are lowered, like those around entities.
+                total.update({term.lower() for term in set(TERM.findall(value.as_py()))})
                 if len(total) > counted:
                     yield passed()
                     total.clear()
         yield passed()
 
-    partial = docs.select(text_of().alias("_text")).mapInArrow(mapped, "term long, docs long")
+    rows = docs.select(text_of().alias("_text")).withColumn("_hash", F.xxhash64("_text"))
+    once = rows.mapInArrow(lambda batches: mapped(single(batches)), "term long, docs long")
+    folded = rows.mapInArrow(several, "_text string, _hash long").groupBy("_hash").agg(F.first("_text").alias("_text"))
+    partial = once.unionByName(folded.select("_text").mapInArrow(mapped, "term long, docs long"))
     return partial.groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
 def disclosures(scanned: DataFrame, docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
     """(entity, term, share): pairs in which the term discloses at least ``least`` of the entity's information."""
-    near = scanned.select(F.explode("found").alias("f")).select("f.entity", "f.context", "f.term")
+    near = scanned.select("_text", F.explode("found").alias("f")).select("_text", "f.entity", "f.term")
     pairs = near.distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
     pairs = written(pairs.filter(F.col("both") >= support))
     if pairs.isEmpty():
         return pairs.select("entity", "term", F.lit(1.0).alias("share"))
-    entities = written(near.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("of")))
-    n = scanned.count()
-    rated = pairs.join(written(term_counts(docs)), "term").join(entities, "entity")
-    # A term of several contexts of one document may count more often with the entity than by documents.
-    both = F.least("both", "docs")
-    told = F.log(F.lit(float(n)) * both / (F.col("docs") * F.col("of")))
+    entities = written(near.select("entity", "_text").distinct().groupBy("entity").agg(F.count("*").alias("of")))
+    n = scanned.select("_text").distinct().count()
+    rated = pairs.join(written(term_counts(docs, repeated(scanned))), "term").join(entities, "entity")
+    told = F.log(F.lit(float(n)) * F.col("both") / (F.col("docs") * F.col("of")))
     share = F.when(F.col("of") < n, told / F.log(F.lit(float(n)) / F.col("of"))).otherwise(0.0)
     return written(rated.select("entity", "term", share.alias("share")).filter(F.col("share") >= least))
 
