@@ -109,6 +109,17 @@ def test_disclosure_counts_copies_once(table):
     assert shares[privacy._hash("email:jo@mail.example.com"), privacy._hash("zanzibar")] == pytest.approx(1.0)
 
 
+def test_disclosure_by_single_and_far_terms(table):
+    """An entity of one text, or of one text and its copies, is rated, and so is a name far away from it."""
+    far = " ".join(f"common{i}" for i in range(30))
+    texts = [f"Zanzibar {far} jo@mail.example.com"] + [f"Timbuktu {far} al@mail.example.com"] * 2 + [f"{far} {sentence(i, 5)}" for i in range(60)]
+    docs = table([(i, text, None, None, None) for i, text in enumerate(texts)], DOCUMENTS)
+    for row in privacy.find(docs).collect():
+        text = texts[row["doc_id"]]
+        terms = {text[int(a) : int(b)] for kind, a, b in (s.split(":") for s in row["spans"].split(",") if s) if kind in ("removed", "generalised")}
+        assert terms == ({text.split()[0]} if row["doc_id"] < 3 else set())
+
+
 def test_privacy_empty(table):
     assert privacy.find(table([], DOCUMENTS)).collect() == []
 

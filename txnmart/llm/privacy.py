@@ -7,8 +7,10 @@ information content, ``log(p(t, c) / (p(t) p(c))) / log(1 / p(c))``. It is 1 for
 with that entity alone. Terms from ``REMOVE`` on are removed, those from ``GENERALISE`` on are replaced
 by a general word, everywhere in the documents that hold the entity.
 
-A term occurs with an entity if it is one of the ``CONTEXT`` words before or after it. A pair
-counts as evidence from ``SUPPORT`` different texts on: a single one can't tell a revealing term from a rare one.
+A term occurs with an entity if one text holds both, at any distance. A pair of one text only counts
+as ``SINGLE`` texts, as a single one tells a revealing term from a rare one less surely: a term that is
+nowhere else has a share of ``1 - log(2) / log(n)`` then, and is generalised or removed by the size of
+the corpus.
 
 Nulls: a NULL text counts as empty. Texts without personal data have no spans. Repeated rows get
 equal results. An empty table gives an empty result.
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 from txnmart.llm.common import PLACE, placed, text_of
 from txnmart.session import written
 
-CONTEXT = 8
-SUPPORT = 2
+#: What a pair seen in one text counts for; pairs of more texts count in full.
+SINGLE = 0.5
 GENERALISE = 0.7
 REMOVE = 0.9
 KINDS = ("email", "ip", "card", "phone")
@@ -106,65 +108,55 @@ def listed(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-def contexts(text: str, found: dict[str, list[Span]], width: int = CONTEXT) -> list[dict]:
-    """For each entity and each term around it: entity, context and term as hashes, and all places of the term."""
+def occurrences(text: str, found: dict[str, list[Span]]) -> tuple[list[int], list[dict]]:
+    """The different entities of a text, and its different terms outside of them with all their places; both as hashes."""
     entities = sorted((start, end, kind) for kind, spans in found.items() for start, end in spans)
     if not entities:
-        return []
-    words: list[tuple[int, int, int]] = []
+        return [], []
+    known: dict[str, int] = {}
+    places: dict[int, list[int]] = {}
     at = 0
     for match in TERM.finditer(text):
         start, end = match.span()
         while at < len(entities) and entities[at][1] <= start:
             at += 1
         if not any(e[0] < end and start < e[1] for e in entities[at : at + len(KINDS)]):
-            words.append((start, end, _hash(match[0].lower())))
-    places: dict[int, list[int]] = {}
-    for start, end, term in words:
-        places.setdefault(term, []).extend((start, end))
-    out, at = [], 0
-    for start, end, kind in entities:
-        while at < len(words) and words[at][0] < start:
-            at += 1
-        after = at
-        while after < len(words) and words[after][0] < end:
-            after += 1
-        around = words[max(0, at - width) : at] + words[after : after + width]
-        value = text[start:end].lower() if kind in ("email", "ip") else _digits(text[start:end])
-        entity, context = _hash(f"{kind}:{value}"), _hash(" ".join(str(word[2]) for word in around))
-        out += [
-            {"entity": entity, "context": context, "term": term, "places": places[term]}
-            for term in dict.fromkeys(word[2] for word in around)
-        ]
-    return out
+            word = match[0].lower()
+            term = known.get(word)
+            if term is None:
+                term = known[word] = _hash(word)
+            places.setdefault(term, []).extend((start, end))
+    values = [f"{kind}:{text[a:b].lower() if kind in ('email', 'ip') else _digits(text[a:b])}" for a, b, kind in entities]
+    return list(map(_hash, dict.fromkeys(values))), [{"term": term, "places": own} for term, own in places.items()]
 
 
 SCANNED = (
     "doc_id long, _file string, _row long, _text long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-    "found array<struct<entity:long,context:long,term:long,places:array<long>>>"
+    "entities array<long>, terms array<struct<term:long,places:array<int>>>"
 )
 
 
-def scan(docs: DataFrame, width: int = CONTEXT) -> DataFrame:
-    """Base spans of each row, and the contexts of its entities."""
-    kind = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("term", pa.int64()), ("places", pa.list_(pa.int64()))]))
+def scan(docs: DataFrame) -> DataFrame:
+    """Base spans of each row, its entities, and the terms of rows with entities."""
+    kind = pa.list_(pa.struct([("term", pa.int64()), ("places", pa.list_(pa.int32()))]))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 counts: list[list[int]] = [[] for _ in KINDS]
-                bases, near = [], []
+                bases, entities, terms = [], [], []
                 for value in part.column("_text"):
                     text = value.as_py()
                     found = base_spans(text)
                     for own, spans in zip(counts, found.values(), strict=True):
                         own.append(len(spans))
                     bases.append(listed([(kind, *span) for kind, spans in found.items() for span in spans]))
-                    near.append(contexts(text, found, width))
+                    for column, own in zip((entities, terms), occurrences(text, found), strict=True):
+                        column.append(own)
                 columns = [part.column("doc_id"), *map(part.column, PLACE), part.column("_hash"), *map(pa.array, counts)]
-                columns += [pa.array(bases, pa.string()), pa.array(near, kind)]
-                names = ["doc_id", *PLACE, "_text", *(f"n_{k}" for k in KINDS), "base", "found"]
+                columns += [pa.array(bases, pa.string()), pa.array(entities, pa.list_(pa.int64())), pa.array(terms, kind)]
+                names = ["doc_id", *PLACE, "_text", *(f"n_{k}" for k in KINDS), "base", "entities", "terms"]
                 yield pa.RecordBatch.from_arrays([c.cast(pa.int64()) if pa.types.is_integer(c.type) else c for c in columns], names=names)
 
     rows = placed(docs, F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("_text"))
@@ -222,31 +214,40 @@ def term_counts(docs: DataFrame, marks: np.ndarray, counted: int = COUNTED) -> D
     return partial.groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
-def disclosures(scanned: DataFrame, docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+def _pairs(rows: DataFrame, *columns: str) -> DataFrame:
+    """Each different entity of each row with each different term of it."""
+    each = rows.select(*columns, "terms", F.explode("entities").alias("entity"))
+    return each.select(*columns, "entity", F.explode("terms.term").alias("term"))
+
+
+def disclosures(scanned: DataFrame, docs: DataFrame, least: float = GENERALISE) -> DataFrame:
     """(entity, term, share): pairs in which the term discloses at least ``least`` of the entity's information."""
-    near = scanned.select("_text", F.explode("found").alias("f")).select("_text", "f.entity", "f.term")
-    pairs = near.distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
-    pairs = written(pairs.filter(F.col("both") >= support))
+    holding = scanned.filter(F.size("entities") > 0)
+    place = F.struct(*PLACE)
+    firsts = holding.groupBy("_text").agg(F.min(place).alias("_first")).select("_first.*")
+    texts = written(holding.select(*PLACE, "entities", "terms.term").withColumnRenamed("term", "_terms").join(firsts, PLACE, "left_semi"))
+    texts = texts.select("entities", F.transform("_terms", lambda t: F.struct(t.alias("term"))).alias("terms"))
+    pairs = written(_pairs(texts).groupBy("entity", "term").agg(F.count("*").alias("both")))
     if pairs.isEmpty():
         return pairs.select("entity", "term", F.lit(1.0).alias("share"))
-    entities = written(near.select("entity", "_text").distinct().groupBy("entity").agg(F.count("*").alias("of")))
+    entities = written(texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("of")))
     n = scanned.select("_text").distinct().count()
     rated = pairs.join(written(term_counts(docs, repeated(scanned))), "term").join(entities, "entity")
-    told = F.log(F.lit(float(n)) * F.col("both") / (F.col("docs") * F.col("of")))
+    both = F.when(F.col("both") == 1, SINGLE).otherwise(F.col("both"))
+    told = F.log(F.lit(float(n)) * both / (F.col("docs") * F.col("of")))
     share = F.when(F.col("of") < n, told / F.log(F.lit(float(n)) / F.col("of"))).otherwise(0.0)
     return written(rated.select("entity", "term", share.alias("share")).filter(F.col("share") >= least))
 
 
-def find(
-    docs: DataFrame, width: int = CONTEXT, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE
-) -> DataFrame:
+def find(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """One row per document: doc_id, counts of each base kind, base (spans as text), spans (with the terms'), and place."""
-    scanned = written(scan(docs, width))
-    risky = disclosures(scanned, docs, support, generalise)
-    near = scanned.select(*PLACE, F.explode("found").alias("f")).select(*PLACE, "f.entity", "f.term", "f.places")
-    hit = near.join(risky, ["entity", "term"])
+    scanned = written(scan(docs))
+    risky = disclosures(scanned, docs, generalise)
+    hit = _pairs(scanned, *PLACE).join(risky, ["entity", "term"])
     # A document's terms are at most its words; the strongest disclosure of a term decides.
-    strongest = hit.groupBy(*PLACE, "term").agg(F.max("share").alias("share"), F.first("places").alias("places"))
+    strongest = hit.groupBy(*PLACE, "term").agg(F.max("share").alias("share"))
+    terms = scanned.filter(F.size("entities") > 0).select(*PLACE, F.explode("terms").alias("t")).select(*PLACE, "t.term", "t.places")
+    strongest = terms.join(strongest, [*PLACE, "term"])
     steps = F.sequence(F.lit(0), F.size("places") - 2, F.lit(2))
     spot = strongest.withColumn("_at", F.explode(steps)).select(
         *PLACE,
@@ -255,7 +256,7 @@ def find(
         F.element_at("places", F.col("_at") + 2).alias("end"),
     )
     spans = spot.groupBy(*PLACE).agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("_terms"))
-    joined = scanned.drop("found").join(spans, PLACE, "left")
+    joined = scanned.drop("entities", "terms", "_text").join(spans, PLACE, "left")
     told = F.transform(F.coalesce("_terms", F.array()), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
     both = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.size(told) > 0, F.concat_ws(",", told)))
     return joined.withColumn("spans", both).drop("_terms")
