@@ -198,6 +198,22 @@ def test_article_lines():
     assert text == ["Head & line", "First par agraph.", "Second é one.", "Third"]
 
 
+WRAPPED = [
+    "<body class='no-sidebar'><p>Text</p></body>",
+    "<body><div id='content' class='with-sidebar'><div class='share'>Share</div><article><p>Text</p></article></div></body>",
+    "<div class='with-sidebar'><main class='search'><section class='promo'><article class='related-topic'><p>Text</p></article></section></main></div>",
+    "<div style='overflow:hidden'><p>Text</p></div>",
+    "<div aria-hidden='false' data-hidden=no><p>Text</p></div><div style='color:red; Display : none'>gone</div><div HIDDEN=''>gone</div>",
+    "<article><p>Text</p><section id='comments'><article><p>Reader</p></article></section></article>",
+    "<aside><article>gone</article></aside><nav class='menu'><main>gone</main></nav><p>Text</p>",
+]
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_wrappers_are_no_chrome(page):
+    assert html_text.main_lines(html_text.lines(page), None) == ["Text"]
+
+
 def test_page_differencing(table):
     def page(*own):
         return "<body><div>Top bar</div><div>Login</div>" + "".join(f"<p>{x}</p>" for x in own) + "<div>Imprint</div></body>"
