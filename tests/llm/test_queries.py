@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_toxicity": "doc_id held_out score predicted",
     "op9_html_text": "page_id url text n_chars",
     "op10_mix_sources": "doc_id size source_size target taken",
+    "op11_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op12_byte_pairs": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op13_lexical_search": "item_id rank doc_id score",
 }
 
 
@@ -36,7 +39,7 @@ def test_columns(spark, name):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equivalent(spark, name):
     con = duckdb.connect()
-    for view in ("documents", "pages"):
+    for view in ("documents", "pages", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {view} AS SELECT * FROM '{SMALL}/{view}.parquet'")
     df = QUERIES[name](spark, str(SMALL))
     result = con.execute(ORACLE[name])

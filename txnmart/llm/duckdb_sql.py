@@ -62,4 +62,42 @@ SELECT doc_id, size, source_size, target,
 FROM sent GROUP BY doc_id, size, source_size, target
 """
 
-ORACLE = {"op1_exact_dedup": OP1, "op7_url_filter": OP7, "op10_mix_sources": OP10}
+OP11 = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS a, b.id AS b, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS INT) AS rank,
+  s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score
+QUALIFY rank <= 10
+"""
+
+OP13 = r"""
+WITH low AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+sized AS (SELECT doc_id, terms, len(terms) AS n FROM low),
+whole AS (SELECT count(*) FILTER (n > 0) AS documents, CAST(sum(n) AS BIGINT) AS total FROM sized),
+held AS (SELECT doc_id, n, unnest(terms) AS term FROM sized),
+counted AS (SELECT doc_id, n, term, count(*) AS tf FROM held GROUP BY ALL),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, whole WHERE term IN (SELECT term FROM asked) GROUP BY term, documents),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * documents) // total)))) AS BIGINT) AS score
+  FROM asked JOIN weighed USING (term) JOIN counted USING (term), whole GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+ORACLE = {"op1_exact_dedup": OP1, "op7_url_filter": OP7, "op10_mix_sources": OP10, "op11_hard_negatives": OP11, "op13_lexical_search": OP13}

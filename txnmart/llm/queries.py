@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnmart.llm import exact, html_text, language_model, mixing, neighbours, packing, privacy, simhash, toxicity, url_rules
+import public_tokenizers
+
+from txnmart.llm import byte_pairs, exact, hard_negatives, html_text, language_model, lexical, mixing, neighbours, packing, privacy, simhash, toxicity, url_rules
 from txnmart.llm.common import read
 
 
@@ -75,6 +77,29 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.prepared(rows.select("vec_id", "embedding", label.alias("label")))
+    return hard_negatives.mine(rows, rows.filter("id % 100 = 0"))
+
+
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_pairs.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    vocabulary = byte_pairs.Vocabulary(ranks, public_tokenizers.PATTERN)
+    tokens = F.col("tokens")
+    return byte_pairs.encode(read(spark, sf_dir, "documents"), vocabulary).select(
+        "doc_id",
+        F.size(tokens).cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(tokens.cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(byte_pairs.decode(tokens, vocabulary), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_personal_data": op2_personal_data,
@@ -86,4 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_html_text": op9_html_text,
     "op10_mix_sources": op10_mix_sources,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_byte_pairs": op12_byte_pairs,
+    "op13_lexical_search": op13_lexical_search,
 }
