@@ -396,3 +396,49 @@ def test_toxicity_tricky(labelled, tricky, table):
     unlearned = toxicity.learn(empty, labels.limit(0))
     assert toxicity.score(empty, model).collect() == []
     assert {r["score"] for r in toxicity.score(tricky, unlearned).collect()} == {0.0}
+
+
+def test_toxicity_score_by_plain_steps(labelled):
+    """A whole score again: each word by itself, each window step by step, the two largest logits."""
+    docs, labels, _ = labelled
+    model = toxicity.learn(docs, labels, sample=60, epochs=2)
+    p = {name: np.asarray(value, np.float64) for name, value in model.net.p.items()}
+
+    def word(own):
+        grams = [g for n in toxicity.GRAMS for g in _grams(own, n)]
+        total = sum((p["gram"][g] for g in grams), np.zeros(toxicity.WIDTH))
+        return np.concatenate([p["word"][model.net.ids.get(own, 0)], total / math.sqrt(max(1, len(grams)))])
+
+    def _grams(own, n):
+        marked = b"\x02" + own + b"\x03"
+        for at in range(len(marked) - n + 1):
+            mixed = 0
+            for byte in marked[at : at + n]:
+                mixed = ((mixed ^ byte) * 0x01000193) % 2**32
+            yield (mixed ^ (mixed >> 15)) % toxicity.GRAM_BUCKETS
+
+    def states(rows, weights):
+        h, out, size = np.zeros(toxicity.HIDDEN), [], toxicity.HIDDEN
+        for x in rows:
+            g = h @ weights
+            z, r = (1 / (1 + np.exp(-(x[a : a + size] + g[a : a + size]))) for a in (0, size))
+            n = np.tanh(x[2 * size :] + r * g[2 * size :])
+            h = (1 - z) * n + z * h
+            out.append(h)
+        return out
+
+    def logit(words):
+        x = [word(own) @ p["in"] + p["in_bias"] for own in words]
+        half = 3 * toxicity.HIDDEN
+        forward = states([row[:half] for row in x], p["forward"])
+        backward = states([row[half:] for row in x][::-1], p["backward"])[::-1]
+        both = [np.concatenate(pair) for pair in zip(forward, backward, strict=True)]
+        weight = np.exp([np.tanh(s @ p["attend"] + p["attend_bias"]) @ p["query"] for s in both])
+        return float(sum(w * s for w, s in zip(weight / weight.sum(), both, strict=True)) @ p["out"] + p["out_bias"][0])
+
+    texts = [row["text"] for row in docs.orderBy("doc_id").limit(12).collect()] + ["a", "", "river " * 300]
+    for text, score in zip(texts, model.scorer()([toxicity.tokens(text) for text in texts]), strict=True):
+        words = toxicity.tokens(text)
+        logits = sorted([logit(words[a:b]) for a, b in toxicity.windows(len(words))] or [p["out_bias"][0]], reverse=True)
+        x = np.clip([logits[0], logits[min(1, len(logits) - 1)]], -12, 12)
+        assert score == pytest.approx(1 / (1 + math.exp(-(model.weights[0] + x @ model.weights[1:]))), abs=1e-3)

@@ -3,20 +3,25 @@
 A word enters the network as its own embedding, if the fitted rows hold it often enough, beside
 the sum of embeddings of its character n-grams (3 to 5 bytes, with marks at both ends). Windows of
 ``WINDOW`` words, each ``OVERLAP`` words into its predecessor, cover the whole text; every window
-gets a logit from the network's attention-pooled states, and a logistic model over the logits
-gives the text's score. Both are fitted in numpy on the driver, on a bounded sample of labelled
-rows: at most ``SAMPLE`` rows of each class, by the order of a hash of their ids, with texts of at
-most ``SAMPLE_BYTES`` bytes. Classes are weighed back to their shares among all labelled rows.
+gets a logit from the network's attention-pooled states, and a logistic model over the two largest logits
+gives the text's score, so the length of a text is no feature. Both are fitted in numpy on the driver, on a bounded
+sample of labelled rows: at most ``SAMPLE`` rows of each class, by the order of a hash of their ids, with their whole
+texts and all windows. The first ``WARM`` epochs give each window its text's label, a text's windows weighing as
+much as one; after them a toxic text is learned by its best window only, and a clean one by its best and another.
+Classes are weighed back to their shares among all labelled rows.
+
+Equal texts score equal, whatever else is scored with them: matrix products are exact sums of rounded numbers, and other
+sums run in an order that depends on the text alone.
 
 Nulls: a NULL text counts as empty. An empty text has no window; its score comes from the
 network's bias alone. Labels other than 0 and 1 are left out; of a repeated id the largest label
-counts. Without labelled rows of both classes every text scores the share of toxic labels (0
-without labels). Repeated rows score alike. An empty table gives an empty result.
+counts, and its first row by place is fitted on. Without labelled rows of both classes every text scores the share of toxic
+labels (0 without labels). Repeated rows score alike. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +33,8 @@ from txnmart.llm.common import PLACE, placed, text_of
 WINDOW = 96
 OVERLAP = 24
 SAMPLE = 3000
-SAMPLE_BYTES = 12_000
-SAMPLE_WINDOWS = 4
+#: Epochs in which all windows carry their text's label.
+WARM = 2
 HIDDEN = 8
 WIDTH = 8
 GRAM_BUCKETS = 1 << 14
@@ -40,6 +45,9 @@ BATCH = 256
 #: A small sample is gone through more often, in smaller batches.
 LEAST_STEPS = 240
 CHUNK = 1024
+#: Both sides of matrix products are rounded to multiples of 1 / GRID; windows are filled up to a multiple of ROWS.
+GRID = 1 << 20
+ROWS = 8
 CACHE_WORDS = 150_000
 
 
@@ -59,18 +67,31 @@ def grams(words: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     text = np.frombuffer(b"".join(b"\x02" + word + b"\x03" for word in words), np.uint8).astype(np.uint32)
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(text))
     for n in GRAMS:
-        mixed = np.zeros(max(0, len(text) - n + 1), np.uint32)
+        count = max(0, len(text) - n + 1)
+        mixed = np.zeros(count, np.uint32)
         for k in range(n):
-            mixed = (mixed ^ text[k : len(text) - n + 1 + k]) * np.uint32(0x01000193)
+            mixed = (mixed ^ text[k : k + count]) * np.uint32(0x01000193)
         mixed ^= mixed >> np.uint32(15)
         whole = left[: len(mixed)] >= n
         yield (mixed[whole] % GRAM_BUCKETS).astype(np.int64), np.maximum(lengths - n + 1, 0)
 
 
 def _sums(rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    total = np.concatenate([np.zeros((1, rows.shape[1])), np.cumsum(rows, axis=0, dtype=np.float64)])
-    ends = np.cumsum(counts)
-    return (total[ends] - total[ends - counts]).astype(np.float32)
+    """Sums of consecutive rows, ``counts`` of them each; a sum depends on its own rows only."""
+    out = np.zeros((len(counts), rows.shape[1]), np.float32)
+    some = np.flatnonzero(counts)
+    if len(some):
+        out[some] = np.add.reduceat(rows, (np.cumsum(counts) - counts)[some], axis=0)
+    return out
+
+
+def _times(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Matrix product of both sides rounded to multiples of 1 / ``GRID``.
+
+    Products and sums of such numbers are exact in 8-byte floats (to 2^13 in magnitude), so a row's
+    result depends on no order of summation, and on no other row.
+    """
+    return ((np.rint(rows * GRID, dtype=np.float64) @ np.rint(weights * GRID, dtype=np.float64)) / GRID**2).astype(np.float32)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -113,12 +134,12 @@ class Network:
         return np.concatenate([own, total / np.sqrt(np.maximum(count, 1))[:, None]], axis=1, dtype=np.float32)
 
     def projected(self, words: Sequence[bytes]) -> np.ndarray:
-        return self.inputs(words) @ self.p["in"] + self.p["in_bias"]
+        return _times(self.inputs(words), self.p["in"]) + self.p["in_bias"]
 
     @staticmethod
-    def _step(x: np.ndarray, h: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    def _step(x: np.ndarray, h: np.ndarray, weights: np.ndarray, times: Callable = np.matmul) -> tuple[np.ndarray, ...]:
         size = h.shape[1]
-        g = h @ weights
+        g = times(h, weights)
         zr = 1 / (1 + np.exp(-(x[:, : 2 * size] + g[:, : 2 * size])))
         z, r = zr[:, :size], zr[:, size:]
         n = np.tanh(x[:, 2 * size :] + r * g[:, 2 * size :])
@@ -126,6 +147,10 @@ class Network:
 
     def logits(self, table: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Logit of each window; ``at`` (window, step) are rows of ``table``, windows longest first."""
+        wanted = len(at)
+        if short := -wanted % ROWS:
+            at = np.concatenate([at, np.zeros((short, at.shape[1]), at.dtype)])
+            lengths = np.concatenate([lengths, np.zeros(short, lengths.dtype)])
         count, steps = at.shape
         h = HIDDEN
         states = np.zeros((steps, count, 2 * h), np.float32)
@@ -133,19 +158,24 @@ class Network:
         state = np.zeros((count, h), np.float32)
         for t in range(steps):
             k = active[t]
-            state[:k] = self._step(table[at[:k, t], : 3 * h], state[:k], self.p["forward"])[0]
+            state[:k] = self._step(table[at[:k, t], : 3 * h], state[:k], self.p["forward"], _times)[0]
             states[t, :k, :h] = state[:k]
         state = np.zeros((count, h), np.float32)
         for t in reversed(range(steps)):
             k = active[t]
-            state[:k] = self._step(table[at[:k, t], 3 * h :], state[:k], self.p["backward"])[0]
+            state[:k] = self._step(table[at[:k, t], 3 * h :], state[:k], self.p["backward"], _times)[0]
             states[t, :k, h:] = state[:k]
-        weight = np.tanh(states @ self.p["attend"] + self.p["attend_bias"]) @ self.p["query"]
-        weight = np.where(np.arange(steps)[:, None] < lengths[None, :], weight, -1e9)
-        weight = np.exp(weight - weight.max(axis=0))
-        weight /= weight.sum(axis=0)
-        pooled = np.einsum("tb,tbd->bd", weight, states)
-        return pooled @ self.p["out"] + self.p["out_bias"][0]
+        mid = np.tanh(_times(states.reshape(-1, 2 * h), self.p["attend"]) + self.p["attend_bias"])
+        weight = (mid * self.p["query"]).sum(axis=1).reshape(steps, count)
+        inside = np.arange(steps)[:, None] < lengths[None, :]
+        weight = np.where(inside, weight, np.float32(-1e9))
+        weight = np.exp(weight - weight.max(axis=0)) * inside
+        total, pooled = np.zeros(count, np.float32), np.zeros((count, 2 * h), np.float32)
+        for t in range(steps):
+            total += weight[t]
+            pooled += weight[t][:, None] * states[t]
+        pooled /= np.maximum(total, np.float32(1e-9))[:, None]
+        return (pooled * self.p["out"]).sum(axis=1)[:wanted] + self.p["out_bias"][0]
 
     def gradients(self, x: np.ndarray, lengths: np.ndarray, truth: np.ndarray, rate: np.ndarray) -> tuple[dict, np.ndarray]:
         """Gradients of the weighted log loss, and of the projected inputs ``x`` (step, window, 6h)."""
@@ -211,39 +241,82 @@ class Adam:
             params[k] -= (scale * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)).astype(np.float32)
 
 
+class Bags:
+    """Windows of the fitted texts as numbers of their distinct words."""
+
+    def __init__(self, texts: Sequence[Sequence[bytes]]):
+        place: dict[bytes, int] = {}
+        self.windows: list[np.ndarray] = []
+        owner: list[int] = []
+        self.held: dict[bytes, int] = {}
+        for at, words in enumerate(texts):
+            row = np.fromiter((place.setdefault(word, len(place)) for word in words), np.int32, len(words))
+            for word in set(words):
+                self.held[word] = self.held.get(word, 0) + 1
+            for a, b in windows(len(words)):
+                self.windows.append(row[a:b])
+                owner.append(at)
+        self.words = list(place)
+        self.owner = np.array(owner, np.int64)
+        self.size = np.bincount(self.owner, minlength=len(texts)) if owner else np.zeros(len(texts), np.int64)
+
+    def common(self) -> list[bytes]:
+        return sorted((word for word, n in self.held.items() if n >= 3), key=lambda word: (-self.held[word], word))[:WORDS]
+
+    def logits(self, net: Network) -> np.ndarray:
+        return _logits(net, net.projected(self.words), self.windows)
+
+
+def _logits(net: Network, table: np.ndarray, flat: Sequence[np.ndarray]) -> np.ndarray:
+    """Logit of each window, a row of numbers of rows of ``table``."""
+    lengths = np.fromiter(map(len, flat), np.int64, len(flat))
+    order = np.argsort(-lengths, kind="stable")
+    out = np.empty(len(flat))
+    for start in range(0, len(order), CHUNK):
+        some = order[start : start + CHUNK]
+        at = np.zeros((len(some), lengths[some[0]]), np.int64)
+        for i, w in enumerate(some):
+            at[i, : lengths[w]] = flat[w]
+        out[some] = net.logits(table, at, lengths[some])
+    return out
+
+
+def _best(logits: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The window with the largest logit of each text that has one."""
+    order = np.lexsort((logits, owner))
+    return order[np.flatnonzero(np.append(np.diff(owner[order]) > 0, True))] if len(order) else order
+
+
 def fit_network(texts: Sequence[Sequence[bytes]], toxic: np.ndarray, rate: np.ndarray, epochs: int, seed: int = 7) -> Network:
-    """Fit on windows of the texts, each labelled as its text; ``rate`` weighs the texts."""
-    seen: dict[bytes, int] = {}
-    for words in texts:
-        for word in set(words):
-            seen[word] = seen.get(word, 0) + 1
-    common = sorted((word for word, n in seen.items() if n >= 3), key=lambda word: (-seen[word], word))[:WORDS]
-    net = Network(common, seed)
-    distinct = sorted(seen)
-    place = {word: at for at, word in enumerate(distinct)}
-    own = np.array([net.ids.get(word, 0) for word in distinct], np.int64)
-    parts = list(grams(distinct)) if distinct else []
+    """Fit on all windows of the texts; in the end a toxic text's best window carries its label. ``rate`` weighs the texts."""
+    bags = Bags(texts)
+    net = Network(bags.common(), seed)
+    own = np.array([net.ids.get(word, 0) for word in bags.words], np.int64)
+    parts = list(grams(bags.words)) if bags.words else []
     ends = [np.cumsum(counts) for _, counts in parts]
     total = np.maximum(sum(counts for _, counts in parts), 1) if parts else np.ones(0)
     draw = np.random.default_rng(seed)
-    rows = []
-    for at, words in enumerate(texts):
-        bounds = windows(len(words))
-        if len(bounds) > SAMPLE_WINDOWS:
-            bounds = [bounds[i] for i in sorted(draw.choice(len(bounds), SAMPLE_WINDOWS, replace=False))]
-        rows += [(at, [place[word] for word in words[a:b]]) for a, b in bounds]
+    every = np.arange(len(bags.owner))
     adam = Adam(net.p, 0.01)
-    batch = min(BATCH, max(32, len(rows) // 12))
-    epochs = max(epochs, -(-LEAST_STEPS * batch // max(1, len(rows)))) if batch < BATCH else epochs
+    batch = min(BATCH, max(32, len(texts) // 12))
+    epochs = max(epochs, -(-LEAST_STEPS * batch // max(1, len(texts)))) if batch < BATCH else epochs
+    warm = max(1, min(WARM * epochs // EPOCHS, epochs))
     for epoch in range(epochs):
         adam.rate = 0.01 * (1 - epoch / epochs) + 0.001
-        order = draw.permutation(len(rows))
+        weight = rate[bags.owner] / bags.size[bags.owner]
+        rows = every
+        if epoch >= warm:
+            best = _best(bags.logits(net), bags.owner)
+            more = every[draw.random(len(every)) * bags.size[bags.owner] < 1]
+            rows = np.union1d(best, more[toxic[bags.owner[more]] == 0])
+            weight = rate[bags.owner]
+        order = draw.permutation(rows)
         for start in range(0, len(order), batch):
-            some = [rows[i] for i in order[start : start + batch]]
-            lengths = np.array([len(row) for _, row in some])
+            some = order[start : start + batch]
+            lengths = np.array([len(bags.windows[w]) for w in some])
             at = np.zeros((len(some), lengths.max()), np.int64)
-            for i, (_, row) in enumerate(some):
-                at[i, : len(row)] = row
+            for i, w in enumerate(some):
+                at[i, : lengths[i]] = bags.windows[w]
             used, where = np.unique(at, return_inverse=True)
             where = where.reshape(at.shape)
             pieces = []
@@ -257,8 +330,7 @@ def fit_network(texts: Sequence[Sequence[bytes]], toxic: np.ndarray, rate: np.nd
             scale = (1 / np.sqrt(total[used])).astype(np.float32)[:, None]
             vectors[:, WIDTH:] *= scale
             table = vectors @ net.p["in"] + net.p["in_bias"]
-            owner = np.array([i for i, _ in some])
-            grads, d_x = net.gradients(table[where.T], lengths, toxic[owner], rate[owner])
+            grads, d_x = net.gradients(table[where.T], lengths, toxic[bags.owner[some]], weight[some])
             flat, spot = d_x.reshape(-1, d_x.shape[2]), where.T.ravel()
             by = np.argsort(spot, kind="stable")
             d_table = _sums(flat[by], np.bincount(spot, minlength=len(used)))
@@ -291,26 +363,16 @@ class Scorer:
             fresh = list(ids)[known:]
             self.table = np.concatenate([self.table, self.net.projected(fresh)])
         bounds = [windows(len(row)) for row in rows]
-        flat = [(row[a:b]) for row, own in zip(rows, bounds, strict=True) for a, b in own]
-        lengths = np.fromiter(map(len, flat), np.int64, len(flat))
-        order = np.argsort(-lengths, kind="stable")
-        out = np.empty(len(flat))
-        for start in range(0, len(order), CHUNK):
-            some = order[start : start + CHUNK]
-            at = np.zeros((len(some), lengths[some[0]]), np.int64)
-            for i, w in enumerate(some):
-                at[i, : lengths[w]] = flat[w]
-            out[some] = self.net.logits(self.table, at, lengths[some])
+        out = _logits(self.net, self.table, [row[a:b] for row, own in zip(rows, bounds, strict=True) for a, b in own])
         ends = np.cumsum([len(own) for own in bounds])
         bias = np.array([float(self.net.p["out_bias"][0])])
         return [out[end - len(own) : end] if own else bias for own, end in zip(bounds, ends, strict=True)]
 
 
 def features(logits: np.ndarray) -> list[float]:
-    """What the final model sees of a text's window logits."""
+    """What the final model sees of a text's window logits: the two largest."""
     top = np.sort(np.clip(logits, -12, 12))[::-1]
-    likely = sigmoid(top)
-    return [1.0, top[0], top[1] if len(top) > 1 else top[0], float(np.log(likely.sum())), float(np.log(len(top))), float(top.mean())]
+    return [1.0, top[0], top[min(1, len(top) - 1)]]
 
 
 def fit_logistic(x: np.ndarray, truth: np.ndarray, rate: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -337,7 +399,7 @@ class Model:
         if self.net is None:
             return lambda texts: np.full(len(texts), self.share)
         inner = Scorer(self.net)
-        return lambda texts: sigmoid(np.array([features(own) for own in inner.logits(texts)]).reshape(-1, 6) @ self.weights)
+        return lambda texts: sigmoid((np.array([features(own) for own in inner.logits(texts)]).reshape(-1, 3) * self.weights).sum(axis=1))
 
 
 def fit(texts: Sequence[str], toxic: Sequence[int], share: float, epochs: int = EPOCHS) -> Model:
@@ -349,20 +411,19 @@ def fit(texts: Sequence[str], toxic: Sequence[int], share: float, epochs: int =
     truth = np.array(toxic, np.float64)
     if not 0 < truth.sum() < len(truth):
         return Model(None, None, share)
-    words = [tokens(text) for text in texts]
     rate = np.where(truth == 1, share / truth.mean(), (1 - share) / (1 - truth.mean()))
-    last = np.zeros(len(words), bool)
+    last = np.zeros(len(texts), bool)
     for label in (0, 1):
         last[np.flatnonzero(truth == label)[::5]] = True
     if truth[last].sum() in (0, last.sum()) or truth[~last].sum() in (0, (~last).sum()):
         last[:] = True
-        first = ~np.zeros(len(words), bool)
+        first = last
     else:
         first = ~last
     some = np.flatnonzero(first)
-    net = fit_network([words[i] for i in some], truth[some].astype(np.float32), np.sqrt(rate[some]).astype(np.float32), epochs)
+    net = fit_network([tokens(texts[i]) for i in some], truth[some].astype(np.float32), np.sqrt(rate[some]).astype(np.float32), epochs)
     rest = np.flatnonzero(last)
-    x = np.array([features(own) for own in Scorer(net).logits([words[i] for i in rest])])
+    x = np.array([features(own) for own in Scorer(net).logits([tokens(texts[i]) for i in rest])])
     return Model(net, fit_logistic(x, truth[rest], rate[rest]), share)
 
 
@@ -370,8 +431,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, epochs: int = EPOCHS) -> Model:
-    """Fit a model on labelled rows of ``docs`` that are not held out."""
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS) -> Model:
+    """Fit a model on labelled rows of ``docs`` that are not held out, at most ``sample`` of each class."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -380,11 +441,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes
     drawn = F.xxhash64("doc_id")
     classes = [known.filter(F.col("toxic") == label).orderBy(drawn, "doc_id").limit(sample) for label in (0, 1)]
     rows = classes[0].unionByName(classes[1]).select(F.col("doc_id").alias("_id"), "toxic")
-    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), text_of().alias("_text"))
-    texts = texts.filter(F.octet_length("_text") <= sample_bytes)
-    # At most 2 * sample pairs of numbers are broadcast.
-    found = texts.join(F.broadcast(rows), F.col("_doc") == F.col("_id")).select("_doc", "_text", "toxic")
-    collected = sorted(found.limit(4 * sample).collect())
+    texts = placed(docs, F.col("doc_id").cast("long").alias("_doc"), text_of().alias("_text"))
+    # At most 2 * sample pairs of numbers are broadcast, and one text for each comes back.
+    found = texts.join(F.broadcast(rows), F.col("_doc") == F.col("_id"))
+    first = found.groupBy("_doc", "toxic").agg(F.min_by("_text", F.struct(*PLACE)).alias("_text"))
+    collected = sorted(first.select("_doc", "_text", "toxic").collect())
     return fit([row["_text"] for row in collected], [row["toxic"] for row in collected], share, epochs)
 
 
