@@ -678,3 +678,16 @@ FROM (SELECT day, CAST((CASE WHEN dow >= 6 THEN 125 ELSE 100 END)
     "incremental_clean": _after(LATEST, CLEAN_ROWS + " FROM latest"),
     "streamed_clean": _after(LATEST, CLEAN_ROWS + " FROM latest"),
 }
+
+# Batches and stored totals end where a full build does.
+for name, same in {
+    "incremental_accounting": "row_accounting",
+    "incremental_dq_summary": "dq_summary",
+    "incremental_quarantine": "quarantine",
+    "streamed_fact": "incremental_fact",
+    "stored_weekly": "weekly",
+    "stored_monthly": "monthly",
+    "stored_channel_mix": "channel_mix",
+    "stored_category_mix": "product_category_mix",
+}.items():
+    ORACLE[name] = ORACLE[same]

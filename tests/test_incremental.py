@@ -7,11 +7,11 @@ from tests.conftest import AS_OF, SMALL, rows_of
 from txnmart.operators import quality
 from txnmart.operators.cleaning import typed
 from txnmart.operators.fact import clean_latest
-from txnmart.plans.mart import build_mart, violations
-from txnmart.queries import named_fact, scratch, two_batches
+from txnmart.plans.mart import build_mart
+from txnmart.queries import scratch, two_batches
 from txnmart.sources.raw import write_table
 from txnmart.sources.sample import raw_transactions
-from txnmart.streaming.incremental import apply_batch, apply_to_mart, clean_table, load_new, past_mark, quarantine_table
+from txnmart.streaming.incremental import apply_batch, clean_table, load_new, past_mark, quarantine_table
 
 
 @pytest.fixture(scope="module")
@@ -57,21 +57,3 @@ def test_a_stream_processes_each_landed_file_once(spark, source):
         part.write.mode("append").parquet(paths[0])
         load_new(spark, *paths, AS_OF)
     assert rows_of(clean_table(spark, paths[1]).drop("month_start")) == full(source)
-
-
-def test_batches_reach_the_fact_and_keep_known_keys(spark, source):
-    path = scratch(spark, "mart")
-    first, second = two_batches(source).values()
-    mart = apply_to_mart(first, "a", path, AS_OF, AS_OF)
-    known = {name: set(rows_of(getattr(mart, name))) for name in ("dim_channel", "dim_product_category", "dim_date")}
-    assert "Machinery" not in {row.product_category_name for row in mart.dim_product_category.collect()}
-    for _ in range(2):  # the second time as after a failure
-        mart = apply_to_mart(second, "b", path, AS_OF, AS_OF)
-    for name, rows in known.items():
-        assert rows <= set(rows_of(getattr(mart, name))), name
-    assert "Machinery" in {row.product_category_name for row in mart.dim_product_category.collect()}
-    whole = build_mart(source, scratch(spark, "mart"), AS_OF, loaded_at=AS_OF)
-    assert rows_of(named_fact(mart)) == rows_of(named_fact(whole))
-    assert violations(mart).filter("violations > 0").count() == 0
-    columns = ["raw_row_id", "invalid_reason"]
-    assert rows_of(mart.quarantine.select(*columns)) == rows_of(whole.quarantine.select(*columns))

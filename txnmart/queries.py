@@ -26,12 +26,14 @@ from txnmart.schemas import SOURCE_FIELDS
 from txnmart.session import shared_dir, written
 from txnmart.sources.raw import land, map_source, missing_as_null, read_raw, read_source, write_csv, write_table
 from txnmart.sources.sample import AS_OF, raw_transactions
-from txnmart.streaming.incremental import apply_batch, apply_to_mart, clean_table, load_new
+from txnmart.streaming import snapshots
+from txnmart.streaming.incremental import apply_batch, clean_table, load_new
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _landed: dict[tuple[str, str], DataFrame] = {}
 _marts: dict[tuple[str, str], Mart] = {}
+_snapshots: dict[tuple[str, str], snapshots.Snapshot] = {}
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -421,12 +423,39 @@ def two_batches(raw: DataFrame) -> dict[str, DataFrame]:
     return {"first": raw.filter(first), "second": raw.filter(~first)}
 
 
-def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact after two batches were carried through to the mart."""
-    path = scratch(spark, "mart")
-    for batch, rows in two_batches(landed(spark, sf_dir)).items():
-        mart = apply_to_mart(rows, batch, path, AS_OF, AS_OF)
-    return named_fact(mart)
+def snapshot_for(spark: SparkSession, sf_dir: str) -> snapshots.Snapshot:
+    """What is published after two batches, applied once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _snapshots:
+        root = scratch(spark, "snapshots")
+        for batch, rows in two_batches(landed(spark, sf_dir)).items():
+            snapshots.apply(rows, batch, root, AS_OF, AS_OF)
+        _snapshots[key] = snapshots.current(spark, root)
+    return _snapshots[key]
+
+
+def snapshot_mart(spark: SparkSession, sf_dir: str) -> Mart:
+    return snapshots.open_snapshot(snapshot_for(spark, sf_dir), landed(spark, sf_dir), AS_OF)
+
+
+def incremental_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mart = snapshot_mart(spark, sf_dir)
+    return quality.row_accounting(mart.accounting, mart.fact)
+
+
+def incremental_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mart = snapshot_mart(spark, sf_dir)
+    return quality.dq_summary(mart.accounting, mart.fact, mart.quarantine)
+
+
+def streamed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published fact after a stream has carried the landed files to the mart, in two runs."""
+    root = scratch(spark, "stream")
+    for rows in two_batches(landed(spark, sf_dir)).values():
+        stamped = rows.withColumn("loaded_at", F.lit(AS_OF).cast("timestamp"))
+        stamped.write.mode("append").parquet(f"{root}/landed")
+        snapshots.stream(spark, f"{root}/landed", f"{root}/mart", f"{root}/progress", AS_OF, AS_OF)
+    return named_fact(snapshots.open_snapshot(snapshots.current(spark, f"{root}/mart"), landed(spark, sf_dir), AS_OF))
 
 
 def streamed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -524,7 +553,15 @@ QUERIES: dict[str, Query] = {
     "synth_amounts": synth_amounts,
     "inject_issues": _on_raw(injected_issues),
     # incremental
-    "incremental_fact": lambda spark, sf_dir: portable(incremental_fact(spark, sf_dir)),
+    "incremental_fact": lambda spark, sf_dir: portable(named_fact(snapshot_mart(spark, sf_dir))),
+    "incremental_accounting": lambda spark, sf_dir: portable(incremental_accounting(spark, sf_dir)),
+    "incremental_dq_summary": lambda spark, sf_dir: portable(incremental_dq_summary(spark, sf_dir)),
+    "incremental_quarantine": lambda spark, sf_dir: portable(snapshot_mart(spark, sf_dir).quarantine.drop("quarantined_at")),
+    "streamed_fact": lambda spark, sf_dir: portable(streamed_fact(spark, sf_dir)),
+    "stored_weekly": lambda spark, sf_dir: portable(snapshots.totals(snapshot_for(spark, sf_dir), "week", "week_start")),
+    "stored_monthly": lambda spark, sf_dir: portable(snapshots.totals(snapshot_for(spark, sf_dir), "month", "month_start")),
+    "stored_channel_mix": lambda spark, sf_dir: portable(snapshots.stored_mix(snapshot_for(spark, sf_dir), "channel")),
+    "stored_category_mix": lambda spark, sf_dir: portable(snapshots.stored_mix(snapshot_for(spark, sf_dir), "product_category")),
     "incremental_clean": lambda spark, sf_dir: portable(incremental_clean(spark, sf_dir)),
     "streamed_clean": lambda spark, sf_dir: portable(streamed_clean(spark, sf_dir)),
 }
