@@ -21,7 +21,7 @@ labels (0 without labels). Repeated rows score alike. An empty table gives an em
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,7 @@ CHUNK = 1024
 GRID = 1 << 20
 ROWS = 8
 CACHE_WORDS = 150_000
+PROJECTED = 16_384
 
 
 def tokens(text: str) -> list[bytes]:
@@ -73,7 +74,7 @@ def grams(words: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             mixed = (mixed ^ text[k : k + count]) * np.uint32(0x01000193)
         mixed ^= mixed >> np.uint32(15)
         whole = left[: len(mixed)] >= n
-        yield (mixed[whole] % GRAM_BUCKETS).astype(np.int64), np.maximum(lengths - n + 1, 0)
+        yield (mixed[whole] % GRAM_BUCKETS).astype(np.int32), np.maximum(lengths - n + 1, 0)
 
 
 def _sums(rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -134,7 +135,11 @@ class Network:
         return np.concatenate([own, total / np.sqrt(np.maximum(count, 1))[:, None]], axis=1, dtype=np.float32)
 
     def projected(self, words: Sequence[bytes]) -> np.ndarray:
-        return _times(self.inputs(words), self.p["in"]) + self.p["in_bias"]
+        """Input of each word to the gates of both directions; some words at a time, to save memory."""
+        out = np.zeros((len(words), 6 * HIDDEN), np.float32)
+        for at in range(0, len(words), PROJECTED):
+            out[at : at + PROJECTED] = _times(self.inputs(words[at : at + PROJECTED]), self.p["in"]) + self.p["in_bias"]
+        return out
 
     @staticmethod
     def _step(x: np.ndarray, h: np.ndarray, weights: np.ndarray, times: Callable = np.matmul) -> tuple[np.ndarray, ...]:
@@ -244,12 +249,14 @@ class Adam:
 class Bags:
     """Windows of the fitted texts as numbers of their distinct words."""
 
-    def __init__(self, texts: Sequence[Sequence[bytes]]):
+    def __init__(self, texts: Iterable[Sequence[bytes]]):
         place: dict[bytes, int] = {}
         self.windows: list[np.ndarray] = []
         owner: list[int] = []
         self.held: dict[bytes, int] = {}
+        count = 0
         for at, words in enumerate(texts):
+            count += 1
             row = np.fromiter((place.setdefault(word, len(place)) for word in words), np.int32, len(words))
             for word in set(words):
                 self.held[word] = self.held.get(word, 0) + 1
@@ -258,7 +265,7 @@ class Bags:
                 owner.append(at)
         self.words = list(place)
         self.owner = np.array(owner, np.int64)
-        self.size = np.bincount(self.owner, minlength=len(texts)) if owner else np.zeros(len(texts), np.int64)
+        self.size = np.bincount(self.owner, minlength=count)
 
     def common(self) -> list[bytes]:
         return sorted((word for word, n in self.held.items() if n >= 3), key=lambda word: (-self.held[word], word))[:WORDS]
@@ -287,7 +294,7 @@ def _best(logits: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return order[np.flatnonzero(np.append(np.diff(owner[order]) > 0, True))] if len(order) else order
 
 
-def fit_network(texts: Sequence[Sequence[bytes]], toxic: np.ndarray, rate: np.ndarray, epochs: int, seed: int = 7) -> Network:
+def fit_network(texts: Iterable[Sequence[bytes]], toxic: np.ndarray, rate: np.ndarray, epochs: int, seed: int = 7) -> Network:
     """Fit on all windows of the texts; in the end a toxic text's best window carries its label. ``rate`` weighs the texts."""
     bags = Bags(texts)
     net = Network(bags.common(), seed)
@@ -298,8 +305,8 @@ def fit_network(texts: Sequence[Sequence[bytes]], toxic: np.ndarray, rate: np.nd
     draw = np.random.default_rng(seed)
     every = np.arange(len(bags.owner))
     adam = Adam(net.p, 0.01)
-    batch = min(BATCH, max(32, len(texts) // 12))
-    epochs = max(epochs, -(-LEAST_STEPS * batch // max(1, len(texts)))) if batch < BATCH else epochs
+    batch = min(BATCH, max(32, len(toxic) // 12))
+    epochs = max(epochs, -(-LEAST_STEPS * batch // max(1, len(toxic)))) if batch < BATCH else epochs
     warm = max(1, min(WARM * epochs // EPOCHS, epochs))
     for epoch in range(epochs):
         adam.rate = 0.01 * (1 - epoch / epochs) + 0.001
@@ -421,9 +428,10 @@ def fit(texts: Sequence[str], toxic: Sequence[int], share: float, epochs: int =
     else:
         first = ~last
     some = np.flatnonzero(first)
-    net = fit_network([tokens(texts[i]) for i in some], truth[some].astype(np.float32), np.sqrt(rate[some]).astype(np.float32), epochs)
+    net = fit_network((tokens(texts[i]) for i in some), truth[some].astype(np.float32), np.sqrt(rate[some]).astype(np.float32), epochs)
     rest = np.flatnonzero(last)
-    x = np.array([features(own) for own in Scorer(net).logits([tokens(texts[i]) for i in rest])])
+    scorer = Scorer(net)
+    x = np.array([features(scorer.logits([tokens(texts[i])])[0]) for i in rest])
     return Model(net, fit_logistic(x, truth[rest], rate[rest]), share)
 
 
