@@ -113,12 +113,13 @@ def profiling_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of a small first and a large second file, landed together."""
+    """Ids of a small first and a large second folder of files, landed together."""
     raw, path = landed(spark, sf_dir), scratch(spark, "csv")
     few = F.col("raw_row_id") % 50 == 0
     for name, rows in (("a", raw.filter(few)), ("b", raw.filter(~few))):
-        one_file = rows.coalesce(1).sortWithinPartitions("raw_row_id")
-        write_csv(one_file.select(*SOURCE_FIELDS), f"{path}/{name}")
+        # Ranges in order: files follow one another by name, and rows within each file.
+        in_order = rows.repartitionByRange("raw_row_id").sortWithinPartitions("raw_row_id")
+        write_csv(in_order.select(*SOURCE_FIELDS), f"{path}/{name}")
     return land(read_raw(spark, f"{path}/*"), scratch(spark, "landed"), AS_OF).drop("loaded_at")
 
 
