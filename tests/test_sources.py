@@ -1,5 +1,7 @@
 """CSV reading and writing, landing, mapping."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +75,46 @@ def test_ids_follow_the_files(spark, tmp_path, small_splits):
     assert landed.agg(F.max("raw_row_id")).first()[0] == 1542
 
 
+def test_records_cross_splits(spark, tmp_path, small_splits):
+    """Doubled quotes, line breaks and blank lines inside fields, some longer than several splits, in one file by many tasks."""
+    draw = random.Random(7)
+    pieces = ["\n", '"', ",", "a", "b\n\n", '""', "\r\n", "long word ", "é"]
+    rows = []
+    for at in range(600):
+        texts = ["".join(draw.choice(pieces) for _ in range(draw.randrange(1, 9))) for _ in range(2)]
+        texts[0] += "x\n" * (3000 if at % 150 == 3 else 0) + ('"\n' * 2000 if at % 200 == 9 else "")
+        rows.append((f"T{at}", "t", *texts, "1", None, "", "C", "s"))
+
+    def field(text):
+        return "" if text is None else '"' + text.replace('"', '""') + '"'
+
+    for name, own in (("a", rows[:5]), ("b", rows[5:590]), ("c", rows[590:])):
+        body = "\n".join(",".join(map(field, row)) for row in own)
+        (tmp_path / f"{name}.csv").write_text(HEADER + body + "\n\n", newline="")
+    found = read_raw(spark, str(tmp_path), multiline=True, placed=True)
+    assert found.select("_order").distinct().count() > 10
+    landed = land(found, str(tmp_path / "raw"), AS_OF)
+    assert [tuple(row[1:10]) for row in landed.orderBy("raw_row_id").collect()] == rows
+    assert landed.agg(F.min("raw_row_id"), F.max("raw_row_id"), F.count_distinct("raw_row_id")).first()[:] == (0, 599, 600)
+
+
+def test_an_unclosed_quote_fails(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)malformed|not closed"):
+        read_raw(spark, csv(tmp_path, 'T1,t,c,p,1,2,m,C,"a', "T2,t,c,p,1,2,m,C,s"), multiline=True).collect()
+
+
+def test_windows_line_ends_and_empty_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('h\r\nT1,t,c,p,1,2,m,C,"a\r\nb"\r\nT2,t,c,p,1,2,m,C,s\r\n', newline="")
+    (tmp_path / "b.csv").write_text("")
+    found = read_raw(spark, str(tmp_path), multiline=True)
+    assert rows_of(found.select("transaction_id", "status")) == [("T1", "a\r\nb"), ("T2", "s")]
+
+
+def test_ids_without_a_shuffle_of_rows(spark, tmp_path):
+    plan = with_row_id(read_raw(spark, csv(tmp_path, "T1,t,c,p,1,2,m,C,s")))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_profiling_read_treats_missing_value_texts_as_null(spark, tmp_path):
     row = read_source(spark, csv(tmp_path, 'T1,NaN,None,NA,1,null,card,N/A,ok')).first()
     assert [row[name] for name in SOURCE_FIELDS] == ["T1", None, None, None, "1", None, "card", None, "ok"]
