@@ -258,8 +258,7 @@ def _number(salt: str) -> str:
     """A draw below 2^62 from the scattered columns b0 to b3."""
     halves = []
     for half, prime in enumerate((2147483647, 2147483629)):
-        digest = hashlib.sha256(f"{salt}/42/{half}".encode()).digest()
-        weights = [int.from_bytes(digest[8 * at : 8 * at + 8], "big") % (prime - 1) + 1 for at in range(4)]
+        weights = _weights(salt, half, prime)
         halves.append("(" + " + ".join(f"b{at} * {weight}" for at, weight in enumerate(weights)) + f") % {prime}")
     return f"(({halves[0]}) * 2147483648 + ({halves[1]}))"
 
@@ -290,6 +289,26 @@ def _broken(table: str, row: str) -> str:
   FROM {_scattered(table, row)}))"""
 
 
+def _weights(salt: str, half: int, prime: int) -> list[int]:
+    digest = hashlib.sha256(f"{salt}/42/{half}".encode()).digest()
+    return [int.from_bytes(digest[8 * at : 8 * at + 8], "big") % (prime - 1) + 1 for at in range(4)]
+
+
+_ROUNDS = ", ".join(
+    str((at, *_weights(f"duplicate/{at}", 0, 2147483647), *_weights(f"duplicate/{at}", 1, 2147483629))) for at in range(80)
+)
+# Each round swaps a place with its mirror image around a random point, or not.
+_PERMUTED = f"""(
+  WITH RECURSIVE walk AS (
+    SELECT CAST(0 AS INTEGER) AS round, first, size, pick AS spot, b0, b1, b2, b3 FROM {_scattered("picks", "first")}
+    UNION ALL
+    SELECT round + 1, first, size, CASE WHEN (greatest(spot, mirror) * w0 + b1 * w1 + b2 * w2 + b3 * w3) % 2147483629 % 2 = 1
+      THEN mirror ELSE spot END, b0, b1, b2, b3
+    FROM (
+      SELECT walk.*, w0, w1, w2, w3,
+        ((b0 * s0 + b1 * s1 + b2 * s2 + b3 * s3) % 2147483647 % size - spot + size) % size AS mirror
+      FROM walk JOIN (VALUES {_ROUNDS}) AS k(step, s0, s1, s2, s3, w0, w1, w2, w3) ON k.step = walk.round))
+  SELECT first, spot FROM walk WHERE round = 80)"""
 _DRAWN = ("day", "product_category", "channel", "quantity", "payment_method", "status")
 _LINES = {"channel": "channel", "product_category": _TITLE, "status": "lower(status)", "payment_method": "payment_method",
           "quantity": f"CAST({_WHOLE} AS VARCHAR)"}
@@ -313,12 +332,10 @@ pool AS (SELECT greatest(max(try_cast(replace(customer_id, 'C', '') AS BIGINT))
 chunks AS (
   SELECT first, least(250000, n - first) AS size, CAST(floor(least(250000, n - first) * 0.008) AS BIGINT) AS copies
   FROM (SELECT n, unnest(range(0, n, 250000)) AS first FROM size)),
-picks AS (
-  SELECT *, first + pick AS spot, pick * size // copies AS low, (pick + 1) * size // copies AS high
-  FROM (SELECT *, unnest(range(copies)) AS pick FROM chunks)),
+picks AS (SELECT *, unnest(range(copies)) AS pick FROM chunks),
 ids AS (
   SELECT unnest(range(n)) AS r FROM size
-  UNION ALL SELECT first + low + {_number("duplicate")} % (high - low) FROM {_scattered("picks", "spot")}),
+  UNION ALL SELECT first + spot FROM {_PERMUTED}),
 numbers AS (
   SELECT r, {", ".join(f"{_number(a)} % (SELECT total FROM totals WHERE attribute = '{a}') AS n_{a}" for a in _DRAWN)},
     {_number("second")} % 86400 AS second, {_number("customer")} % (SELECT pool FROM pool) + 1 AS customer,
@@ -593,6 +610,20 @@ FROM sales WHERE day BETWEEN DATE '2023-02-10' AND DATE '2025-09-20' AND chan IN
         MODEL,
         f"""SELECT count(*) AS row_count, CAST(max(ts) AS VARCHAR) AS latest_timestamp, count(*) >= 1 AS row_count_ok,
   max(ts) >= {AS_OF} - INTERVAL 24 HOUR AS is_fresh FROM sales""",
+    ),
+    "volume_baseline": _after(
+        MODEL,
+        """SELECT CAST(day AS VARCHAR) AS date_actual, row_count, seen AS days_seen, typical AS typical_rows,
+  CASE WHEN typical IS NOT NULL THEN round(greatest(typical - 3 * spread, 0), 6) END AS expected_low, round(typical + 3 * spread, 6) AS expected_high,
+  CASE WHEN row_count < greatest(typical - 3 * spread, 0) THEN 'low' WHEN row_count > typical + 3 * spread THEN 'high'
+       WHEN typical IS NOT NULL THEN 'expected' ELSE 'no history' END AS volume
+FROM (SELECT *, greatest(CAST(1.4826 AS DOUBLE) * deviation, sqrt(typical)) AS spread FROM (
+  SELECT day, CAST(n AS BIGINT) AS row_count, count(*) OVER w AS seen,
+    CASE WHEN count(*) OVER w >= 4 THEN median(n) OVER w END AS typical,
+    CASE WHEN count(*) OVER w >= 4 THEN mad(n) OVER w END AS deviation
+  FROM (SELECT days.day, dow, CAST(coalesce(n, 0) AS DOUBLE) AS n
+        FROM days LEFT JOIN (SELECT day, count(*) AS n FROM sales GROUP BY day) s ON s.day = days.day)
+  WINDOW w AS (PARTITION BY dow ORDER BY day ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING)))""",
     ),
     "daily_monitor": _monitor("day"),
     "weekly_monitor": _monitor("week"),
@@ -679,8 +710,25 @@ FROM (SELECT day, CAST((CASE WHEN dow >= 6 THEN 125 ELSE 100 END)
     "streamed_clean": _after(LATEST, CLEAN_ROWS + " FROM latest"),
 }
 
-# Batches and stored totals end where a full build does.
+# Order lines of another system, modelled together with the rows of the first.
+_BOTH = RAW.replace("\nraw AS (", "\nfirst_source AS (") + f""",
+raw AS (
+  SELECT * FROM first_source UNION ALL
+  SELECT 2000000000000 + row_number() OVER () AS raw_row_id,
+    concat_ws('-', 'L', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS transaction_id,
+    strftime(l_shipdate + INTERVAL 25 YEAR, '%Y-%m-%d %H:%M:%S') AS order_timestamp, 'Partner' AS channel,
+    l_returnflag AS product_category, CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) AS quantity,
+    CAST(CAST(l_extendedprice AS DECIMAL(14, 2)) AS VARCHAR) AS amount, 'invoice' AS payment_method,
+    'S' || l_suppkey AS customer_id, CASE WHEN l_linestatus = 'F' THEN 'completed' ELSE 'failed' END AS status
+  FROM lineitem)"""
+for name, same in {"second_source_fact": "incremental_fact", "second_source_dq_summary": "dq_summary"}.items():
+    ORACLE[name] = ORACLE[same].replace(RAW, _BOTH)
+
+# Batches, stored totals and exports end where a full build does.
 for name, same in {
+    "exported_weekly": "weekly_growth_report",
+    "exported_category_mix": "product_category_mix",
+    "exported_dq_summary": "dq_summary",
     "incremental_accounting": "row_accounting",
     "incremental_dq_summary": "dq_summary",
     "incremental_quarantine": "quarantine",

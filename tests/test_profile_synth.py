@@ -73,6 +73,22 @@ def test_copies_have_the_exact_count_per_chunk(spark, n, chunk, expected):
     assert (per_chunk or 0) <= int(chunk * 0.008)
 
 
+def test_copies_are_a_simple_random_sample(spark):
+    """Ten of a hundred rows in each of 400 chunks: every row alike often, and two of one stretch as often as they should."""
+    picks = synth.duplicate_ids(spark, 40_000, rate=0.1, chunk=100)
+    chunks = {}
+    for (number,) in picks.collect():
+        chunks.setdefault(number // 100, set()).add(number % 100)
+    assert len(chunks) == 400 and all(len(own) == 10 for own in chunks.values())
+    often = [sum(at in own for own in chunks.values()) for at in range(100)]
+    # Each is drawn 40 times on average; the sum of squared deviations over the variance of 36 is about 99, give or take 14.
+    assert 50 < sum((n - 40) ** 2 for n in often) / 36 < 160
+    together = sum(own >= {at, at + 1} for own in chunks.values() for at in range(0, 100, 2))
+    # Expected 400 * 50 * (10 * 9) / (100 * 99) = 182 pairs; none at all if each stretch gave one.
+    assert 140 < together < 225
+    assert len({tuple(sorted(own)) for own in chunks.values()}) == 400
+
+
 def test_issue_precedence(spark):
     always = {issue: 1.0 for issue in synth.ISSUE_RATES}
     df = spark.range(1).select(F.col("id").alias("row_number"), F.lit("2024-01-01 00:00:00").alias("order_timestamp"),

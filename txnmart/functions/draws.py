@@ -22,6 +22,8 @@ HALF_BITS = 31
 BITS = ["_bits0", "_bits1", "_bits2", "_bits3"]
 DIGITS = 7
 RESOLUTION = 1 << 53
+#: Rounds of a permutation, some four per bit of the ranges that are drawn from.
+ROUNDS = 80
 
 
 def scattered(df: DataFrame, row_id: str) -> DataFrame:
@@ -59,6 +61,29 @@ def below(salt: str, seed: int, bound: Column) -> Column:
     return F.coalesce(number(salt, seed) % bound.cast("long"), F.lit(0).cast("long"))
 
 
+def permuted(place: Column, size: Column, salt: str, seed: int) -> Column:
+    """Image of the long ``place`` under a random permutation of [0, size), for sizes below 2^31.
+
+    The permutation is that of the row's `BITS`: rows that share them share it, and get different
+    images for different places. Each round mirrors the range around a random point and swaps a place
+    with its mirror image or not, by a draw that is the same for both; no range needs padding or retries.
+    """
+    names = ["_s0", "_s1", "_s2", "_s3", "_w0", "_w1", "_w2", "_w3"]
+    rounds = []
+    for at in range(ROUNDS):
+        values = [*weights(f"{salt}/{at}", seed, 0), *weights(f"{salt}/{at}", seed, 1)]
+        rounds.append(F.struct(*[F.lit(value).cast("long").alias(name) for name, value in zip(names, values, strict=True)]))
+    bits = [F.col(name) for name in BITS]
+
+    def step(spot: Column, key: Column) -> Column:
+        shift = reduce(add, (bit * key[f"_s{at}"] for at, bit in enumerate(bits))) % F.lit(PRIMES[0]) % size
+        mirror = (shift - spot + size) % size
+        toss = F.greatest(spot, mirror) * key["_w0"] + reduce(add, (bits[at] * key[f"_w{at}"] for at in (1, 2, 3)))
+        return F.when(toss % F.lit(PRIMES[1]) % 2 == 1, mirror).otherwise(spot)
+
+    return F.aggregate(F.array(*rounds), place, step)
+
+
 def standard_normal(salt: str, seed: int) -> Column:
     """Standard normal double by the Box-Muller transform; 1 - u keeps the logarithm finite."""
     radius = F.sqrt(-2.0 * F.log(1.0 - uniform(salt + "/radius", seed)))

@@ -28,6 +28,43 @@ def freshness(
     return seen.select("row_count", "latest_timestamp", count_ok.alias("row_count_ok"), recent.alias("is_fresh"))
 
 
+def _median(values: Column) -> Column:
+    """Median of an array of doubles; NULL if it is empty."""
+    ordered, size = F.array_sort(values), F.size(values)
+    return (F.get(ordered, F.floor((size - 1) / 2).cast("int")) + F.get(ordered, F.floor(size / 2).cast("int"))) / 2
+
+
+def volume_baseline(mart: Mart, days: int = 8, least: int = 4, width: float = 3.0) -> DataFrame:
+    """Transactions of each calendar day against the range that its weekday's history lets expect.
+
+    The range is the median of the last ``days`` same weekdays, give or take ``width`` spreads. A spread is
+    the scaled median absolute deviation, which single outliers don't move, and at least the square root of
+    the median, as counts scatter that much by chance. Days without transactions count as zero; with
+    fewer than ``least`` days of history nothing is expected. Windows are bounded by the calendar.
+    """
+    counts = mart.fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("row_count"))
+    daily = mart.dim_date.select("date_key", "date_actual", "day_of_week_num").join(counts, "date_key", "left")
+    daily = daily.withColumn("row_count", F.coalesce("row_count", F.lit(0)))
+    before = Window.partitionBy("day_of_week_num").orderBy("date_actual").rowsBetween(-days, -1)
+    seen = daily.withColumn("_history", F.collect_list(F.col("row_count").cast("double")).over(before))
+    rated = seen.withColumn("typical_rows", F.when(F.size("_history") >= least, _median(F.col("_history"))))
+    apart = F.transform("_history", lambda n: F.abs(n - F.col("typical_rows")))
+    spread = F.greatest(F.lit(1.4826) * _median(apart), F.sqrt("typical_rows"))
+    rated = rated.withColumn("_spread", F.when(F.col("typical_rows").isNotNull(), spread))
+    low = F.when(F.col("_spread").isNotNull(), F.greatest(F.col("typical_rows") - width * F.col("_spread"), F.lit(0.0)))
+    high = F.col("typical_rows") + width * F.col("_spread")
+    volume = F.when(F.col("row_count") < low, "low").when(F.col("row_count") > high, "high")
+    return rated.select(
+        "date_actual",
+        "row_count",
+        F.size("_history").cast("long").alias("days_seen"),
+        "typical_rows",
+        F.round(low, 6).alias("expected_low"),
+        F.round(high, 6).alias("expected_high"),
+        volume.when(F.col("typical_rows").isNotNull(), "expected").otherwise("no history").alias("volume"),
+    )
+
+
 def monitored_metrics(mart: Mart, period: str = "week_start") -> DataFrame:
     """Value, order value, refund rate and failure rate per day or week, each with its change.
 

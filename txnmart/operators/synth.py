@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnmart.functions.draws import BITS, below, scattered, standard_normal, uniform
+from txnmart.functions.draws import BITS, below, permuted, scattered, standard_normal, uniform
 from txnmart.operators import profile
 from txnmart.operators.joins import lookup, measure
 from txnmart.operators.numbering import running_total
@@ -98,16 +98,15 @@ def duplicate_ids(
 ) -> DataFrame:
     """Row numbers to emit a second time: exactly ``int(rate * size)`` different ones per chunk of rows.
 
-    A chunk is cut into as many equal stretches as it needs copies and one row is drawn
-    from each. That gives the exact count without ranking or shuffling any rows.
+    They are a simple random sample without replacement: the images of the first places under a
+    random permutation of the chunk. That gives the exact count without ranking or shuffling any rows.
     """
     chunks = spark.range((n + chunk - 1) // chunk).withColumn("first", F.col("id") * chunk)
     chunks = chunks.withColumn("size", F.least(F.lit(chunk).cast("long"), F.lit(n) - F.col("first")))
     chunks = chunks.withColumn("copies", F.floor(F.col("size") * F.lit(float(rate))).cast("long"))
     picks = chunks.filter("copies > 0").withColumn("pick", F.explode(F.expr("sequence(0L, copies - 1)")))
-    low, high = F.expr("pick * size div copies"), F.expr("(pick + 1) * size div copies")
-    numbered = scattered(picks.withColumn("_number", F.col("first") + F.col("pick")), "_number")
-    return numbered.select((F.col("first") + low + below("duplicate", seed, high - low)).alias("row_number"))
+    spot = permuted(F.col("pick"), F.col("size"), "duplicate", seed)
+    return scattered(picks, "first").select((F.col("first") + spot).alias("row_number"))
 
 
 # --- weighted draws -----------------------------------------------------------------

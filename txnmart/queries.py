@@ -21,10 +21,10 @@ from txnmart.operators.cleaning import typed
 from txnmart.operators.dedup import dedup_exact, row_texts
 from txnmart.plans.mart import Mart, build_mart, violations
 from txnmart.plans.publish import ConstraintsViolated, open_published, publish
-from txnmart.plans.reports import export_reports
+from txnmart.plans.reports import export_reports, reports
 from txnmart.schemas import SOURCE_FIELDS
 from txnmart.session import shared_dir, written
-from txnmart.sources.raw import land, map_source, missing_as_null, read_raw, read_source, write_csv, write_table
+from txnmart.sources.raw import land, map_source, missing_as_null, read_raw, read_source, with_load_ts, write_csv, write_table
 from txnmart.sources.sample import AS_OF, raw_transactions
 from txnmart.streaming import snapshots
 from txnmart.streaming.incremental import apply_batch, clean_table, load_new
@@ -98,7 +98,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_round_trip_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with a line break in a field of every row, which only whole files can hold."""
+    """The same with a line break in a field of every row; records are cut by the parity of quotes."""
     path = scratch(spark, "csv")
     rows = landed(spark, sf_dir).select(*SOURCE_FIELDS)
     write_csv(rows.withColumn("customer_id", F.concat("customer_id", F.lit("\n"), "status")), path)
@@ -151,6 +151,36 @@ def second_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.unionByName(landed(spark, sf_dir).select(*SOURCE_FIELDS))
 
 
+def both_sources_mart(spark: SparkSession, sf_dir: str) -> Mart:
+    """A mart of both sources: order lines, with ids and customers of their own name space, landed after the first."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/both")
+    if key not in _marts:
+        c = F.col
+        lines = map_source(
+            _table(spark, sf_dir, "lineitem"),
+            {
+                "transaction_id": F.concat_ws("-", F.lit("L"), "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"),
+                "order_timestamp": c("l_shipdate") + F.expr("INTERVAL 25 YEARS"),
+                "channel": F.lit("Partner"),
+                "product_category": "l_returnflag",
+                "quantity": c("l_quantity").cast("int"),
+                "amount": c("l_extendedprice").cast("decimal(14,2)"),
+                "payment_method": F.lit("invoice"),
+                "customer_id": F.concat(F.lit("S"), c("l_suppkey")),
+                "status": F.when(c("l_linestatus") == "F", "completed").otherwise("failed"),
+            },
+        )
+        path = scratch(spark, "raw")
+        write_table(with_load_ts(landed(spark, sf_dir), AS_OF), path)
+        _marts[key] = build_mart(land(lines, path, AS_OF, append=True), scratch(spark, "mart"), AS_OF, loaded_at=AS_OF)
+    return _marts[key]
+
+
+def second_source_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mart = both_sources_mart(spark, sf_dir)
+    return quality.dq_summary(mart.accounting, mart.fact, mart.quarantine)
+
+
 # --- cleaning -----------------------------------------------------------------------
 
 
@@ -276,12 +306,16 @@ def named_fact(mart: Mart) -> DataFrame:
     return rows.join(days, "date_key").select(*names, "customer_id", "quantity", "amount")
 
 
-def exported_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The channel mix as exported and read back."""
-    path = scratch(spark, "reports")
-    export_reports(mart_for(spark, sf_dir), path)
-    columns = "channel_name string, completed_transactions long, completed_units long, completed_value double, value_share_pct double"
-    return spark.read.schema(columns).option("header", True).csv(f"{path}/channel_mix")
+def _exported(report: str) -> Query:
+    """A report as exported and read back by the names of its header."""
+
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path, mart = scratch(spark, "reports"), mart_for(spark, sf_dir)
+        export_reports(mart, path)
+        columns = portable(reports(mart)[report]).schema
+        return spark.read.schema(columns).option("header", True).option("enforceSchema", False).csv(f"{path}/{report}")
+
+    return read
 
 
 def duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,6 +512,8 @@ QUERIES: dict[str, Query] = {
     "landed_ids": landed_ids,
     "load_stamps": load_stamps,
     "second_source": second_source,
+    "second_source_fact": lambda spark, sf_dir: portable(named_fact(both_sources_mart(spark, sf_dir))),
+    "second_source_dq_summary": lambda spark, sf_dir: portable(second_source_dq_summary(spark, sf_dir)),
     # cleaning
     "blank_to_null": _on_raw(blank_to_null),
     "normalize_channel": _on_raw(normalize_channel),
@@ -529,11 +565,17 @@ QUERIES: dict[str, Query] = {
     "product_category_mix": _on_mart(metrics.product_category_mix),
     "day_of_week": _on_mart(metrics.day_of_week),
     # extract
-    "exported_reports": exported_reports,
+    "exported_reports": _exported("channel_mix"),
+    "exported_weekly": lambda spark, sf_dir: _rounded(
+        _exported("weekly_growth")(spark, sf_dir), "wow_value_growth_pct", "rolling_4wk_avg", "vs_4wk_avg_pct"
+    ),
+    "exported_category_mix": _exported("product_category_mix"),
+    "exported_dq_summary": _exported("dq_summary"),
     "dashboard_extract": _on_mart(extract.dashboard_extract),
     "filtered_extract": _on_mart(filtered_extract),
     # monitoring
     "freshness": _on_mart(lambda m: monitoring.freshness(m.fact, AS_OF)),
+    "volume_baseline": _on_mart(monitoring.volume_baseline),
     "daily_monitor": _on_mart(lambda m: monitoring.monitored_metrics(m, "date_actual")),
     "weekly_monitor": _on_mart(lambda m: monitoring.monitored_metrics(m, "week_start")),
     "channel_share_by_week": _on_mart(lambda m: monitoring.share_by_week(m, "channel")),
