@@ -234,6 +234,50 @@ def test_page_differencing(table):
     assert text[1] == "one\ntwo" and text[2] == "three"
     assert text[3] == "Top bar\nLogin\nlone\nImprint" and text[4] == ""
     assert text[5] == text[6] == "Same"
+    assert [len(r["text"]) for r in found if r["page_id"] == 7] == [249_999] * 2
+
+
+def test_copies_of_pages_keep_their_text(table):
+    def page(own):
+        return f"<body><div>Top bar</div><p>{own}</p><div>Imprint</div></body>"
+
+    rows = [(at, "http://a.org/p", page("copy")) for at in range(40)] + [(99, "http://a.org/p", page("other"))]
+    rows += [(100 + at, f"http://b.org/{at}", page("same")) for at in range(20)]
+    clashing = ["text", "n_chars", "host", "path", "_host", "_path", "_html", "_hash"]
+    schema = "page_id long, url string, html string, " + ", ".join(f"{name} string" for name in clashing)
+    data = table([(*row, *["x"] * len(clashing)) for row in rows], schema, files=1)
+    found = {r["page_id"]: r["text"] for r in html_text.extract(data.coalesce(1)).collect()}
+    assert {found[at] for at in range(40)} == {"copy"} and found[99] == "other"
+    assert {found[100 + at] for at in range(20)} == {"Top bar\nsame\nImprint"}
+
+
+@pytest.mark.parametrize("tag", sorted(html_text.DROPPED_TAGS))
+def test_unclosed_elements_end_with_their_parent(tag):
+    def text(page):
+        return html_text.main_lines(html_text.lines(page), None)
+
+    inside = ["two"] if tag in html_text.FOREIGN else []
+    assert text(f"<article><p>one</p><{tag}><p>two</p></article><p>three</p>") == ["one", *inside, "three"]
+    assert text(f"<p>one <{tag}><b>no</b><{tag}>no</{tag}> no</{tag}> more</p><p>two</p>") == ["one more", "two"]
+    assert text(f"<p>one</p></{tag}><p>two <{tag} a='b'/>more</p><{tag}>gone") == ["one", "two more"]
+    assert text(f"<head><{tag}></head><body><p>one</p></body>") == ["one"]
+
+
+NAMED = [
+    ("<div class='social-history'><p>Text</p></div>", ["Text"]),
+    ("<div id='search-results'><p>Text</p></div>", ["Text"]),
+    ("<section class='related work'><p>Text</p></section>", ["Text"]),
+    ("<div class='no-sidebar'><p>Text of the page</p></div><div class='sidebar'>Side</div>", ["Text of the page"]),
+    ("<p>Text of some length</p><div class='share-buttons'>Share</div><div class='related'>More</div>", ["Text of some length"]),
+    ("<p>Text</p><div id='comments'><p>Readers say very much more</p></div>", ["Text"]),
+    ("<p>Text</p><aside><div class='share'>Very long text in a sidebar</div></aside>", ["Text"]),
+    ("<article>Text</article><div class='related'>Very long text about others</div>", ["Text"]),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), NAMED)
+def test_names_of_class_and_id(page, text):
+    assert html_text.main_lines(html_text.lines(page), None) == text
 
 
 def test_pages_empty(table):

@@ -4,18 +4,19 @@ A page is cut into lines, one per block. Markup puts each line into a zone: ``ma
 ``article`` or ``main`` element, ``chrome`` inside menus, headers, footers, sidebars, notices, adverts,
 forms and reader comments (by element, role, class or id), and ``open`` elsewhere. Words of class or id
 decide nothing for the page, ``main`` and ``article`` or what holds them, so reader comments that are
-``article`` elements are chrome inside another article only. Pages are ordered
-by host and path, and each is differenced with the neighbour in that order, of the same host, whose
-path has the longer common start: lines are aligned by a longest common subsequence, and open lines
+``article`` elements are chrome inside another article only; nor for an element with over half of the
+text of a page that has no main zone, unless it is one of reader comments. Pages are ordered
+by host, path and html, and each is differenced with the nearest different page before or after it, of the same
+host, whose path has the longer common start: lines are aligned by a longest common subsequence, and open lines
 that both pages share are template and deleted. Chrome lines are deleted as well. A shared line of
 two articles is a quotation or a copy, not template, so lines of the main zone stay.
 
-Pages are dealt by ranges of (host, path, id), so a hot host is spread over tasks; a page that is
-the only one of its host in its range has no partner, and keeps its open lines.
+Pages are dealt by ranges of (host, path, html, id), so a hot host is spread over tasks; a page that is
+the only different one of its host in its range has no partner, and keeps its open lines.
 
 Nulls: NULL html counts as empty and gives an empty text; a NULL URL has an empty host and path,
-like one without ``://``. Repeated rows are pages of their own: a page may be its copy's partner, and
-then keeps its main lines only. An empty table gives an empty result.
+like one without ``://``. Repeated rows are pages of their own, and equal pages next to each other are differenced
+with the same page. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from __future__ import annotations
 import html as markup
 import os
 import re
+from collections import deque
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +37,28 @@ from txnmart.llm.url_rules import parts
 
 CHROME_TAGS = {"nav", "header", "footer", "aside", "form", "button", "select", "dialog", "menu", "head"}
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu"}
+#: A name of class or id that holds one of these is chrome.
 CHROME_WORDS = set(
-    "ad ads advert adverts advertisement advertising sponsored sponsor promo cookie cookies consent notice notices "
-    "alert sidebar menu nav navbar navigation breadcrumb breadcrumbs masthead footer comment comments disqus respond "
-    "newsletter subscribe signup popup modal overlay share sharing social related recommended login search".split()
+    "ad ads advert adverts advertisement advertising sponsored cookie cookies consent sidebar nav navbar navigation "
+    "breadcrumb breadcrumbs masthead footer comment comments disqus newsletter".split()
+)
+#: These may name a page's subject as well, so they count only as whole names or together with the words of `FURNITURE`.
+SUBJECT_WORDS = set(
+    "sponsor promo notice notices alert menu respond subscribe signup popup modal overlay share sharing social related "
+    "recommended login search".split()
 )
 #: These mark chrome outside of an article only; inside, they hold its headline.
 OUTER_WORDS = {"header", "banner", "widget"}
-RAW_TAGS = {"script", "style", "noscript", "template", "textarea", "svg", "iframe", "title", "object", "math", "canvas"}
+FURNITURE = set(
+    "site page top bottom left right main box bar button buttons link links list form icon icons container wrapper "
+    "block panel section area item items posts articles stories".split()
+)
+READER_NAMES = {"comment", "comments", "disqus", "disqus_thread", "respond"}
+#: Their content is text up to their end tag, or up to the page's end without one.
+RAW_TAGS = {"script", "style", "textarea", "title"}
+#: Elements that are not shown; without an end tag they end with their parent, `FOREIGN` ones at the next block as well.
+DROPPED_TAGS = {"noscript", "template", "svg", "iframe", "object", "math", "canvas"}
+FOREIGN = {"svg", "math"}
 VOID_TAGS = {"br", "img", "hr", "meta", "link", "input", "wbr", "area", "base", "col", "embed", "source", "track", "param"}
 BLOCK_TAGS = set(
     "p div h1 h2 h3 h4 h5 h6 li ul ol dl dt dd table tr td th thead tbody tfoot caption section article main blockquote "
@@ -61,10 +78,11 @@ Line = tuple[str, str]
 
 
 class Zone:
-    """Zone of an element and those inside it; ``soft`` chrome rests on words of class or id only."""
+    """Zone of an element and those inside it; ``soft`` chrome rests on words of class or id only, ``reader`` on those of comments."""
 
-    def __init__(self, name: str, outer: Zone | None = None, soft: bool = False, article: bool = False) -> None:
-        self.name, self.outer, self.soft, self.article = name, outer, soft, article
+    def __init__(self, name: str, outer: Zone | None = None, chrome: str = "", article: bool = False) -> None:
+        self.name, self.outer, self.article = name, outer, article
+        self.soft, self.reader = chrome in ("soft", "reader"), chrome == "reader"
 
 
 def _leave_soft(zone: Zone, tag: str) -> None:
@@ -82,7 +100,7 @@ def _leave_soft(zone: Zone, tag: str) -> None:
 
 
 def _chrome(tag: str, attributes: str, in_main: bool) -> str:
-    """``hard`` by element, role or being hidden, ``soft`` by words of class or id, empty if no chrome."""
+    """``hard`` by element, role or being hidden, ``soft`` by words of class or id, ``reader`` by those of comments, empty if no chrome."""
     if tag in CHROME_TAGS and not (in_main and tag == "header"):
         return "hard"
     if not attributes or tag in ("html", "body"):
@@ -94,15 +112,46 @@ def _chrome(tag: str, attributes: str, in_main: bool) -> str:
             return "hard"
         if name not in ("class", "id", "role"):
             continue
-        words = set(re.split(r"[^a-z0-9]+", value.lower()))
+        names = value.lower().split()
         if name == "role":
-            if words & CHROME_ROLES:
+            if CHROME_ROLES & set(names):
                 return "hard"
-        elif tag not in HOLDERS and (words & CHROME_WORDS or (not in_main and words & OUTER_WORDS)):
-            soft = "soft"
+        elif tag not in HOLDERS and READER_NAMES & set(names):
+            soft = "reader"
+        elif tag not in HOLDERS and any(_names_chrome(own, in_main) for own in names):
+            soft = soft or "soft"
     return soft
 
 
+def _names_chrome(name: str, in_main: bool) -> bool:
+    words = set(re.split(r"[^a-z0-9]+", name))
+    some = SUBJECT_WORDS if in_main else SUBJECT_WORDS | OUTER_WORDS
+    return bool(words & CHROME_WORDS or (words & some and words <= some | FURNITURE))
+
+
+def _keep_large(out: list[tuple[Zone, str]]) -> None:
+    """Where nothing is main, a soft zone with over half of the text that is not hard chrome is no chrome."""
+    if any(zone.name == "main" for zone, _ in out):
+        return
+    sizes: dict[int, int] = {}
+    for zone, whole in out:
+        if zone.name == "open" or zone.soft:
+            sizes[id(zone)] = sizes.get(id(zone), 0) + len(whole)
+    half = sum(sizes.values()) / 2
+    for zone, _ in out:
+        if zone.name == "chrome" and zone.soft and not zone.reader and sizes[id(zone)] > half and _soft_only(zone):
+            zone.name = "open"
+
+
+def _soft_only(zone: Zone | None) -> bool:
+    """Neither in hard chrome nor in reader comments."""
+    while zone is not None:
+        if zone.reader or (zone.name == "chrome" and not zone.soft):
+            return False
+        zone = zone.outer
+    return True
+
+
 def lines(page: str) -> list[Line]:
     """The page's blocks as (zone, text), without empty ones."""
     out: list[tuple[Zone, str]] = []
@@ -110,6 +159,8 @@ def lines(page: str) -> list[Line]:
     loose: Zone | None = None  # zone of an open element that doesn't nest, if it is chrome
     text: list[str] = []
     zone = top = Zone("open")
+    mark: int | None = None  # where in ``text`` an element that is not shown begins
+    inner: list[str] = []  # that element and those open inside it
 
     def close() -> None:
         whole = " ".join(markup.unescape("".join(text)).split())
@@ -130,6 +181,27 @@ def lines(page: str) -> list[Line]:
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
+        if mark is not None:
+            breaks = tag == "body" or (inner[0] in FOREIGN and tag in BLOCK_TAGS and "foreignobject" not in inner)
+            if not slash and not breaks:
+                if tag not in VOID_TAGS and not attributes.endswith("/"):
+                    inner.append(tag)
+                continue
+            if slash and tag in inner:
+                while inner.pop() != tag:
+                    pass
+                if inner:
+                    continue
+            elif slash and all(entry[0] != tag for entry in stack):
+                continue
+            del text[mark:]
+            mark = None
+            if slash and not inner:
+                continue
+        elif tag in DROPPED_TAGS:
+            if not slash and not attributes.endswith("/"):
+                mark, inner = len(text), [tag]
+            continue
         if tag == "br":
             text.append(" ")
             continue
@@ -149,19 +221,22 @@ def lines(page: str) -> list[Line]:
             stack, zone = [entry for entry in stack if entry[0] != "head"], top
         chrome = _chrome(tag, attributes, zone.name == "main")
         if tag in LOOSE_TAGS:
-            loose = Zone("chrome") if chrome else None
+            loose = Zone("chrome", zone, chrome) if chrome else None
         elif tag in BLOCK_TAGS and not attributes.endswith("/"):
             holds = tag in ("article", "main") and not chrome
             if holds:
                 _leave_soft(zone, tag)
             # Inside hard chrome all is chrome; inside soft chrome each element may turn out to hold the text.
             if chrome and (zone.name != "chrome" or zone.soft):
-                zone = Zone("chrome", zone, chrome == "soft", zone.article)
+                zone = Zone("chrome", zone, chrome, zone.article)
             elif holds and zone.name != "chrome":
                 zone = Zone("main", zone, article=zone.article or tag == "article")
             stack.append((tag, zone))
     text.append(page[at:])
+    if mark is not None:
+        del text[mark:]
     close()
+    _keep_large(out)
     return [(own.name, whole) for own, whole in out]
 
 
@@ -223,15 +298,19 @@ def _near(path: str, other: str) -> int:
 
 
 def differenced(pages: Iterable[tuple[str, str, str]]) -> Iterator[str]:
-    """Main text of each page (host, path, html) in order; holds three pages at a time."""
+    """Main text of each page (host, path, html) in order; holds three different pages at a time."""
     before = now = None
-    for page in pages:
-        after = (page[0], page[1], lines(page[2]))
+    copies = 0
+    for host, path, page in pages:
+        if now is not None and (host, page) == (now[0], now[3]):
+            copies += 1
+            continue
+        after = (host, path, lines(page), page)
         if now is not None:
-            yield _text(before, now, after)
-        before, now = now, after
+            yield from repeat(_text(before, now, after), copies)
+        before, now, copies = now, after, 1
     if now is not None:
-        yield _text(before, now, None)
+        yield from repeat(_text(before, now, None), copies)
 
 
 def _text(before, now, after) -> str:
@@ -244,14 +323,14 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text of each row of ``pages``."""
     host, path = parts(F.col("url"))
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("_html"), host.alias("_host"), path.alias("_path"))
-    key = ["_host", "_path", "page_id"]
-    # The text's hash parts pages that have all of the key in common.
+    # The html's hash puts equal pages of a path next to each other.
+    key = ["_host", "_path", "_hash", "page_id"]
     rows = rows.withColumn("_hash", F.xxhash64("_html"))
-    ordered = rows.repartitionByRange(*key, "_hash").sortWithinPartitions(*key, "_hash").drop("_hash")
+    ordered = rows.repartitionByRange(*key).sortWithinPartitions(*key).drop("_hash")
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The text of a page is known when the next one has come, so ids wait for it.
-        waiting: list[tuple] = []
+        # The text of a page is known when the next different one has come, so ids wait for it.
+        waiting: deque[tuple] = deque()
 
         def stream() -> Iterator[tuple[str, str, str]]:
             for batch in batches:
@@ -263,7 +342,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
         out: list[tuple] = []
         for text in differenced(stream()):
-            out.append((*waiting.pop(0), text))
+            out.append((*waiting.popleft(), text))
             if len(out) == 1000:
                 yield _batch(out)
                 out = []
