@@ -24,7 +24,7 @@ def plain_targets(sizes: dict, share=1.5, most=2):
 
 
 def test_mix(tricky):
-    rows = mixing.mix(tricky, slice_rows=4).collect()
+    rows = mixing.mix(tricky).collect()
     assert len(rows) == len(tricky_rows())
     sizes, taken, longest = Counter(), Counter(), Counter()
     for row in rows:
@@ -38,7 +38,12 @@ def test_mix(tricky):
         assert math.isclose(row["target"], target[row["source"]], rel_tol=1e-12) and row["source_size"] == sizes[row["source"]]
     for source in sizes:
         assert abs(taken[source] - target[source]) <= longest[source] + 0.01 * target[source], source
-    again = mixing.mix(tricky, slice_rows=1000).collect()
+    conf, partitions = tricky.sparkSession.conf, tricky.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        again = mixing.mix(tricky).collect()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", partitions)
     key = lambda r: (r["_file"], r["_row"], r["taken"])
     assert sorted(map(key, rows)) == sorted(map(key, again))
 

@@ -8,8 +8,8 @@ every source its target, but for one document that the cut falls into. Such a do
 if at least half of it lies before the cut, so a document's time here is that of its middle;
 ``finish`` keeps the finish time itself.
 
-No source meets one task: the running totals of a source are summed over slices of the shuffled
-order, and only within a slice by a window.
+No source meets one task, nor do documents of one id: the running totals of all sources come from
+one prefix sum over ranges of (source, shuffled id, size, place), less those of the sources before.
 
 Nulls: a NULL text has size 0, a NULL source is a source of its own and sorts last, NULL ids are
 shuffled like the others. Documents without words take nothing. Repeated rows are documents of
@@ -18,10 +18,9 @@ their own. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnmart.llm.common import PLACE, WORD, placed
@@ -31,7 +30,6 @@ from txnmart.session import written
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-SLICE_ROWS = 1000
 
 
 def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -59,9 +57,7 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = S
     return sources.withColumn("target", target)
 
 
-def mix(
-    docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST, slice_rows: int = SLICE_ROWS
-) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, copies, finish, source, and its place."""
     items = written(
         placed(
@@ -74,23 +70,12 @@ def mix(
     )
     sizes = written(items.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs")))
     sources = written(targets(sizes, weights, share, most))
-    rows, budget = sources.agg(F.sum("docs"), F.sum("target")).first()
-    digits = max(1, math.ceil(math.log(max(rows or 1, 1) / slice_rows, 16))) if (rows or 0) > slice_rows else 1
+    budget = sources.agg(F.sum("target")).first()[0]
 
-    known = sources.withColumnRenamed("source", "_source")
+    known = running_total(sources, ["rank"], "source_size", "_base").withColumnRenamed("source", "_source")
     timed = items.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "docs")
-    timed = timed.withColumn("_slice", F.substring("_key", 1, digits))
-    slices = timed.groupBy("rank", "_slice").agg(F.sum("size").alias("_words"))
-    before = Window.partitionBy("rank").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select("rank", "_slice", F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("rank", "_slice").orderBy("_key", "size", *PLACE)
-    ahead = F.coalesce(F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    queued = written(
-        timed.withColumn("_ahead", ahead)
-        .join(offsets, ["rank", "_slice"])
-        .withColumn("_ahead", F.col("_offset") + F.col("_ahead"))
-        .drop("_offset", "_slice", "weight")
-    )
+    totals = running_total(timed, ["rank", "_key", "size", *PLACE], "size", "_ahead")
+    queued = written(totals.withColumn("_ahead", F.col("_ahead") - F.col("_base")).drop("_base", "weight"))
 
     def time_of(turn, part: float):
         words = turn * F.col("source_size") + F.col("_ahead") + part * F.col("size")
