@@ -605,6 +605,13 @@ FROM latest JOIN days ON day = ts::DATE""",
   CAST(sum(amt) AS DOUBLE) AS gross_amount
 FROM sales WHERE day BETWEEN DATE '2023-02-10' AND DATE '2025-09-20' AND chan IN ('Web', 'Mobile App')
   AND cat IN ('Machinery', 'Building', 'Furniture') AND stat IN ('completed', 'refunded') GROUP BY ALL""",
+    ),
+    "customer_extract": _after(
+        MODEL,
+        """SELECT tid AS transaction_id, CAST(day AS VARCHAR) AS date_actual, chan AS channel_name, stat AS status_name,
+  cust AS customer_id, CAST(amt AS DOUBLE) AS amount
+FROM sales WHERE day BETWEEN DATE '2021-03-15' AND DATE '2025-10-20' AND chan IN ('Web', 'Mobile App')
+  AND stat IN ('completed', 'failed') AND cust IN ('C1', 'C2', 'C3', 'C4', 'C5', 'C6', 'C7', 'C8')""",
     ),
     "freshness": _after(
         MODEL,

@@ -103,6 +103,34 @@ def test_extract_filters_prune_months(mart):
     assert rows_of(extract.apply_filters(wide)) == rows_of(wide)
 
 
+def scanned(df):
+    """Rows that the scans of ``df`` hand on after skipping files, row groups and pages."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(at).metrics().apply("numOutputRows").value() for at in range(leaves.size()))
+
+
+def test_lookups_skip_row_groups(mart):
+    total = scanned(mart.fact.select("customer_id"))
+    one = mart.fact.first()
+    for column in ("customer_id", "transaction_id"):
+        low, high = mart.fact.agg(F.min(column), F.max(column)).first()
+        absent = low + "x"  # inside the range of values, so that only a filter of values can tell
+        assert low < absent < high
+        assert scanned(mart.fact.filter(F.col(column) == absent)) == 0
+        found = mart.fact.filter(F.col(column) == one[column])
+        assert 0 < scanned(found) < total / 2
+
+
+def test_filters_on_stored_columns_find_the_same_rows(mart):
+    wide = extract.dashboard_extract(mart)
+    chosen = {"start": "2022-02-10", "end": "2025-03-05", "channels": ["Web"], "categories": ["Machinery", "none"], "statuses": ["completed"]}
+    assert rows_of(extract.filtered(mart, **chosen)) == rows_of(extract.apply_filters(wide, **chosen)) != []
+    assert extract.filtered(mart, channels=[]).count() == 0
+    customer = mart.fact.first()["customer_id"]
+    assert rows_of(extract.filtered(mart, customers=[customer])) == rows_of(wide.filter(F.col("customer_id") == customer))
+
+
 def test_a_metric_reads_only_its_columns(mart):
     plan = metrics.channel_mix(mart)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<channel_key:bigint,quantity:int,amount:decimal(14,2),is_value_eligible:boolean>" in plan

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,37 @@ def dashboard_extract(mart: Mart) -> DataFrame:
     )
 
 
+def filtered(
+    mart: Mart,
+    start: str | None = None,
+    end: str | None = None,
+    channels: Sequence[str] | None = None,
+    categories: Sequence[str] | None = None,
+    statuses: Sequence[str] | None = None,
+    customers: Sequence[str] | None = None,
+    transactions: Sequence[str] | None = None,
+) -> DataFrame:
+    """`dashboard_extract` of chosen rows, with the filters put on the stored columns of the fact.
+
+    Names become keys first, at most one for each chosen name, so that the scan skips months by date, pages
+    of sorted files by key, and row groups by the Bloom filters of customer and transaction ids.
+    """
+    fact, month = mart.fact, F.col("month_start")
+    if start is not None:
+        first = F.lit(start).cast("date")
+        fact = fact.filter((F.col("date_key") >= int(start.replace("-", ""))) & (month >= F.trunc(first, "month")))
+    if end is not None:
+        fact = fact.filter((F.col("date_key") <= int(end.replace("-", ""))) & (month <= F.lit(end).cast("date")))
+    for entity, chosen in [("channel", channels), ("product_category", categories), ("status", statuses)]:
+        if chosen is not None:
+            named = getattr(mart, f"dim_{entity}").filter(F.col(f"{entity}_name").isin(list(chosen)))
+            fact = fact.filter(F.col(f"{entity}_key").isin([row[0] for row in named.select(f"{entity}_key").collect()]))
+    for column, chosen in [("customer_id", customers), ("transaction_id", transactions)]:
+        if chosen is not None:
+            fact = fact.filter(F.col(column).isin(list(chosen)))
+    return dashboard_extract(replace(mart, fact=fact))
+
+
 def apply_filters(
     extract: DataFrame,
     start: str | None = None,

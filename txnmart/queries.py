@@ -343,6 +343,19 @@ def filtered_extract(mart: Mart) -> DataFrame:
     )
 
 
+def customer_extract(mart: Mart) -> DataFrame:
+    """Rows of a few customers, chosen on the stored columns of the fact."""
+    rows = extract.filtered(
+        mart,
+        start="2021-03-15",
+        end="2025-10-20",
+        channels=["Web", "Mobile App"],
+        statuses=["completed", "failed"],
+        customers=[f"C{number}" for number in range(1, 9)],
+    )
+    return rows.select("transaction_id", "date_actual", "channel_name", "status_name", "customer_id", "amount")
+
+
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome classes of the mart against order records taken as the source system."""
     mart = mart_for(spark, sf_dir)
@@ -573,6 +586,7 @@ QUERIES: dict[str, Query] = {
     "exported_dq_summary": _exported("dq_summary"),
     "dashboard_extract": _on_mart(extract.dashboard_extract),
     "filtered_extract": _on_mart(filtered_extract),
+    "customer_extract": _on_mart(customer_extract),
     # monitoring
     "freshness": _on_mart(lambda m: monitoring.freshness(m.fact, AS_OF)),
     "volume_baseline": _on_mart(monitoring.volume_baseline),

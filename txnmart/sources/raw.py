@@ -214,9 +214,11 @@ def land(df: DataFrame, path: str, as_of: str | None = None, append: bool = Fals
     return spark.read.schema(RAW).parquet(path)
 
 
-def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh: replace the table at ``path``."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), looked_up: Sequence[str] = ()) -> None:
+    """Full refresh: replace the table at ``path``; single values of ``looked_up`` columns are sought by Bloom filters."""
+    blooms = {f"parquet.bloom.filter.enabled#{name}": True for name in looked_up}
+    # Filters are sized by the values of a row group, not at their largest.
+    df.write.mode("overwrite").partitionBy(*partition_by).options(**{"parquet.bloom.filter.adaptive.enabled": True}, **blooms).parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
