@@ -109,15 +109,85 @@ def test_disclosure_counts_copies_once(table):
     assert shares[privacy._hash("email:jo@mail.example.com"), privacy._hash("zanzibar")] == pytest.approx(1.0)
 
 
-def test_disclosure_by_single_and_far_terms(table):
-    """An entity of one text, or of one text and its copies, is rated, and so is a name far away from it."""
+def marked(row, text):
+    spans = (s.split(":") for s in row["spans"].split(",") if s)
+    return {(kind, text[int(a) : int(b)]) for kind, a, b in spans if kind in ("removed", "generalised")}
+
+
+@pytest.mark.parametrize("others", [40, 1500])
+def test_disclosure_by_single_and_far_terms(table, others):
+    """A term of one text is rated beside the entity only, alike at any size of the corpus; one of several texts at any distance."""
     far = " ".join(f"common{i}" for i in range(30))
-    texts = [f"Zanzibar {far} jo@mail.example.com"] + [f"Timbuktu {far} al@mail.example.com"] * 2 + [f"{far} {sentence(i, 5)}" for i in range(60)]
+    once = [f"Zanzibar {far} Samarkand jo@mail.example.com {far}"] + [f"{far} al@mail.example.com Timbuktu {far} Lhasa"] * 2
+    twice = [f"Nairobi {far} {i} {far} max@mail.example.com" for i in ("common1", "common2")]
+    texts = once + twice + [f"{far} {sentence(i, 5)} {i // 15}" for i in range(others)]
     docs = table([(i, text, None, None, None) for i, text in enumerate(texts)], DOCUMENTS)
+    expected = [{("generalised", "Samarkand")}, *[{("generalised", "Timbuktu")}] * 2, *[{("removed", "Nairobi")}] * 2]
+    for row in privacy.find(docs).collect():
+        assert marked(row, texts[row["doc_id"]]) == (expected[row["doc_id"]] if row["doc_id"] < 5 else set())
+
+
+def test_disclosing_spans_by_brute_force(table):
+    """All spans of terms, with several entities and copies, against counts over the raw texts."""
+    draw = random.Random(12)
+    names = [f"{name}@x.example.com" for name in ("ann", "bob", "cid", "dan")]
+    texts = []
+    for _ in range(150):
+        words = [f"w{int(draw.paretovariate(0.5)) % 400}" for _ in range(25)]
+        if draw.random() < 0.15:
+            for name in draw.sample(names, draw.randrange(1, 3)):
+                words.insert(draw.randrange(len(words)), name)
+        texts.append(" ".join(words))
+    texts += texts[:30]
+    docs = table([(i, text, None, None, None) for i, text in enumerate(texts)], DOCUMENTS, 3)
+    different = sorted(set(texts))
+    have = {text: {w for w in text.split() if "@" not in w} for text in different}
+    hold = {text: {w for w in text.split() if "@" in w} for text in different}
+    n, found = len(different), 0
     for row in privacy.find(docs).collect():
         text = texts[row["doc_id"]]
-        terms = {text[int(a) : int(b)] for kind, a, b in (s.split(":") for s in row["spans"].split(",") if s) if kind in ("removed", "generalised")}
-        assert terms == ({text.split()[0]} if row["doc_id"] < 3 else set())
+        words = text.split()
+        terms = [w for w in words if "@" not in w]
+        expected = set()
+        for term in set(terms):
+            best = -9.0
+            for name in hold[text]:
+                of, known = sum(name in hold[t] for t in different), sum(term in have[t] for t in different)
+                both = sum(name in hold[t] and term in have[t] for t in different)
+                share = math.log(n * both / (known * of)) / math.log(n / of)
+                place = len([w for w in words[: words.index(name)] if "@" not in w])
+                if both == 1:
+                    share = min(share, privacy.SINGLE) if term in terms[max(0, place - privacy.NEAR) : place + privacy.NEAR] else -9.0
+                best = max(best, share)
+            if best >= privacy.GENERALISE:
+                expected.add(("removed" if best >= privacy.REMOVE else "generalised", term))
+        assert marked(row, text) == expected
+        found += len(expected)
+    assert found > 20
+
+
+def test_long_contact_list(table):
+    """Two versions of a list of 4,000 entities among 4,000 terms: groups meet, not 16 million pairs."""
+    listed = " ".join(f"person{i} p{i}@mail.example.com" for i in range(4000))
+    texts = [listed, listed + " new"] + [sentence(i, 9) for i in range(30)]
+    docs = table([(i, text, None, None, None) for i, text in enumerate(texts)], DOCUMENTS)
+    scanned = privacy.scan(docs).persist()
+    rated = privacy.rate(scanned, docs)
+    assert rated.groups.count() == 2 and rated.shares.count() == 1
+    rows = {r["doc_id"]: r for r in privacy.find(docs).collect()}
+    assert marked(rows[1], texts[1]) == {("removed", f"person{i}") for i in range(4000)} | {("generalised", "new")}
+
+
+def test_hot_text_counts_once(table):
+    """A text that many rows share makes its pairs once; all its copies get its spans."""
+    hot = "Zanzibar jo@mail.example.com is " + sentence(1, 40)
+    texts = [hot] * 400 + ["Zanzibar jo@mail.example.com at home", *(sentence(50 + i, 12) for i in range(60))]
+    docs = table([(i, text, None, None, None) for i, text in enumerate(texts)], DOCUMENTS, 4)
+    rated = privacy.rate(privacy.scan(docs).persist(), docs)
+    assert rated.texts.count() == 2 and rated.groups.groupBy("_text").count().count() == 2
+    rows = privacy.find(docs).collect()
+    assert len(rows) == len(texts)
+    assert all(("removed", "Zanzibar") in marked(r, texts[r["doc_id"]]) for r in rows if r["doc_id"] <= 400)
 
 
 def test_privacy_empty(table):

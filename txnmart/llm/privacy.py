@@ -7,10 +7,14 @@ information content, ``log(p(t, c) / (p(t) p(c))) / log(1 / p(c))``. It is 1 for
 with that entity alone. Terms from ``REMOVE`` on are removed, those from ``GENERALISE`` on are replaced
 by a general word, everywhere in the documents that hold the entity.
 
-A term occurs with an entity if one text holds both, at any distance. A pair of one text only counts
-as ``SINGLE`` texts, as a single one tells a revealing term from a rare one less surely: a term that is
-nowhere else has a share of ``1 - log(2) / log(n)`` then, and is generalised or removed by the size of
-the corpus.
+A share needs evidence beyond rarity, for a word that is in one text only goes with whatever else that text
+holds. So a pair counts at any distance if two or more different texts hold both. A pair of a single
+text counts only if the term stands within ``NEAR`` terms of the entity, and rates at most ``SINGLE``: such a
+term is generalised, never removed. Which of these holds doesn't depend on the size of the corpus.
+
+Entities that are in the same texts share all their figures, and so do terms that are in the same texts
+with entities and in equally many of the corpus. So pairs are formed of such groups, not of single entities
+and terms: a long contact list is one group, or a few, however many entities and terms it holds.
 
 Nulls: a NULL text counts as empty. Texts without personal data have no spans. Repeated rows get
 equal results. An empty table gives an empty result.
@@ -18,23 +22,28 @@ equal results. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnmart.llm.common import PLACE, placed, text_of
 from txnmart.session import written
 
-#: What a pair seen in one text counts for; pairs of more texts count in full.
-SINGLE = 0.5
 GENERALISE = 0.7
 REMOVE = 0.9
+#: The most that a pair seen in one text can rate.
+SINGLE = 0.8
+#: Terms on either side of an entity that are near it.
+NEAR = 5
 KINDS = ("email", "ip", "card", "phone")
 #: Terms that one task counts before it passes the counts on.
 COUNTED = 500_000
@@ -109,12 +118,13 @@ def listed(spans: list[tuple[str, int, int]]) -> str:
 
 
 def occurrences(text: str, found: dict[str, list[Span]]) -> tuple[list[int], list[dict]]:
-    """The different entities of a text, and its different terms outside of them with all their places; both as hashes."""
+    """The different entities of a text, and its different terms outside of them with all their places and the entities near any; all as hashes."""
     entities = sorted((start, end, kind) for kind, spans in found.items() for start, end in spans)
     if not entities:
         return [], []
     known: dict[str, int] = {}
     places: dict[int, list[int]] = {}
+    starts, order = [], []
     at = 0
     for match in TERM.finditer(text):
         start, end = match.span()
@@ -126,19 +136,26 @@ def occurrences(text: str, found: dict[str, list[Span]]) -> tuple[list[int], lis
             if term is None:
                 term = known[word] = _hash(word)
             places.setdefault(term, []).extend((start, end))
-    values = [f"{kind}:{text[a:b].lower() if kind in ('email', 'ip') else _digits(text[a:b])}" for a, b, kind in entities]
-    return list(map(_hash, dict.fromkeys(values))), [{"term": term, "places": own} for term, own in places.items()]
+            starts.append(start)
+            order.append(term)
+    values = [_hash(f"{kind}:{text[a:b].lower() if kind in ('email', 'ip') else _digits(text[a:b])}") for a, b, kind in entities]
+    near: dict[int, dict[int, None]] = {}
+    for value, (start, _, _) in zip(values, entities, strict=True):
+        at = bisect_left(starts, start)
+        for term in order[max(0, at - NEAR) : at + NEAR]:
+            near.setdefault(term, {})[value] = None
+    return list(dict.fromkeys(values)), [{"term": term, "places": own, "near": list(near.get(term, ()))} for term, own in places.items()]
 
 
 SCANNED = (
     "doc_id long, _file string, _row long, _text long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-    "entities array<long>, terms array<struct<term:long,places:array<int>>>"
+    "entities array<long>, terms array<struct<term:long,places:array<int>,near:array<long>>>"
 )
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """Base spans of each row, its entities, and the terms of rows with entities."""
-    kind = pa.list_(pa.struct([("term", pa.int64()), ("places", pa.list_(pa.int32()))]))
+    kind = pa.list_(pa.struct([("term", pa.int64()), ("places", pa.list_(pa.int32())), ("near", pa.list_(pa.int64()))]))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,52 +231,106 @@ def term_counts(docs: DataFrame, marks: np.ndarray, counted: int = COUNTED) -> D
     return partial.groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
-def _pairs(rows: DataFrame, *columns: str) -> DataFrame:
-    """Each different entity of each row with each different term of it."""
-    each = rows.select(*columns, "terms", F.explode("entities").alias("entity"))
-    return each.select(*columns, "entity", F.explode("terms.term").alias("term"))
+def _texts(scanned: DataFrame) -> DataFrame:
+    """_text, entities and terms of each different text that holds entities."""
+    holding = scanned.filter(F.size("entities") > 0)
+    firsts = holding.groupBy("_text").agg(F.min(F.struct(*PLACE)).alias("_first")).select("_first.*")
+    return written(holding.select(*PLACE, "_text", "entities", "terms").join(firsts, PLACE, "left_semi").drop(*PLACE))
 
 
-def disclosures(scanned: DataFrame, docs: DataFrame, least: float = GENERALISE) -> DataFrame:
-    """(entity, term, share): pairs in which the term discloses at least ``least`` of the entity's information."""
-    holding = scanned.filter(F.size("entities") > 0)
-    place = F.struct(*PLACE)
-    firsts = holding.groupBy("_text").agg(F.min(place).alias("_first")).select("_first.*")
-    texts = written(holding.select(*PLACE, "entities", "terms.term").withColumnRenamed("term", "_terms").join(firsts, PLACE, "left_semi"))
-    texts = texts.select("entities", F.transform("_terms", lambda t: F.struct(t.alias("term"))).alias("terms"))
-    pairs = written(_pairs(texts).groupBy("entity", "term").agg(F.count("*").alias("both")))
-    if pairs.isEmpty():
-        return pairs.select("entity", "term", F.lit(1.0).alias("share"))
-    entities = written(texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("of")))
+def _group(*more: str) -> list[Column]:
+    """The number of texts, and a name for the set of texts (of 128 bits, hashed with ``more``)."""
+    names = (F.bit_xor(F.xxhash64("_text", F.lit(salt))) for salt in (1, 2))
+    return [F.count("*").alias("_texts"), F.xxhash64(*names, F.count("*"), *more).alias("_group")]
+
+
+@dataclass
+class Rated:
+    """What `rate` knows of the terms around entities.
+
+    ``entities`` (entity, of, entities): in how many texts, and the group. ``terms`` (term, docs, held, terms): in how many
+    texts of the corpus and of those with entities, and the group. ``groups`` (_text, entities, terms): pairs of groups in
+    each text. ``shares`` (entities, terms, share): pairs of groups with enough of a share.
+    """
+
+    n: int
+    texts: DataFrame
+    entities: DataFrame
+    terms: DataFrame
+    groups: DataFrame
+    shares: DataFrame
+
+
+def _share(both: Column | int, docs: Column, of: Column, n: int) -> Column:
+    told = F.log(F.lit(float(n)) * both / (docs * of))
+    return F.when(of < n, told / F.log(F.lit(float(n)) / of)).otherwise(0.0)
+
+
+def rate(scanned: DataFrame, docs: DataFrame, least: float = GENERALISE) -> Rated:
+    """Rate the terms of texts that hold entities: pairs of at least two texts, with a share of at least ``least``."""
+    texts = _texts(scanned)
     n = scanned.select("_text").distinct().count()
-    rated = pairs.join(written(term_counts(docs, repeated(scanned))), "term").join(entities, "entity")
-    both = F.when(F.col("both") == 1, SINGLE).otherwise(F.col("both"))
-    told = F.log(F.lit(float(n)) * both / (F.col("docs") * F.col("of")))
-    share = F.when(F.col("of") < n, told / F.log(F.lit(float(n)) / F.col("of"))).otherwise(0.0)
-    return written(rated.select("entity", "term", share.alias("share")).filter(F.col("share") >= least))
+    each_entity = texts.select("_text", F.explode("entities").alias("entity"))
+    entities = each_entity.groupBy("entity").agg(*_group()).select("entity", F.col("_texts").alias("of"), F.col("_group").alias("entities"))
+    entities = written(entities)
+    each_term = texts.select("_text", F.explode("terms.term").alias("term"))
+    held = each_term.groupBy("term").agg(*_group())
+    counts = written(term_counts(docs, repeated(scanned))) if not texts.isEmpty() else held.select("term", F.col("_texts").alias("docs"))
+    terms = held.join(counts, "term").select("term", "docs", F.col("_texts").alias("held"), F.xxhash64("_group", "docs").alias("terms"))
+    terms = written(terms)
+    # A term's share with any entity is at most that with one text's entity in all texts that hold the term.
+    most = 1 - F.log(F.col("docs") / F.col("held")) / math.log(max(n, 2))
+    some_terms = each_term.join(terms.filter((F.col("held") > 1) & (most >= least - 1e-9)), "term")
+    some_entities = each_entity.join(entities.filter("of > 1"), "entity")
+    groups = some_entities.select("_text", "entities", "of").distinct().join(some_terms.select("_text", "terms", "docs").distinct(), "_text")
+    groups = written(groups)
+    pairs = groups.groupBy("entities", "terms", "of", "docs").agg(F.count("*").alias("both")).filter("both > 1")
+    shares = pairs.select("entities", "terms", _share(F.col("both"), F.col("docs"), F.col("of"), n).alias("share"))
+    return Rated(n, texts, entities, terms, groups.select("_text", "entities", "terms"), written(shares.filter(F.col("share") >= least)))
+
+
+def disclosures(scanned: DataFrame, docs: DataFrame, least: float = GENERALISE) -> DataFrame:
+    """(entity, term, share): pairs of at least two texts in which the term discloses at least ``least`` of the entity's information."""
+    rated = rate(scanned, docs, least)
+    pairs = rated.shares.join(rated.entities.select("entity", "entities"), "entities").join(rated.terms.select("term", "terms"), "terms")
+    return pairs.select("entity", "term", "share")
+
+
+def risky(rated: Rated, least: float = GENERALISE) -> DataFrame:
+    """(_text, term, share): terms of each different text with entities, with their strongest disclosure."""
+    strongest = rated.groups.join(rated.shares, ["entities", "terms"]).groupBy("_text", "terms").agg(F.max("share").alias("share"))
+    each_term = rated.texts.select("_text", F.explode("terms").alias("t"))
+    named = each_term.select("_text", "t.term").join(rated.terms.filter("held > 1").select("term", "terms"), "term")
+    repeatedly = named.join(strongest, ["_text", "terms"]).select("_text", "term", "share")
+    beside = each_term.select("_text", "t.term", F.explode("t.near").alias("entity"))
+    beside = beside.join(rated.entities.select("entity", "of"), "entity").join(rated.terms.select("term", "docs"), "term")
+    once = F.least(F.lit(SINGLE), _share(1, F.col("docs"), F.col("of"), rated.n))
+    beside = beside.select("_text", "term", once.alias("share")).filter(F.col("share") >= least)
+    # A pair of several texts rates no less than as a pair of one, so the larger is right.
+    return repeatedly.unionByName(beside).groupBy("_text", "term").agg(F.max("share").alias("share"))
 
 
 def find(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """One row per document: doc_id, counts of each base kind, base (spans as text), spans (with the terms'), and place."""
     scanned = written(scan(docs))
-    risky = disclosures(scanned, docs, generalise)
-    hit = _pairs(scanned, *PLACE).join(risky, ["entity", "term"])
-    # A document's terms are at most its words; the strongest disclosure of a term decides.
-    strongest = hit.groupBy(*PLACE, "term").agg(F.max("share").alias("share"))
-    terms = scanned.filter(F.size("entities") > 0).select(*PLACE, F.explode("terms").alias("t")).select(*PLACE, "t.term", "t.places")
-    strongest = terms.join(strongest, [*PLACE, "term"])
+    rated = rate(scanned, docs, generalise)
+    places = rated.texts.select("_text", F.explode("terms").alias("t")).select("_text", "t.term", "t.places")
+    places = places.join(risky(rated, generalise), ["_text", "term"])
     steps = F.sequence(F.lit(0), F.size("places") - 2, F.lit(2))
-    spot = strongest.withColumn("_at", F.explode(steps)).select(
-        *PLACE,
+    spot = places.withColumn("_at", F.explode(steps)).select(
+        "_text",
         F.when(F.col("share") >= remove, "removed").otherwise("generalised").alias("kind"),
         F.element_at("places", F.col("_at") + 1).alias("start"),
         F.element_at("places", F.col("_at") + 2).alias("end"),
     )
-    spans = spot.groupBy(*PLACE).agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("_terms"))
-    joined = scanned.drop("entities", "terms", "_text").join(spans, PLACE, "left")
-    told = F.transform(F.coalesce("_terms", F.array()), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
-    both = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.size(told) > 0, F.concat_ws(",", told)))
-    return joined.withColumn("spans", both).drop("_terms")
+    spans = spot.groupBy("_text").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("_terms"))
+    told = F.concat_ws(",", F.transform("_terms", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    spans = written(spans.select("_text", told.alias("_told")))
+    # Only rows with entities look for terms; all copies of a text take those of its first.
+    whole = [*(c for c in scanned.columns if c not in ("entities", "terms", "_text")), "spans"]
+    holding = scanned.filter(F.size("entities") > 0).join(spans, "_text", "left")
+    found = holding.withColumn("spans", F.concat_ws(",", "base", "_told")).select(whole)
+    return found.unionByName(scanned.filter(F.size("entities") == 0).withColumn("spans", F.col("base")).select(whole))
 
 
 def rewritten(text: str, spans: str) -> str:
