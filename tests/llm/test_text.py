@@ -430,6 +430,19 @@ def test_language_model_sums_to_one(spark, table):
         assert total == pytest.approx(1.0)
 
 
+def test_buckets_follow_the_texts(table, monkeypatch):
+    """More text gives more buckets, not larger ones; the scores don't depend on their number, nor on maps that are let go."""
+    docs = table([(i, sentence(i, 40), None, None, None) for i in range(60)], DOCUMENTS)
+    model = language_model.train(docs)
+    assert model.buckets == language_model.LEAST_BUCKETS
+    expected = {r["doc_id"]: r["score"] for r in language_model.score(docs, model).collect()}
+    monkeypatch.setattr(language_model, "BUCKET_BYTES", 400)
+    monkeypatch.setattr(language_model, "MAPPED", 3)
+    model = language_model.train(docs)
+    assert model.buckets == -(-sum(len(sentence(i, 40).encode()) for i in range(60)) // 400)
+    assert {r["doc_id"]: r["score"] for r in language_model.score(docs, model).collect()} == expected
+
+
 def test_language_model_tricky(tricky, table):
     model = language_model.train(tricky)
     rows = language_model.score(tricky, model).collect()

@@ -2,7 +2,7 @@
 
 Words enter as 64-bit hashes. Each task of the counting pass sorts the n-grams of some million
 tokens, sums equal ones, and deals them by ranges of their hash to buckets; so a frequent word or
-n-gram costs one entry per task, and buckets are even. One task merges a bucket, stores it as two
+n-gram costs one entry per task, and buckets are even. Their number follows the bytes of text. One task merges a bucket, stores it as two
 arrays (sorted hashes, counts) in the shared folder, and emits what the next lower order and the
 contexts need: every different n-gram counts once for its last n-1 words (their continuation
 count; n-grams that begin a text keep their own counts), and its context collects the total and
@@ -38,6 +38,11 @@ from txnmart.llm.common import PLACE, placed, text_of
 from txnmart.session import work_folder, written
 
 ORDER = 2
+#: Bytes of text whose n-grams share a bucket, and the least number of buckets.
+BUCKET_BYTES = 16 << 20
+LEAST_BUCKETS = 8
+#: Buckets of one table that a worker keeps mapped.
+MAPPED = 4096
 #: Tokens that a task counts at once.
 TOKENS = 3_000_000
 #: Tokens that a task scores at once, and words whose hash it keeps.
@@ -206,7 +211,8 @@ def merged(rows: DataFrame, folder: str, buckets: int) -> DataFrame:
             out += dealt("gram", level - 1, buckets, mixed(lower), lower, np.ones((lower.shape[1], 1), np.uint64))
         return pa.Table.from_batches([_batch(out)])
 
-    return rows.groupBy("kind", "level", "bucket").applyInArrow(merge, ROWS)
+    groups = ["kind", "level", "bucket"]
+    return rows.repartition(buckets, *groups).groupBy(*groups).applyInArrow(merge, ROWS)
 
 
 @dataclass
@@ -245,9 +251,14 @@ def local_path(folder: str) -> str:
 
 
 def train(docs: DataFrame, order: int = ORDER, buckets: int | None = None) -> Stored:
-    """Count the n-grams of ``docs`` (all of its rows) and store the model."""
+    """Count the n-grams of ``docs`` (all of its rows) and store the model.
+
+    The number of buckets follows the size of the texts, so that a task which merges one holds equally much at any size.
+    """
     spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     folder = local_path(work_folder(spark, "ngrams"))
     os.makedirs(folder)
     counts = counted(docs, order, buckets)
@@ -279,6 +290,8 @@ class Table:
 
     def _bucket(self, bucket: int) -> tuple[np.ndarray, np.ndarray]:
         if bucket not in self.maps:
+            if len(self.maps) >= MAPPED:
+                self.maps.clear()
             path = f"{self.model.folder}/{self.name}-{bucket}"
             if os.path.exists(f"{path}-keys.npy"):
                 self.maps[bucket] = tuple(np.load(f"{path}-{part}.npy", mmap_mode="r") for part in ("keys", "counts"))
