@@ -57,22 +57,47 @@ def test_recall(table, points, monkeypatch):
         assert scores is None or all(scores[v] == pytest.approx(s, abs=1e-12) for v, s in own)
 
 
-def test_large_bucket_loses_no_pair(table, monkeypatch):
-    """A dense group far larger than a part: every vector meets its true nearest, whichever part they are in."""
-    monkeypatch.setattr(neighbours, "BUCKET", 400)
-    monkeypatch.setattr(neighbours, "LARGEST", 100)
+def test_dense_group(table, monkeypatch):
+    """A dense group without clusters, far larger than a block: the start compares few pairs, the rounds find the true nearest."""
+    monkeypatch.setattr(neighbours, "LARGEST", 50)
     draw = np.random.default_rng(7)
     dense = draw.standard_normal(16) * 4 + draw.standard_normal((900, 16))
     rows = [(i, vector.astype(np.float32).tolist(), 0) for i, vector in enumerate(dense)]
     members, nodes = neighbours.nodes_of(table(rows, VECTORS))
-    lists = neighbours.nearest_lists(neighbours.hashed(nodes, 900), 4, 5).collect()
     name = {r["node"]: r["vec_id"] for r in members.collect()}
-    found = {}
-    for r in lists:
-        found.setdefault(name[r["id"]], set()).add(name[r["other"]])
     expected = plain_nearest(rows, 1)
-    hits = sum(len(found[q] & {v for v, _ in own}) for q, own in expected.items())
-    assert hits >= 0.97 * 5 * len(expected)
+
+    def recall(lists):
+        found = {}
+        for r in lists:
+            found.setdefault(name[r["id"]], set()).add(name[r["other"]])
+        return sum(len(found.get(q, set()) & {v for v, _ in own}) for q, own in expected.items()) / (5 * len(expected))
+
+    assert recall(neighbours.hashed(nodes, 900).collect()) < 0.8
+    assert recall(neighbours.graph(nodes).collect()) >= 0.95
+
+
+def test_block_sizes(table, monkeypatch):
+    """Pairs of the start grow with the group, not with its square."""
+    monkeypatch.setattr(neighbours, "BUCKET", 10**9)
+    monkeypatch.setattr(neighbours, "LARGEST", 40)
+    draw = np.random.default_rng(3)
+    count = {}
+    for size in (400, 1600):
+        rows = [(i, (draw.standard_normal(8) * 0.01 + 1).astype(np.float32).tolist(), 0) for i in range(size)]
+        _, nodes = neighbours.nodes_of(table(rows, VECTORS))
+        count[size] = neighbours.hashed(nodes, size, keep=1000).count()
+    assert count[1600] < 5 * count[400]
+
+
+def test_vectors_of_several_lengths(table):
+    draw = np.random.default_rng(5)
+    rows = [(i, draw.standard_normal(8).tolist(), 0) for i in range(1, 30)] + [(50 * i, draw.standard_normal(3 + i % 2).tolist(), 0) for i in range(12)]
+    expected = {}
+    for length in (3, 4, 8):
+        expected |= plain_nearest([row for row in rows if len(row[1]) == length], 50)
+    found = answers(neighbours.nearest(table(rows, VECTORS)))
+    assert {q: [v for v, _ in own] for q, own in found.items()} == {q: [v for v, _ in own] for q, own in expected.items()}
 
 
 def test_odd_vectors(table):

@@ -6,20 +6,25 @@ hyperplane hashes. Then each round joins every node's best neighbours and the no
 among theirs, with their vectors, and compares them with each other: neighbours of neighbours.
 What beats the worst entry of a node's list enters it, until few lists change. A node with very
 many reverse neighbours is split into chunks, other ones in each round, each with the whole forward list.
-A large bucket is compared in blocks, so its cost grows with the square of its size; no pair is left out.
+The start is small: a bucket of over ``LARGEST`` is dealt at random into blocks, other ones in each hash
+table, and only members of a block are compared. So a dense group of any size costs the start and each
+round in proportion to its size, and the rounds find the pairs that no block held.
 
 Queries start from their own lists, or from pivots, and walk the graph: each round joins
 the best unvisited nodes of each query's beam with their neighbours, until a beam has no unvisited
 node left. Scores of results are cosines of the original vectors in double precision.
 
-Nulls: vectors that are NULL, zero, or hold NULL or non-finite components take no part, nor do those
-of another length than most, nor rows with NULL ids. Ties go to the smaller id. A row repeated with its
+Vectors of different lengths have no cosine: those of each length are searched among themselves.
+
+Nulls: vectors that are NULL, zero, or hold NULL or non-finite components take no part, nor do rows
+with NULL ids. Ties go to the smaller id. A row repeated with its
 id is one vector. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +39,15 @@ DEGREE = 20
 #: Best neighbours of a node that take part in a round.
 JOINED = 20
 CHUNK = 64
-TABLES = 32
-BUCKET = 800
-LARGEST = 2048
+TABLES = 6
+BUCKET = 48
+LARGEST = 128
 #: Nearest of a bucket that a node's list starts from.
 STARTS = 8
-ROUNDS = 6
 #: A round that changes less than this share of all list entries is the last.
-CHANGE = 0.03
+CHANGE = 0.01
+#: Rounds after which the lists are taken as they are.
+ROUNDS = 20
 BEAM = 96
 EXPANDED = 16
 PIVOTS = 16
@@ -94,19 +100,6 @@ def _pairs(ids: np.ndarray, vectors: np.ndarray, floors: np.ndarray, keep: int)
     return ids[a], ids[b], sims[a, b]
 
 
-def _across(ids: np.ndarray, vectors: np.ndarray, others: np.ndarray, far: np.ndarray, keep: int) -> tuple[np.ndarray, ...]:
-    """Of the pairs between two groups, in both directions: the best ``keep`` of each member."""
-    sims = vectors @ far.T
-    out = []
-    for own, across, score in ((ids, others, sims), (others, ids, sims.T)):
-        at = len(across) - keep
-        floors = np.partition(score, at, axis=1)[:, at] if at > 0 else np.full(len(own), -2.0, np.float32)
-        a, b = np.nonzero(score >= floors[:, None])
-        out.append((own[a], across[b], score[a, b]))
-    a, b, found = (np.concatenate(column) for column in zip(*out, strict=True))
-    return a, b, found
-
-
 def _edges(ids: np.ndarray, others: np.ndarray, sims: np.ndarray) -> pa.Table:
     return pa.table({"id": ids, "other": others, "sim": pa.array(sims.astype(np.float32))})
 
@@ -116,8 +109,6 @@ def nodes_of(embeddings: DataFrame, nearest: int = NEAREST) -> tuple[DataFrame,
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("raw"))
     finite = F.forall("raw", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("raw").isNotNull() & finite & F.exists("raw", lambda x: x != 0))
-    common = rows.groupBy(F.size("raw").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    rows = rows.filter(F.size("raw") == (common["n"] if common else 0))
     rows = rows.withColumn("node", F.xxhash64("raw")).dropDuplicates(["node", "vec_id"])
     order = Window.partitionBy("node").orderBy("vec_id")
     members = written(rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= nearest + 1))
@@ -154,10 +145,7 @@ def nearest_lists(edges: DataFrame, groups: int, keep: int = DEGREE) -> DataFram
 
 
 def hashed(nodes: DataFrame, n: int, tables: int = TABLES, keep: int = STARTS) -> DataFrame:
-    """Edges from brute force in the buckets of random hyperplane hashes.
-
-    A bucket of over ``LARGEST`` is split into parts, and each part is compared with itself and every other.
-    """
+    """Edges from brute force in the buckets of random hyperplane hashes, and in random blocks of large buckets."""
     bits = max(0, int(np.ceil(np.log2(max(1, n / BUCKET)))))
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,20 +162,20 @@ def hashed(nodes: DataFrame, n: int, tables: int = TABLES, keep: int = STARTS) -
 
     coded = halved(nodes).mapInArrow(codes, "node long, vec binary, code long")
     sizes = written(coded.groupBy("code").agg(F.ceil(F.count("*") / LARGEST).alias("_parts")))
-    # The code holds the table number, so a node's part differs from table to table.
-    coded = coded.join(sizes, "code").withColumn("_part", F.pmod(F.xxhash64("node", "code"), F.col("_parts")))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))
-    coded = coded.select("node", "vec", "code", "_part", every.alias("_with"))
-    blocks = coded.withColumn("_low", F.least("_part", "_with")).withColumn("_high", F.greatest("_part", "_with"))
+    # The code holds the table number, so a node's block differs from table to table.
+    blocks = coded.join(sizes, "code").withColumn("_part", F.pmod(F.xxhash64("node", "code"), F.col("_parts")))
+    groups = _groups(n * tables)
+    blocks = blocks.select("node", "vec", "code", "_part", F.pmod(F.xxhash64("code", "_part"), F.lit(groups)).alias("_g"))
 
     def brute(table: pa.Table) -> pa.Table:
-        ids, vectors = table["node"].to_numpy(), _vectors(table["vec"], np.float16)
-        left = table["_part"].to_numpy() == table["_low"].to_numpy()
-        if left.all():
-            return _edges(*_pairs(ids, vectors, np.full(len(ids), -2.0, np.float32), keep))
-        return _edges(*_across(ids[left], vectors[left], ids[~left], vectors[~left], keep))
+        codes, part, ids = (table[name].to_numpy() for name in ("code", "_part", "node"))
+        vectors = _vectors(table["vec"], np.float16)
+        order = np.lexsort((part, codes))
+        cut = np.flatnonzero(np.diff(codes[order]) | np.diff(part[order])) + 1
+        found = [_pairs(ids[own], vectors[own], np.full(len(own), -2.0, np.float32), keep) for own in np.split(order, cut)]
+        return _edges(*(np.concatenate(column) for column in zip(*found, strict=True)))
 
-    return blocks.drop("_with").groupBy("code", "_low", "_high").applyInArrow(brute, EDGES)
+    return blocks.groupBy("_g").applyInArrow(brute, EDGES)
 
 
 def descended(nodes: DataFrame, edges: DataFrame, n: int, keep: int = DEGREE, joined: int = JOINED, turn: int = 0) -> DataFrame:
@@ -297,6 +285,15 @@ def search(nodes: DataFrame, edges: DataFrame, queries: DataFrame, seeds: DataFr
 
 def nearest(embeddings: DataFrame, every: int = 50, count: int = NEAREST) -> DataFrame:
     """query_id, rank, vec_id, score: the ``count`` nearest of each row whose id is divisible by ``every``."""
+    length = F.size("embedding")
+    lengths = [row["n"] for row in embeddings.filter(length > 0).select(length.alias("n")).distinct().orderBy("n").collect()]
+    if len(lengths) < 2:
+        return _nearest(embeddings, every, count)
+    return reduce(DataFrame.unionByName, (_nearest(embeddings.filter(length == n), every, count) for n in lengths))
+
+
+def _nearest(embeddings: DataFrame, every: int, count: int) -> DataFrame:
+    """`nearest` among vectors of one length."""
     members, nodes = nodes_of(embeddings, count)
     edges = graph(nodes)
     asked = embeddings.select(F.col("vec_id").cast("long").alias("query_id"), F.xxhash64(F.col("embedding").cast("array<double>")).alias("query"))
