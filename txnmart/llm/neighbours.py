@@ -39,17 +39,17 @@ DEGREE = 20
 #: Best neighbours of a node that take part in a round.
 JOINED = 20
 CHUNK = 64
-TABLES = 6
-BUCKET = 48
-LARGEST = 128
+TABLES = 12
+BUCKET = 256
+LARGEST = 1024
 #: Nearest of a bucket that a node's list starts from.
 STARTS = 8
 #: A round that changes less than this share of all list entries is the last.
 CHANGE = 0.01
 #: Rounds after which the lists are taken as they are.
 ROUNDS = 20
-BEAM = 96
-EXPANDED = 16
+BEAM = 400
+EXPANDED = 48
 PIVOTS = 16
 SPREAD = 48
 SEED = 11
