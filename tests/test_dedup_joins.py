@@ -3,12 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows_of
+from tests.conftest import AS_OF, rows_of
 from txnmart.operators.cleaning import typed
-from txnmart.operators.dedup import dedup_exact, dedup_latest, row_texts
+from txnmart.operators.dedup import dedup_exact, dedup_latest, row_texts, text_digest
 from txnmart.operators.dims import merge_dim
+from txnmart.operators.fact import clean_latest
 from txnmart.operators.joins import lookup, measure
 from txnmart.operators.numbering import number_names, running_total
+from txnmart.operators.quality import classified
 
 
 def test_exact_copies_use_raw_texts_but_the_trimmed_customer(raw):
@@ -38,6 +40,41 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_hot_keys_are_not_sorted_before_the_shuffle(spark, raw):
+    rows = typed(raw({"amount": "1"}, {"order_timestamp": "2026-01-06 10:00:00"}, {"transaction_id": None}, {"transaction_id": "T2"}))
+    result = clean_latest(rows, AS_OF)
+    assert [row[0] for row in rows_of(result.select("raw_row_id"))] == [2, 4]
+    plan = plan_of(result)
+    assert "Exchange" in plan and not any(step in plan[plan.index("Exchange") :] for step in ("Sort", "WindowGroupLimit"))
+
+
+def test_hot_and_other_keys_keep_their_latest_rows(spark):
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.lit(None)).otherwise((F.col("id") % 6_000).cast("string"))
+    rows = spark.range(0, 30_000, 1, 8).select(key.alias("transaction_id"), (F.col("id") % 7).alias("order_ts"), F.col("id").alias("raw_row_id"))
+    best = rows.groupBy("transaction_id").agg(F.max(F.struct("order_ts", "raw_row_id")).alias("best"))
+    expected = best.select("transaction_id", "best.order_ts", "best.raw_row_id")
+    assert rows_of(dedup_latest(rows)) == rows_of(expected)
+    assert rows_of(dedup_latest(rows, counted=rows.limit(0))) == rows_of(expected)
+
+
+def test_digests_tell_fields_and_nulls_apart(raw):
+    rows = raw({}, {}, {"customer_id": " C1 "}, {"channel": None}, {"channel": ""}, {"channel": "-"}, {"channel": "web4:", "product_category": ""},
+               {"channel": "we", "product_category": "bhome"}, {"quantity": None, "amount": "2"}, {"quantity": "2", "amount": None})
+    groups = typed(rows).groupBy(text_digest()).agg(F.min("raw_row_id").alias("first"), F.count("*").alias("copies")).select("first", "copies")
+    assert rows_of(groups) == rows_of(dedup_exact(row_texts(rows)).select("raw_row_id", "copies"))
+
+
+def test_accounting_shuffles_digests_only(raw):
+    counts = classified(raw({}, {}, {"amount": "x"}, {"amount": "x"}, {"status": None}, {"amount": "3"}), AS_OF)
+    assert rows_of(counts) == [(6, 2, 1, 1, 2)]
+    moved = [line for line in plan_of(counts).splitlines() if "Exchange" in line and "hashpartitioning" in line]
+    assert moved and all("hashpartitioning(digest" in line for line in moved)
+
+
 @pytest.mark.parametrize("max_bytes", [0, 1 << 20])
 def test_lookup_is_the_same_broadcast_or_salted(spark, max_bytes):
     rows = spark.range(0, 3_000).select(
