@@ -130,3 +130,22 @@ def test_a_stream_replays_without_effect(spark, source, whole):
     snapshots.stream(spark, f"{root}/landed", f"{root}/mart", f"{root}/progress2", AS_OF, AS_OF)
     assert snapshots.current(spark, f"{root}/mart") == reached
     assert rows_of(named_fact(opened(reached, source))) == rows_of(named_fact(whole))
+
+
+def test_tables_without_parts_cost_no_shuffle(spark):
+    rows = spark.range(9).select(F.col("id").cast("string").alias("transaction_id"))
+    known = snapshots.Snapshot(spark, "/nowhere").read("versions")
+    for kind in ("left", "left_anti"):
+        plan = rows.join(known, "transaction_id", kind)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_copies_hold_short_digests_and_accounting_follows_them(spark, raw, tmp_path):
+    root, bad = str(tmp_path / "mart"), {"amount": "x"}
+    snapshots.apply(raw({}, {}, bad, {"transaction_id": "T2", "status": None}), "a", root, AS_OF, AS_OF)
+    after = snapshots.apply(raw({}, bad, bad, {"transaction_id": "T3"}, {"transaction_id": "T4", "amount": "0"}), "b", root, AS_OF, AS_OF)
+    copies = after.read("copies")
+    assert {len(row.digest) for row in copies.collect()} == {16}
+    assert rows_of(copies.select("kind", "copies")) == [(0, 1), (0, 3), (1, 1), (2, 1), (2, 3)]
+    assert rows_of(after.read("accounting")) == [(9, 4, 2, 1, 2)]
+    assert after.read("quarantine").count() == 2
