@@ -5,7 +5,8 @@ into one row: their distinct words, and each text as numbers of these words. So
 for some millions of words, and no word is shuffled. A word travels as a string with one
 character for each of its tokens, at first one for each byte; a higher-order function folds the merges
 over it: the pair of the lowest rank, the leftmost of equals, becomes one character, until no pair
-is in the rank map, a literal of the plan in small parts by a hash of the pair. Decoding looks each id up in a
+is in the rank map, a literal of the plan in small parts by a hash of the pair. The ranks of a word's pairs of
+bytes travel with it; those of merged tokens are looked up. Decoding looks each id up in a
 literal array of pieces, as strings of one character a byte, and joins them to binary.
 
 The map holds the pair of parts that the merges of lower ranks leave of each token. Where some token isn't
@@ -14,14 +15,17 @@ don't give are kept as whole words, as the library behind the rank files does.
 
 Nulls: a NULL text counts as empty and has no ids. Rows are told apart by their place, so repeated rows
 and NULL ids are encoded one by one. Texts of any length are encoded whole; a word of n bytes
-takes time n * n at most. Extra columns are not read. An empty table gives an empty result.
+takes time n * n at most. Where the pattern allows it, texts are cut before single spaces first, and such a
+part by the pattern once per packed row. Extra columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
 import json
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +42,15 @@ PARTS = 1 << 13
 WORDS = 4_000_000
 #: Most ids in one Arrow batch, unless one text has more.
 BATCH = 2_000_000
+#: Longest part between spaces, in characters, that is cut once for all its places.
+PART = 64
+#: Words whose pairs are ranked at a time.
+SOME = 20_000
 #: Characters of tokens start here and leave out the surrogates; those below are free for marks.
 FIRST, SURROGATES, GAP = 0x100, 0xD800, 0x800
 LARGEST = 0xFF00 - FIRST - GAP
 EDGE, WHOLE, NO_RANK = "\x01", "\x02", "￿"
-PACKED = "words array<string>, ids array<long>, files array<string>, rows array<long>, counts array<long>, at binary"
+PACKED = "words array<string>, pairs array<string>, ids array<long>, files array<string>, rows array<long>, counts array<long>, at binary"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -74,12 +82,16 @@ def numbers(characters: str) -> np.ndarray:
 
 
 class Vocabulary:
-    """Ranks of byte pieces, and the pattern that cuts texts into words."""
+    """Ranks of byte pieces, and the pattern that cuts texts into words.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    ``spaced`` says that no match of the pattern reaches over a space between two characters that aren't white space, and
+    that none looks behind or past such a space: so the text may be cut before each of them first.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, spaced: bool = False):
         if any(bytes([byte]) not in ranks for byte in range(256)) or max(ranks.values()) > LARGEST or min(ranks.values()) < 0:
             raise ValueError(f"ranks from 0 to {LARGEST} and all single bytes are needed")
-        self.ranks, self.pattern = ranks, pattern
+        self.ranks, self.pattern, self.spaced = ranks, pattern, spaced
         self.bytes = {byte: character(ranks[bytes([byte])]) for byte in range(256)}
 
     def merges(self) -> dict[str, str]:
@@ -98,13 +110,21 @@ class Vocabulary:
                 found[WHOLE + "".join(map(self.bytes.get, piece))] = character(rank)
         return found
 
-    def rank_map(self) -> Column:
+    @staticmethod
+    def rank_map(merges: dict[str, str]) -> Column:
         """The merges as a literal: an array of maps, by the hash of the key."""
         parts: list[dict[str, str]] = [{} for _ in range(PARTS)]
-        for key, value in self.merges().items():
+        for key, value in merges.items():
             parts[xxhash.xxh64_intdigest(key.encode(), 42) % PARTS][key] = value
         return F.from_json(F.lit(json.dumps(parts)), "array<map<string,string>>")
 
+    def byte_pairs(self, merges: dict[str, str]) -> np.ndarray:
+        """Code of the merged token of two bytes, or of ``NO_RANK``; byte 256 stands for ``EDGE``."""
+        own = [[ord(merges.get(left + right, NO_RANK)) for right in self.bytes.values()] for left in self.bytes.values()]
+        found = np.full((257, 257), ord(NO_RANK), "<u2")
+        found[:256, :256] = own
+        return found
+
     def pieces(self) -> Column:
         """Pieces by id as a literal array of strings, one character a byte."""
         own: list[str | None] = [None] * (max(self.ranks.values()) + 1)
@@ -117,8 +137,10 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def fold_merges(word: Column, ranks: Column) -> Column:
-    """The word's tokens: ``word`` has one character for each byte and ``EDGE`` at both ends."""
+def fold_merges(word: Column, pairs: Column, ranks: Column, wholes: bool) -> Column:
+    """The word's tokens: ``word`` has one character for each byte and ``EDGE`` at both ends, ``pairs`` the merged token
+    of each two of them or ``NO_RANK``; ``wholes`` tells whether any whole words are in the rank map.
+    """
 
     def found(key: Column) -> Column:
         part = F.get(ranks, F.xxhash64(key).bitwiseAND(PARTS - 1).cast("int"))
@@ -145,11 +167,12 @@ def fold_merges(word: Column, ranks: Column) -> Column:
 
         return _let(F.array_min(F.split(pairs, "")), merge)
 
-    pairs = F.array_join(F.transform(F.sequence(F.lit(1), F.length(word) - 1), lambda at: pair(word, at)), "")
     start = F.struct(word.alias("tokens"), pairs.alias("pairs"))
     steps = F.sequence(F.lit(4), F.greatest(F.length(word), F.lit(4)))
-    whole = found(F.concat(F.lit(WHOLE), F.substr(word, F.lit(2), F.length(word) - 2)))
-    return F.coalesce(whole, F.aggregate(steps, start, step, lambda state: F.btrim(state["tokens"], F.lit(EDGE))))
+    folded = F.aggregate(steps, start, step, lambda state: F.btrim(state["tokens"], F.lit(EDGE)))
+    if not wholes:
+        return folded
+    return F.coalesce(found(F.concat(F.lit(WHOLE), F.substr(word, F.lit(2), F.length(word) - 2))), folded)
 
 
 class _Numbers(dict):
@@ -158,24 +181,75 @@ class _Numbers(dict):
         return at
 
 
+class _Parts(dict):
+    """Number of each part between spaces, or -1 where texts with it can't be cut at spaces; the words of each."""
+
+    def __init__(self, words: _Numbers, find):
+        self.words, self.find, self.own, self.sizes = words, find, array("i"), []
+
+    def __missing__(self, part: str) -> int:
+        if not part or len(part) > PART or part[0].isspace() or part[-1].isspace():
+            return -1
+        self[part] = at = len(self)
+        cut = self.find(" " + part)
+        self.own.extend(map(self.words.__getitem__, cut))
+        self.sizes.append(len(cut))
+        return at
+
+    def cut(self, text: str, spaced: bool) -> tuple[np.ndarray, int, int]:
+        """Numbers of the text's first words, then of its parts; how many of the first, and of words in all."""
+        first, *others = text.split(" ") if spaced else [text]
+        parts = list(map(self.__getitem__, others))
+        if -1 in parts or others and (not first or first[-1].isspace()):
+            first, parts = text, []
+        begun = list(map(self.words.__getitem__, self.find(first)))
+        both = np.array(begun + parts, np.int32)
+        return both, len(begun), len(begun) + sum(map(self.sizes.__getitem__, parts))
+
+    def spread(self, texts: list[tuple[np.ndarray, int, int]]) -> bytes:
+        """Numbers of all words of texts that were cut."""
+        own, sizes = np.array(self.own, np.int32), np.array(self.sizes, np.int32)
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
+
+        def words(both: np.ndarray, begun: int) -> bytes:
+            parts = both[begun:]
+            size = sizes[parts]
+            ends = np.cumsum(size)
+            spots = np.repeat(starts[parts] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+            return both[:begun].tobytes() + own[spots].tobytes()
+
+        return b"".join(words(both, begun) for both, begun, _ in texts)
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, place and ``tokens`` (array of ids) of each row of ``docs``."""
     own, pattern = vocabulary.bytes, vocabulary.pattern
     spelled = {byte: own[byte] for byte in range(256)}
+    spaced, merges = vocabulary.spaced, vocabulary.merges()
+    paired = vocabulary.byte_pairs(merges)
+    bytes_of = np.full(1 << 16, 256, np.uint16)
+    bytes_of[[ord(own[byte]) for byte in range(256)]] = range(256)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
 
-        def row(words: _Numbers, places: list[tuple], texts: list[np.ndarray]) -> pa.RecordBatch:
-            letters = [EDGE + word.encode().decode("latin-1").translate(spelled) + EDGE for word in words]
+        def row(parts: _Parts, places: list[tuple], texts: list[tuple]) -> pa.RecordBatch:
+            letters = [EDGE + word.encode().decode("latin-1").translate(spelled) + EDGE for word in parts.words]
+            pairs: list[str] = []
+            for first in range(0, len(letters), SOME):
+                some = letters[first : first + SOME]
+                codes = bytes_of[np.frombuffer("".join(some).encode("utf-16-le"), "<u2")]
+                beside = paired[codes[:-1], codes[1:]].tobytes().decode("utf-16-le")
+                pairs += [beside[end - len(word) : end - 1] for end, word in zip(accumulate(map(len, some)), some, strict=True)]
             ids, files, rows = ([place[i] for place in places] for i in range(3))
-            counts = [len(text) for text in texts]
-            columns = {"words": letters, "ids": ids, "files": files, "rows": rows, "counts": counts, "at": np.concatenate(texts).tobytes()}
+            counts = [count for _, _, count in texts]
+            columns = {"words": letters, "pairs": pairs, "ids": ids, "files": files, "rows": rows, "counts": counts, "at": parts.spread(texts)}
             return pa.RecordBatch.from_pylist([columns], schema=packed)
 
         packed = pa.schema(
             [
                 ("words", pa.list_(pa.string())),
+                ("pairs", pa.list_(pa.string())),
                 ("ids", pa.list_(pa.int64())),
                 ("files", pa.list_(pa.string())),
                 ("rows", pa.list_(pa.int64())),
@@ -183,18 +257,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 ("at", pa.binary()),
             ]
         )
-        words, places, texts, total = _Numbers(), [], [], 0
+        parts, places, texts, total = _Parts(_Numbers(), find), [], [], 0
         for batch in batches:
             for i in range(batch.num_rows):
-                text = find(batch.column("_text")[i].as_py())
+                text = parts.cut(batch.column("_text")[i].as_py(), spaced)
                 places.append(tuple(batch.column(name)[i].as_py() for name in ("doc_id", "_file", "_row")))
-                texts.append(np.fromiter(map(words.__getitem__, text), np.int32, len(text)))
-                total += len(text)
+                texts.append(text)
+                total += text[-1]
                 if total >= WORDS:
-                    yield row(words, places, texts)
-                    words, places, texts, total = _Numbers(), [], [], 0
+                    yield row(parts, places, texts)
+                    parts, places, texts, total = _Parts(_Numbers(), find), [], [], 0
         if places:
-            yield row(words, places, texts)
+            yield row(parts, places, texts)
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,16 +278,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 counts = batch.column("counts")[i].values.to_numpy()
                 at = np.frombuffer(batch.column("at")[i].as_py(), np.int32)
                 texts = words.to_pylist()
-                lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+                lengths = np.fromiter(map(len, texts), np.int32, len(texts))
                 tokens = numbers("".join(texts))
-                starts = np.cumsum(lengths) - lengths
+                starts = np.cumsum(lengths, dtype=np.int64) - lengths
                 ends = np.cumsum(counts)
-                sizes = np.diff(np.concatenate([[0], np.cumsum(lengths[at])])[np.concatenate([[0], ends])])
+                totals = np.cumsum(lengths[at], dtype=np.int64)
+                sizes = np.diff(np.array([totals[end - 1] if end else 0 for end in ends]), prepend=0)
+                del totals
                 first = 0
                 while first < len(counts):
                     last = first + max(1, int(np.searchsorted(np.cumsum(sizes[first:]), BATCH, "right")))
                     some = at[ends[first] - counts[first] : ends[last - 1]]
-                    own = lengths[some]
+                    own = lengths[some].astype(np.int64)
                     spots = np.repeat(starts[some] - (np.cumsum(own) - own), own) + np.arange(own.sum())
                     bounds = np.concatenate([[0], np.cumsum(sizes[first:last])]).astype(np.int32)
                     found = pa.ListArray.from_arrays(pa.array(bounds), pa.array(tokens[spots], pa.int32()))
@@ -223,8 +299,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     rows = placed(docs, F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("_text"))
     packed_rows = rows.mapInArrow(pack, PACKED)
-    words = _let(vocabulary.rank_map(), lambda ranks: F.transform("words", lambda word: fold_merges(word, ranks)))
-    return packed_rows.withColumn("words", words).mapInArrow(unpack, "doc_id long, _file string, _row long, tokens array<int>")
+    wholes = any(key.startswith(WHOLE) for key in merges)
+    words = _let(vocabulary.rank_map(merges), lambda ranks: F.zip_with("words", "pairs", lambda word, pairs: fold_merges(word, pairs, ranks, wholes)))
+    return packed_rows.withColumn("words", words).drop("pairs").mapInArrow(unpack, "doc_id long, _file string, _row long, tokens array<int>")
 
 
 def decode(tokens: Column, vocabulary: Vocabulary) -> Column:

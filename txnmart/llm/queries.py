@@ -86,7 +86,7 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_pairs.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    vocabulary = byte_pairs.Vocabulary(ranks, public_tokenizers.PATTERN)
+    vocabulary = byte_pairs.Vocabulary(ranks, public_tokenizers.PATTERN, spaced=True)
     tokens = F.col("tokens")
     return byte_pairs.encode(read(spark, sf_dir, "documents"), vocabulary).select(
         "doc_id",
