@@ -140,17 +140,16 @@ def test_encode_other_ranks(table):
     assert encoded(table(rows, "doc_id long, text string"), own) == expected(rows, own)
 
 
-def test_encode_cut_at_spaces(table, vocabulary, monkeypatch):
-    """Texts cut before single spaces first, with white space of every kind beside them, give the same ids."""
-    monkeypatch.setattr(byte_pairs, "WORDS", 200)
-    spaces = ["", " ", "  ", " \n", "\n ", "\n", "\t", " \t ", "\x1c ", " \u3000", "\xa0 ", " \x85", "\u200b "]
-    some = ["a", "it's", "'s", "the,", "(x)", "é1", "12.5", "\u4e2d\u6587", "...", "don't.\nOr", "y" * 70]
-    draw = np.random.default_rng(5)
-    texts = ["".join(a + str(draw.choice(some)) for a in draw.choice(spaces, 6, p=[0.05, 0.6, *[0.35 / 11] * 11])) for _ in range(400)]
-    texts += [a + "one two" + b for a in spaces for b in spaces] + [" ".join(some), None, " ", "one"]
-    rows = list(enumerate(texts))
-    own = byte_pairs.Vocabulary(vocabulary.ranks, vocabulary.pattern, spaced=True)
-    assert encoded(table(rows, "doc_id long, text string"), own) == expected(rows, own)
+def test_byte_pairs_come_ranked(table, vocabulary, monkeypatch):
+    """The merged token of each two bytes, and words spelled a few at a time give the same ids."""
+    merges = vocabulary.merges()
+    found, own = vocabulary.byte_pairs(merges), vocabulary.bytes
+    assert found.shape == (257, 257) and (found[256] == 0xFFFF).all() and (found[:, 256] == 0xFFFF).all()
+    plain = {pair: chr(found[pair]) for pair in [(116, 104), (32, 116), (0, 255), (195, 169)]}
+    assert plain == {pair: merges.get(own[pair[0]] + own[pair[1]], byte_pairs.NO_RANK) for pair in plain}
+    monkeypatch.setattr(byte_pairs, "SOME", 3)
+    rows = [(1, "one two three four five six seven, été"), (2, ""), (3, None), (4, "x")]
+    assert encoded(table(rows, "doc_id long, text string"), vocabulary) == expected(rows, vocabulary)
 
 
 def test_encode_empty_table(table, vocabulary):

@@ -15,17 +15,15 @@ don't give are kept as whole words, as the library behind the rank files does.
 
 Nulls: a NULL text counts as empty and has no ids. Rows are told apart by their place, so repeated rows
 and NULL ids are encoded one by one. Texts of any length are encoded whole; a word of n bytes
-takes time n * n at most. Where the pattern allows it, texts are cut before single spaces first, and such a
-part by the pattern once per packed row. Extra columns are not read. An empty table gives an empty result.
+takes time n * n at most. Extra columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
 import json
-from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +40,7 @@ PARTS = 1 << 13
 WORDS = 4_000_000
 #: Most ids in one Arrow batch, unless one text has more.
 BATCH = 2_000_000
-#: Longest part between spaces, in characters, that is cut once for all its places.
-PART = 64
-#: Words whose pairs are ranked at a time.
+#: Words that are spelled, and whose pairs are ranked, at a time.
 SOME = 20_000
 #: Characters of tokens start here and leave out the surrogates; those below are free for marks.
 FIRST, SURROGATES, GAP = 0x100, 0xD800, 0x800
@@ -82,16 +78,12 @@ def numbers(characters: str) -> np.ndarray:
 
 
 class Vocabulary:
-    """Ranks of byte pieces, and the pattern that cuts texts into words.
+    """Ranks of byte pieces, and the pattern that cuts texts into words."""
 
-    ``spaced`` says that no match of the pattern reaches over a space between two characters that aren't white space, and
-    that none looks behind or past such a space: so the text may be cut before each of them first.
-    """
-
-    def __init__(self, ranks: dict[bytes, int], pattern: str, spaced: bool = False):
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
         if any(bytes([byte]) not in ranks for byte in range(256)) or max(ranks.values()) > LARGEST or min(ranks.values()) < 0:
             raise ValueError(f"ranks from 0 to {LARGEST} and all single bytes are needed")
-        self.ranks, self.pattern, self.spaced = ranks, pattern, spaced
+        self.ranks, self.pattern = ranks, pattern
         self.bytes = {byte: character(ranks[bytes([byte])]) for byte in range(256)}
 
     def merges(self) -> dict[str, str]:
@@ -181,51 +173,11 @@ class _Numbers(dict):
         return at
 
 
-class _Parts(dict):
-    """Number of each part between spaces, or -1 where texts with it can't be cut at spaces; the words of each."""
-
-    def __init__(self, words: _Numbers, find):
-        self.words, self.find, self.own, self.sizes = words, find, array("i"), []
-
-    def __missing__(self, part: str) -> int:
-        if not part or len(part) > PART or part[0].isspace() or part[-1].isspace():
-            return -1
-        self[part] = at = len(self)
-        cut = self.find(" " + part)
-        self.own.extend(map(self.words.__getitem__, cut))
-        self.sizes.append(len(cut))
-        return at
-
-    def cut(self, text: str, spaced: bool) -> tuple[np.ndarray, int, int]:
-        """Numbers of the text's first words, then of its parts; how many of the first, and of words in all."""
-        first, *others = text.split(" ") if spaced else [text]
-        parts = list(map(self.__getitem__, others))
-        if -1 in parts or others and (not first or first[-1].isspace()):
-            first, parts = text, []
-        begun = list(map(self.words.__getitem__, self.find(first)))
-        both = np.array(begun + parts, np.int32)
-        return both, len(begun), len(begun) + sum(map(self.sizes.__getitem__, parts))
-
-    def spread(self, texts: list[tuple[np.ndarray, int, int]]) -> bytes:
-        """Numbers of all words of texts that were cut."""
-        own, sizes = np.array(self.own, np.int32), np.array(self.sizes, np.int32)
-        starts = np.cumsum(sizes, dtype=np.int32) - sizes
-
-        def words(both: np.ndarray, begun: int) -> bytes:
-            parts = both[begun:]
-            size = sizes[parts]
-            ends = np.cumsum(size)
-            spots = np.repeat(starts[parts] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-            return both[:begun].tobytes() + own[spots].tobytes()
-
-        return b"".join(words(both, begun) for both, begun, _ in texts)
-
-
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, place and ``tokens`` (array of ids) of each row of ``docs``."""
     own, pattern = vocabulary.bytes, vocabulary.pattern
     spelled = {byte: own[byte] for byte in range(256)}
-    spaced, merges = vocabulary.spaced, vocabulary.merges()
+    merges = vocabulary.merges()
     paired = vocabulary.byte_pairs(merges)
     bytes_of = np.full(1 << 16, 256, np.uint16)
     bytes_of[[ord(own[byte]) for byte in range(256)]] = range(256)
@@ -233,42 +185,34 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
 
-        def row(parts: _Parts, places: list[tuple], texts: list[tuple]) -> pa.RecordBatch:
-            letters = [EDGE + word.encode().decode("latin-1").translate(spelled) + EDGE for word in parts.words]
-            pairs: list[str] = []
-            for first in range(0, len(letters), SOME):
-                some = letters[first : first + SOME]
+        def row(words: _Numbers, places: list[tuple], texts: list[np.ndarray]) -> pa.RecordBatch:
+            distinct, letters, pairs = iter(words), [pa.array([], pa.string())], [pa.array([], pa.string())]
+            while some := [EDGE + word.encode().decode("latin-1").translate(spelled) + EDGE for word in islice(distinct, SOME)]:
                 codes = bytes_of[np.frombuffer("".join(some).encode("utf-16-le"), "<u2")]
                 beside = paired[codes[:-1], codes[1:]].tobytes().decode("utf-16-le")
-                pairs += [beside[end - len(word) : end - 1] for end, word in zip(accumulate(map(len, some)), some, strict=True)]
-            ids, files, rows = ([place[i] for place in places] for i in range(3))
-            counts = [count for _, _, count in texts]
-            columns = {"words": letters, "pairs": pairs, "ids": ids, "files": files, "rows": rows, "counts": counts, "at": parts.spread(texts)}
-            return pa.RecordBatch.from_pylist([columns], schema=packed)
-
-        packed = pa.schema(
-            [
-                ("words", pa.list_(pa.string())),
-                ("pairs", pa.list_(pa.string())),
-                ("ids", pa.list_(pa.int64())),
-                ("files", pa.list_(pa.string())),
-                ("rows", pa.list_(pa.int64())),
-                ("counts", pa.list_(pa.int64())),
-                ("at", pa.binary()),
-            ]
-        )
-        parts, places, texts, total = _Parts(_Numbers(), find), [], [], 0
+                letters.append(pa.array(some))
+                pairs.append(pa.array([beside[end - len(word) : end - 1] for end, word in zip(accumulate(map(len, some)), some, strict=True)]))
+            counts, at = [len(text) for text in texts], np.concatenate(texts)
+            columns = [pa.concat_arrays(letters), pa.concat_arrays(pairs)]
+            columns += [pa.array([place[i] for place in places], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.int64()))]
+            columns.append(pa.array(counts, pa.int64()))
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column) for column in columns]
+            whole = pa.array([0, at.nbytes], pa.int32()).buffers()[1]
+            return pa.RecordBatch.from_arrays([*lists, pa.Array.from_buffers(pa.binary(), 1, [None, whole, pa.py_buffer(at)])], names=names)
+
+        names = ["words", "pairs", "ids", "files", "rows", "counts", "at"]
+        words, places, texts, total = _Numbers(), [], [], 0
         for batch in batches:
             for i in range(batch.num_rows):
-                text = parts.cut(batch.column("_text")[i].as_py(), spaced)
+                text = find(batch.column("_text")[i].as_py())
                 places.append(tuple(batch.column(name)[i].as_py() for name in ("doc_id", "_file", "_row")))
-                texts.append(text)
-                total += text[-1]
+                texts.append(np.fromiter(map(words.__getitem__, text), np.int32, len(text)))
+                total += len(text)
                 if total >= WORDS:
-                    yield row(parts, places, texts)
-                    parts, places, texts, total = _Parts(_Numbers(), find), [], [], 0
+                    yield row(words, places, texts)
+                    words, places, texts, total = _Numbers(), [], [], 0
         if places:
-            yield row(parts, places, texts)
+            yield row(words, places, texts)
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
