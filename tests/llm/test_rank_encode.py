@@ -144,6 +144,29 @@ def test_encode_empty_table(table, vocabulary):
     assert encoded(table([], "doc_id long, text string"), vocabulary) == []
 
 
+def test_words_are_cut_where_no_token_reaches(vocabulary):
+    """The parts of a word encode to the word's ids, and few bytes are left to merge."""
+    draw = np.random.default_rng(4)
+    syllables = ["the", "on", "ti", "ha", "er", "é", "ß", "zu", "que", "ción", "x", "漢", "7", "'", "🙂"]
+    words = list(dict.fromkeys(" " + "".join(draw.choice(syllables, draw.integers(1, 8))) for _ in range(3000))) + ["", "x" * 300]
+    parts, sizes = byte_pairs.Cuts(vocabulary.ranks).cut([word.encode() for word in words])
+    own, ends = library(vocabulary), np.cumsum(sizes)
+    assert len(ends) == len(words) and ends[-1] == len(parts)
+    for word, first, last in zip(words, [0, *ends], ends, strict=False):
+        cut = parts[first:last]
+        assert b"".join(cut) == word.encode()
+        assert not word or [rank for part in cut for rank in own._encode_single_piece(part)] == own._encode_single_piece(word.encode())
+    assert sum(map(len, set(parts))) < 0.7 * sum(len(word.encode()) for word in words)
+
+
+def test_encode_many_rows(table, vocabulary, monkeypatch):
+    """Several heads in a task, and several rows of texts after each; documents without words between."""
+    for name, most in (("WORDS", 60), ("ROW", 20), ("BATCH", 30), ("SOME", 7)):
+        monkeypatch.setattr(byte_pairs, name, most)
+    rows = [(i, None if i % 9 == 0 else " ".join(f"w{i % 13}{k} theseaaneron" for k in range(i % 12))) for i in range(150)]
+    assert encoded(table(rows, "doc_id long, text string", 1), vocabulary) == expected(rows, vocabulary)
+
+
 def plain_search(docs, items, keep=10):
     def terms(text):
         return re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (text or "").translate(LOWER))
